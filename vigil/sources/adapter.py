@@ -94,3 +94,81 @@ def driver_tables_in(sql: str) -> list[str]:
 def spark_template(sql: str) -> str:
     """Turn bare driver-table names into ``{name}`` placeholders for ``spark.sql(text, **dfs)``."""
     return _TABLE_WORD.sub(lambda m: "{" + m.group(1) + "}", sql)
+
+
+# Raw extracts for the loaders (2.C): each canonical table shown as the untyped spreadsheet the
+# loaders expect, with the reference's header names. One (header, expression) list per dataset; each
+# expression is valid in Spark SQL and DuckDB. Headers the adapter has no data for get derived or
+# constant cells, chosen to exercise null tokens, padded ids, ``.0`` ids and required-field errors.
+RAW_EXTRACTS: dict[str, tuple[str, list[tuple[str, str]]]] = {
+    "inspections": ("inspections", [
+        ("Inspection ID", "CAST(inspection_id AS STRING)"),
+        ("FEI Number", "fei_number"),
+        ("Legal Name", "concat('Firm ', trim(fei_number))"),
+        ("City", "lower(state)"),
+        ("State", "CASE WHEN project_area = 'Area 3' THEN '-' ELSE state END"),
+        ("Zip Code", "CASE WHEN project_area = 'Area 1' THEN concat(CAST(inspection_id % 100000 AS STRING), '.0') "
+                     "ELSE concat(' ', CAST(inspection_id % 100000 AS STRING)) END"),
+        ("Country", "country"),
+        ("Inspection End Date", "CAST(inspection_end_date AS STRING)"),
+        ("Fiscal Year", "CAST(year(inspection_end_date) AS STRING)"),
+        ("Posted Citations", "CASE upper(trim(classification_code)) WHEN 'NAI' THEN 'No' WHEN 'VAI' THEN ' posted ' "
+                             "WHEN 'OAI' THEN 'Yes' END"),
+        ("Classification", "CASE upper(trim(classification_code)) WHEN 'NAI' THEN 'No Action Indicated (NAI)' "
+                           "WHEN 'VAI' THEN 'Voluntary Action Indicated (VAI)' "
+                           "WHEN 'OAI' THEN 'Official Action Indicated (OAI)' END"),
+        ("Classification Code", "classification_code"),
+        ("Project Area", "project_area"),
+        ("Product Type", "product_type"),
+        ("Additional Details", "additional_details"),
+        ("FMD-145 Date", "CASE WHEN project_area = 'Area 5' THEN CAST(inspection_end_date AS STRING) ELSE 'N/A' END"),
+    ]),
+    "inspections_citations": ("inspections_citations", [
+        ("Inspection ID", "CAST(inspection_id AS STRING)"),
+        ("FEI Number", "fei_number"),
+        ("Legal Name", "concat('Firm ', fei_number)"),
+        ("Inspection End Date", "CAST(inspection_end_date AS STRING)"),
+        ("Program Area", "program_area"),
+        ("Act/CFR Number", "act_cfr_number"),
+        ("Short Description", "short_description"),
+        ("Long Description", "CASE WHEN short_description = 'R' THEN '-' ELSE concat('Observation ', act_cfr_number) END"),
+    ]),
+    "compliance_actions": ("compliance_actions", [
+        ("FEI Number", "fei_number"),
+        ("Legal Name", "concat('Firm ', fei_number)"),
+        ("State", "'-'"),
+        ("Country/Area", "'United States'"),
+        ("Product Type", "product_type"),
+        ("Action Taken Date", "CAST(action_taken_date AS STRING)"),
+        ("Action Type", "action_type"),
+        ("Case/Injunction ID", "case_injunction_id"),
+    ]),
+    "recalls": ("recalls", [
+        ("FEI Number", "fei_number"),
+        ("Recalling Firm Name", "concat('Firm ', fei_number)"),
+        ("Product Type", "'Drugs'"),
+        ("Product Classification", "event_classification"),
+        ("Status", "status"),
+        ("Distribution Pattern", "CAST(NULL AS STRING)"),
+        ("Recalling Firm City", "CAST(NULL AS STRING)"),
+        ("Recalling Firm State", "CAST(NULL AS STRING)"),
+        ("Recalling Firm Country", "'United States'"),
+        ("Center Classification Date", "CAST(center_classification_date AS STRING)"),
+        ("Reason for Recall", "CAST(NULL AS STRING)"),
+        ("Product Description", "concat('Product ', CAST(product_id AS STRING))"),
+        ("Event ID", "concat(CAST(event_id AS STRING), '.0')"),
+        ("Event Classification", "event_classification"),
+        ("Product ID", "CAST(product_id AS STRING)"),
+        ("Center", "'CDER'"),
+        ("Recall Details", "CAST(NULL AS STRING)"),
+    ]),
+    "published483": ("published483", [
+        ("FEI Number", "CASE WHEN record_id % 7 = 0 THEN ' ' ELSE fei_number END"),
+        ("Legal Name", "concat('Firm ', fei_number)"),
+        ("Record Date", "CAST(record_date AS STRING)"),
+        ("Record Type", "record_type"),
+        ("Publish Date", "CAST(publish_date AS STRING)"),
+        ("Download", "concat('file-', CAST(record_id AS STRING), '.pdf')"),
+        ("Record ID", "CAST(record_id AS STRING)"),
+    ]),
+}

@@ -58,3 +58,13 @@ class Catalog:
     @property
     def raw_cells(self) -> DataFrame:
         return self.table("raw_cells")
+
+
+def raw_extract(catalog: Catalog, dataset: str) -> DataFrame:
+    """The untyped spreadsheet form of one canonical table (test fixture for the 2.C loaders)."""
+    from pyspark.sql import functions as F
+
+    from vigil.sources.adapter import RAW_EXTRACTS
+
+    base, cells = RAW_EXTRACTS[dataset]
+    return catalog.table(base).select(*[F.expr(expr).alias(header) for header, expr in cells])
