@@ -159,15 +159,22 @@ def clean_field(df: DataFrame, f: Field, classification: Column | None = None) -
     raise ValueError(f"unknown field kind {k!r}")
 
 
-def load(raw: DataFrame, dataset: str, filename: str | None = None, hashed: bool = True) -> DataFrame:
-    """Typed rows of one extract: the dataset's fields, ``hash`` (B10 over the typed values) and ``errors``."""
+def load(raw: DataFrame, dataset: str, filename: str | None = None, hashed: bool = True, mark_skipped: bool = False) -> DataFrame:
+    """Typed rows of one extract: the dataset's fields, ``hash`` (B10 over the typed values) and ``errors``.
+
+    ``mark_skipped=True`` keeps the rows the loader would skip and flags them in a ``skipped`` column
+    (one pass for counts of raw, loaded and bad rows)."""
     ds = DATASETS[dataset]
     required = {f.name: f.headers for f in ds.fields if f.kind != "code"}
     require_columns(raw, required, filename or dataset)
     df = raw
+    skipped = F.lit(False)
     if ds.skip_field is not None:
         keep, _ = clean_field(raw, ds.skip_field)
-        df = raw.where(keep.isNotNull())
+        if mark_skipped:
+            skipped = keep.isNull()
+        else:
+            df = raw.where(keep.isNotNull())
     classification = None
     values: dict[str, Column] = {}
     errors: list[Column] = []
@@ -181,6 +188,8 @@ def load(raw: DataFrame, dataset: str, filename: str | None = None, hashed: bool
     if hashed:
         cols.append(C.row_hash(values).alias("hash"))
     cols.append(C.errors_array(*errors).alias("errors"))
+    if mark_skipped:
+        cols.append(skipped.alias("skipped"))
     return df.select(*cols)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import clean as C
 from vigil.operators import integrity as I
-from vigil.operators.loaders import DATASETS, load, skipped_rows
+from vigil.operators.loaders import DATASETS, load
 from vigil.oracle import oracle
 from vigil.oracle_clean import CLEAN_ORACLES, DUPLICATE_ORACLES, LOADER_ORACLES, loader_sql
 from vigil.registry import register
@@ -155,23 +155,16 @@ def _ingest_counts_oracle() -> str:
 
 @register("ingest_counts", _ingest_counts_oracle())
 def ingest_counts(spark, sf_dir):
-    """F5 counts: raw rows, loaded rows (after skips) and rows with errors, per dataset (one scan each)."""
+    """F5 counts: raw rows, loaded rows (after skips) and rows with errors, per dataset, one scan each."""
     cat = Catalog(spark, sf_dir)
     parts = []
     for d in DATASETS:
-        raw = raw_extract(cat, d)
-        ld = load(raw, d)
-        skipped = skipped_rows(raw, d).agg(F.count(F.lit(1)).alias("skipped"))
-        counts = ld.agg(
-            F.count(F.lit(1)).alias("loaded_rows"),
-            F.count_if(F.size("errors") > 0).alias("bad_rows"),
-        )
+        ld = load(raw_extract(cat, d), d, hashed=False, mark_skipped=True)
         parts.append(
-            counts.crossJoin(skipped).select(  # two one-row aggregates
-                F.lit(d).alias("dataset"),
-                (F.col("loaded_rows") + F.col("skipped")).alias("raw_rows"),
-                "loaded_rows",
-                "bad_rows",
-            )
+            ld.agg(
+                F.count(F.lit(1)).alias("raw_rows"),
+                F.count_if(~F.col("skipped")).alias("loaded_rows"),
+                F.count_if(~F.col("skipped") & (F.size("errors") > 0)).alias("bad_rows"),
+            ).select(F.lit(d).alias("dataset"), "raw_rows", "loaded_rows", "bad_rows")
         )
     return reduce(lambda a, b: a.unionByName(b), parts)
