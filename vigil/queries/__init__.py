@@ -1,3 +1,3 @@
 """Registered queries (one module per area); importing this package fills the registry."""
 
-from vigil.queries import features, ingest, model, profile, survival  # noqa: F401
+from vigil.queries import features, ingest, letters, model, profile, survival  # noqa: F401
