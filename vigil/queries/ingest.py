@@ -168,3 +168,70 @@ def ingest_counts(spark, sf_dir):
             ).select(F.lit(d).alias("dataset"), "raw_rows", "loaded_rows", "bad_rows")
         )
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# F7 keyed upserts ------------------------------------------------------------------------------------
+# Fixture: validated rows unique per identity key, split by the first hex digit of their row hash:
+# incoming = digits 0-b, stored = digits 4-f (stored with a stale hash and 2020 timestamps), so the
+# merge sees inserts (0-3), updates (4-b) and untouched stored rows (c-f).
+
+RUN_TS = "2024-01-01 00:00:00"
+OLD_TS = "2020-01-01 00:00:00"
+
+
+def unique_valid(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Clean rows whose identity key occurs once (groups of one: the struct max is that row)."""
+    others = [c for c in df.columns if c not in keys and c != "errors"]
+    ok = df.where(F.size("errors") == 0)
+    g = ok.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.max(F.struct(*others)).alias("__r"))
+    return g.where("__n = 1").select(*keys, *[F.col(f"__r.{c}").alias(c) for c in others])
+
+
+def upsert_fixture(spark, sf_dir, dataset: str):
+    from vigil.sources.sinks import keyed_merge
+
+    ds = DATASETS[dataset]
+    rows = unique_valid(loaded(spark, sf_dir, dataset), ds.key)
+    digit = F.substring("hash", 1, 1)
+    incoming = rows.where(digit < "c")
+    stored = rows.where(digit >= "4").withColumns({
+        "hash": F.lit("stale"),
+        "first_seen_at": F.lit(OLD_TS).cast("timestamp_ntz"),
+        "last_seen_at": F.lit(OLD_TS).cast("timestamp_ntz"),
+    })
+    update = tuple(f.name for f in ds.fields if f.name not in ds.key) + ("hash",)
+    return keyed_merge(stored, incoming, ds.key, update, now=F.lit(RUN_TS).cast("timestamp_ntz"))
+
+
+def _upsert_oracle(dataset: str) -> str:
+    ds = DATASETS[dataset]
+    final, raw = loader_sql(dataset)
+    keys = list(ds.key)
+    fields = [f.name for f in ds.fields]
+    update = [f.name for f in ds.fields if f.name not in keys] + ["hash"]
+    ctes = dict(raw)
+    ctes["ld"] = final
+    kl = ", ".join(keys)
+    # NULL-safe uniqueness: compare groups with IS NOT DISTINCT FROM via a join
+    ctes["grp"] = f"SELECT {kl}, count(*) AS n FROM ld WHERE len(errors) = 0 GROUP BY {kl}"
+    on = " AND ".join(f"l.{k} IS NOT DISTINCT FROM g.{k}" for k in keys)
+    ctes["uq"] = f"SELECT l.* EXCLUDE (errors) FROM ld l JOIN grp g ON {on} WHERE len(l.errors) = 0 AND g.n = 1"
+    ctes["inc"] = "SELECT * FROM uq WHERE substr(hash, 1, 1) < 'c'"
+    sel_old = ", ".join(c for c in fields if c not in keys)
+    ctes["sto"] = (f"SELECT {kl}, {sel_old}, 'stale' AS hash, TIMESTAMP '{OLD_TS}' AS first_seen_at, "
+                   f"TIMESTAMP '{OLD_TS}' AS last_seen_at FROM uq WHERE substr(hash, 1, 1) >= '4'")
+    on2 = " AND ".join(f"s.{k} IS NOT DISTINCT FROM i.{k}" for k in keys)
+    cols = [f"CASE WHEN i.hash IS NOT NULL THEN i.{k} ELSE s.{k} END AS {k}" for k in keys]
+    cols += [f"CASE WHEN i.hash IS NOT NULL THEN i.{c} ELSE s.{c} END AS {c}" for c in update]
+    cols += [f"CASE WHEN i.hash IS NOT NULL AND s.first_seen_at IS NULL THEN TIMESTAMP '{RUN_TS}' ELSE s.first_seen_at END AS first_seen_at",
+             f"CASE WHEN i.hash IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE s.last_seen_at END AS last_seen_at"]
+    return oracle(f"SELECT {', '.join(cols)} FROM sto s FULL OUTER JOIN inc i ON {on2}", ctes,
+                  tables=(RAW_EXTRACTS[dataset][0],))
+
+
+def _register_upsert(dataset: str):
+    register(f"upsert_{dataset}", _upsert_oracle(dataset))(lambda spark, sf_dir: upsert_fixture(spark, sf_dir, dataset))
+
+
+for _d in DATASETS:
+    _register_upsert(_d)
