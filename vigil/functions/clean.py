@@ -60,9 +60,17 @@ def is_missing(c: str | Column, dtype: T.DataType | None = None) -> Column:
     return c.isNull()
 
 
+# The same characters as a plain set for ``btrim`` (a character loop, far cheaper than a regex).
+PY_SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def py_strip(c: str | Column) -> Column:
     """Strip Unicode whitespace the way Python's ``str.strip`` does (SQL ``trim`` drops spaces only)."""
-    return F.regexp_replace(_c(c).cast("string"), f"^{PY_SPACE}+|{PY_SPACE}+$", "")
+    return F.btrim(_c(c).cast("string"), F.lit(PY_SPACE_CHARS))
 
 
 def optional_text(c: str | Column, null_values: tuple[str, ...] = ()) -> Column:

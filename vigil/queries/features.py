@@ -97,3 +97,40 @@ def features(spark, sf_dir) -> DataFrame:
 @register("features_exploratory", O["features_exploratory"])
 def features_exploratory(spark, sf_dir) -> DataFrame:
     return plan(spark, sf_dir).features(variant="exploratory")
+
+
+# F10 / G19 --------------------------------------------------------------------------------------------
+
+from vigil.operators.integrity import FEATURE_CHECKS, feature_snapshot_checks  # noqa: E402
+from vigil.oracle import FEATURE_SELECT, feature_oracle  # noqa: E402
+
+_CHECK_SQL = ", ".join(
+    f"CAST(count(*) FILTER (WHERE NOT COALESCE({sql}, true)) AS INTEGER) AS ck_{name}" for name, sql in FEATURE_CHECKS
+)
+
+
+@register(
+    "feature_snapshot_checks",
+    feature_oracle(
+        "SELECT CAST(count(*) AS INTEGER) AS row_count, CAST(count(DISTINCT inspection_id) AS INTEGER) AS inspection_count, "
+        "CAST(count(*) FILTER (WHERE target_classification NOT IN ('NAI', 'VAI', 'OAI') OR target_classification IS NULL) AS INTEGER) AS invalid_targets, "
+        "CAST(count(*) FILTER (WHERE prior_inspection_count < 0) AS INTEGER) AS invalid_history, "
+        "CAST(count(*) FILTER (WHERE prior_inspection_count = 0 AND (is_first_observed_inspection IS DISTINCT FROM 1 "
+        "OR previous_classification_adverse IS DISTINCT FROM 0 OR days_since_previous_inspection IS DISTINCT FROM 0)) AS INTEGER) AS invalid_cold_start, "
+        + _CHECK_SQL + f" FROM ({FEATURE_SELECT}) f"
+    ),
+)
+def snapshot_checks(spark, sf_dir) -> DataFrame:
+    return feature_snapshot_checks(plan(spark, sf_dir).features("v1"))
+
+
+@register(
+    "feature_build_counts",
+    feature_oracle(f"SELECT 'inspection_classification_v1' AS feature_set, count(*) AS row_count FROM ({FEATURE_SELECT}) f"),
+)
+def feature_build_counts(spark, sf_dir) -> DataFrame:
+    """Rows produced per feature set by one build."""
+    from pyspark.sql import functions as F
+
+    f = plan(spark, sf_dir).features("v1")
+    return f.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("inspection_classification_v1").alias("feature_set"), "row_count")
