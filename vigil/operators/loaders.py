@@ -184,13 +184,23 @@ def load(raw: DataFrame, dataset: str, filename: str | None = None, hashed: bool
             classification = v
         values[f.name] = v
         errors.append(e)
-    cols = [v.alias(n) for n, v in values.items()]
+    # Stage the cleaned values and messages as columns first: the hash and the error array then read
+    # plain attributes instead of re-embedding every rule's expression tree (Catalyst keeps the two
+    # projections apart because the staged values are used more than once).
+    staged = df.select(
+        *[v.alias(f"__v{i}") for i, v in enumerate(values.values())],
+        *[e.alias(f"__e{i}") for i, e in enumerate(errors)],
+        skipped.alias("__skipped"),
+    )
+    names = list(values)
+    refs = {n: F.col(f"__v{i}") for i, n in enumerate(names)}
+    cols = [refs[n].alias(n) for n in names]
     if hashed:
-        cols.append(C.row_hash(values).alias("hash"))
-    cols.append(C.errors_array(*errors).alias("errors"))
+        cols.append(C.row_hash(refs).alias("hash"))
+    cols.append(C.errors_array(*[F.col(f"__e{i}") for i in range(len(errors))]).alias("errors"))
     if mark_skipped:
-        cols.append(skipped.alias("skipped"))
-    return df.select(*cols)
+        cols.append(F.col("__skipped").alias("skipped"))
+    return staged.select(*cols)
 
 
 def skipped_rows(raw: DataFrame, dataset: str) -> DataFrame:
