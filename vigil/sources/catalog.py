@@ -7,6 +7,22 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil.sources.adapter import ADAPTER_SQL, driver_tables_in, spark_template
 
 
+# Scans smaller than this are left alone (dimension tables are broadcast anyway).
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least ``defaultParallelism`` partitions when it is large but arrives in fewer splits
+    (e.g. one big Parquet row group). On a cluster reading many files this is a no-op; here it stops
+    broadcast-joined, row-heavy pipelines from running on a single core. Costs one round-robin shuffle."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 class Catalog:
     """Lazily built DataFrames over one scale-factor folder.
 
@@ -23,7 +39,7 @@ class Catalog:
     def driver(self, name: str) -> DataFrame:
         key = "driver:" + name
         if key not in self._cache:
-            self._cache[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._cache[key] = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         return self._cache[key]
 
     def table(self, name: str) -> DataFrame:
