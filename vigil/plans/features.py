@@ -170,8 +170,11 @@ def citations_per_inspection(citations: DataFrame) -> DataFrame:
 
 
 def inspection_days(labeled: DataFrame, citations: DataFrame | None = None) -> DataFrame:
-    """Per (site, day): inspections, worst severity, the latest (date, id) with its severity and
-    citation count, citation rows, and inspections having any citation."""
+    """Per inspection event, its site-day delta: one inspection, its severity, the latest (date, id)
+    with severity and citation count, its citation rows, and whether it has any citation.
+
+    Delta frames are *not* aggregated here: :func:`site_timeline` aggregates all sources in one
+    (site, day) aggregate, partial aggregation running map-side on the unioned rows."""
     ev = labeled
     if citations is not None:
         ev = ev.join(citations_per_inspection(citations), "inspection_id", "left")
@@ -185,23 +188,25 @@ def inspection_days(labeled: DataFrame, citations: DataFrame | None = None) -> D
         F.col("severity").alias("sev"),
         F.col("n_cit").alias("n_cit"),
     )
-    return ev.groupBy(KEY, DAY).agg(
-        F.count(F.lit(1)).alias("d_insp"),
-        F.max("severity").alias("m_sev"),
-        F.max(latest).alias("m_latest"),
-        F.sum("n_cit").alias("d_cit"),
-        F.count_if(F.col("n_cit") > 0).alias("d_insp_cited"),
+    return ev.select(
+        KEY,
+        DAY,
+        F.lit(1).cast("long").alias("d_insp"),
+        F.col("severity").alias("m_sev"),
+        latest.alias("m_latest"),
+        F.col("n_cit").alias("d_cit"),
+        (F.col("n_cit") > 0).cast("long").alias("d_insp_cited"),
     )
 
 
 def product_days(rows: DataFrame, labeled: DataFrame) -> DataFrame:
-    """Per (site, day): product types first seen that day, and category flags of those types."""
+    """Per (site, product type): +1 on the day the type is first seen, with its category flags."""
     dated = inspection_product_types(rows).join(labeled.select("inspection_id", KEY, DAY), ["inspection_id", KEY])
     first = dated.groupBy(KEY, "product_type").agg(F.min(DAY).alias(DAY))
     p = F.col("product_type")
-    flags = [F.max(category_flag(p, n).cast("int")).alias(f"m_{n}") for n in PRODUCT_CATEGORIES]
-    flags.append(F.max(other_flag(p).cast("int")).alias("m_other"))
-    return first.groupBy(KEY, DAY).agg(F.count(F.lit(1)).alias("d_new_product"), *flags)
+    flags = [category_flag(p, n).cast("int").alias(f"m_{n}") for n in PRODUCT_CATEGORIES]
+    flags.append(other_flag(p).cast("int").alias("m_other"))
+    return first.select(KEY, DAY, F.lit(1).cast("long").alias("d_new_product"), *flags)
 
 
 def cited_cfrs(citations: DataFrame, labeled: DataFrame) -> DataFrame:
@@ -225,17 +230,20 @@ def cfr_day_counts(cfrs: DataFrame) -> DataFrame:
 
 
 def cfr_days(cfrs: DataFrame) -> DataFrame:
-    """Per (site, day): CFRs first cited that day, and CFRs reaching their second cited inspection."""
+    """Per (site, CFR, day): +1 new CFR on its first cited day, +1 repeated CFR on the day its second
+    distinct inspection cites it."""
     c = cfr_day_counts(cfrs)
     before = F.col("cum") - F.col("n")
-    return c.groupBy(KEY, DAY).agg(
-        F.count_if(before == 0).alias("d_new_cfr"),
-        F.count_if((F.col("cum") >= 2) & (before < 2)).alias("d_repeat_cfr"),
+    return c.select(
+        KEY,
+        DAY,
+        (before == 0).cast("long").alias("d_new_cfr"),
+        ((F.col("cum") >= 2) & (before < 2)).cast("long").alias("d_repeat_cfr"),
     )
 
 
 def published483_days(published: DataFrame) -> DataFrame:
-    """Per (site, day): 483 records that became known that day (record and publish date both passed)."""
+    """Per (site, record): +1 on the day the record is known (record and publish date both passed)."""
     fei = site_key("fei_number")
     usable = published.where(
         F.col("fei_number").isNotNull()
@@ -247,21 +255,21 @@ def published483_days(published: DataFrame) -> DataFrame:
     first = usable.groupBy(fei.alias(KEY), "record_id").agg(
         F.min(F.greatest("record_date", "publish_date")).alias(DAY)
     )
-    return first.groupBy(KEY, DAY).agg(F.count(F.lit(1)).alias("d_new_483"))
+    return first.select(KEY, DAY, F.lit(1).cast("long").alias("d_new_483"))
 
 
 def warning_letter_days(action_events: DataFrame) -> DataFrame:
-    """Per (site, day): warning-letter action keys first seen that day."""
+    """Per (site, warning-letter action key): +1 on the day it is first seen."""
     first = (
         action_events.where(F.col("action_type").like("%warning%"))
         .groupBy(KEY, "action_key")
         .agg(F.min("action_taken_date").alias(DAY))
     )
-    return first.groupBy(KEY, DAY).agg(F.count(F.lit(1)).alias("d_new_warning"))
+    return first.select(KEY, DAY, F.lit(1).cast("long").alias("d_new_warning"))
 
 
 def recall_days(recalls: DataFrame) -> DataFrame:
-    """Per (site, day): recall events first classified that day."""
+    """Per (site, recall event): +1 on the day it is first classified."""
     fei = site_key("fei_number")
     usable = recalls.where(
         F.col("fei_number").isNotNull()
@@ -270,7 +278,7 @@ def recall_days(recalls: DataFrame) -> DataFrame:
         & F.col("center_classification_date").isNotNull()
     )
     first = usable.groupBy(fei.alias(KEY), "event_id").agg(F.min("center_classification_date").alias(DAY))
-    return first.groupBy(KEY, DAY).agg(F.count(F.lit(1)).alias("d_new_recall"))
+    return first.select(KEY, DAY, F.lit(1).cast("long").alias("d_new_recall"))
 
 
 # ------------------------------------------------------------------------------------- the timeline
