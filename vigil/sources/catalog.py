@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.sources.adapter import ADAPTER_SQL, driver_tables_in, spark_template
@@ -14,13 +15,17 @@ SPREAD_MIN_BYTES = 4 * 1024 * 1024
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least ``defaultParallelism`` partitions when it is large but arrives in fewer splits
     (e.g. one big Parquet row group). On a cluster reading many files this is a no-op; here it stops
-    broadcast-joined, row-heavy pipelines from running on a single core. Costs one round-robin shuffle."""
+    broadcast-joined, row-heavy pipelines from running on a single core. Costs one round-robin shuffle.
+
+    Such an input is decoded by a single task, so the spread copy is persisted (memory, then disk):
+    every canonical table and query derived from it then reads the columnar cache in parallel instead
+    of decoding the file again. The bound is the input itself: only few-split (small) inputs qualify."""
     sc = df.sparkSession.sparkContext
     target = sc.defaultParallelism
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     if int(str(size)) < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 class Catalog:
