@@ -73,9 +73,14 @@ def py_strip(c: str | Column) -> Column:
     return F.btrim(_c(c).cast("string"), F.lit(PY_SPACE_CHARS))
 
 
-def optional_text(c: str | Column, null_values: tuple[str, ...] = ()) -> Column:
+def _stripped(c: str | Column, s: Column | None) -> Column:
+    """The stripped text of ``c``; ``s`` is a pre-stripped column when the caller staged it."""
+    return s if s is not None else py_strip(c)
+
+
+def optional_text(c: str | Column, null_values: tuple[str, ...] = (), s: Column | None = None) -> Column:
     """B2: stripped text; empty -> NULL; listed tokens (case-insensitive) -> NULL."""
-    s = F.nullif(py_strip(c), F.lit(""))
+    s = F.nullif(_stripped(c, s), F.lit(""))
     if null_values:
         s = F.when(F.lower(s).isin(*[v.lower() for v in null_values]), F.lit(None)).otherwise(s)
     return s
@@ -85,13 +90,13 @@ def required(value: Column, field: str) -> Column:
     return F.when(value.isNull(), F.lit(f"{field} is required"))
 
 
-def required_text(c: str | Column, field: str, null_values: tuple[str, ...] = ()) -> Cleaned:
+def required_text(c: str | Column, field: str, null_values: tuple[str, ...] = (), s: Column | None = None) -> Cleaned:
     """B3."""
-    v = optional_text(c, null_values)
+    v = optional_text(c, null_values, s)
     return Cleaned(v, required(v, field))
 
 
-def optional_identifier(c: str | Column, dtype: T.DataType | None = None) -> Cleaned:
+def optional_identifier(c: str | Column, dtype: T.DataType | None = None, s: Column | None = None) -> Cleaned:
     """Identifiers are labels: ``3012457996.0`` -> ``3012457996``, ``007`` kept, ``12.50`` kept."""
     c = _c(c)
     if isinstance(dtype, T.BooleanType):
@@ -107,20 +112,20 @@ def optional_identifier(c: str | Column, dtype: T.DataType | None = None) -> Cle
             F.when(integral, c.cast("decimal(38,0)").cast("string")).when(finite, as_text),
             no_error(),
         )
-    s = optional_text(c)
+    s = optional_text(c, s=s)
     whole = F.regexp_extract(s, INTEGRAL_DECIMAL_TEXT, 1)
     return Cleaned(F.when(whole != "", whole).otherwise(s), no_error())
 
 
-def required_identifier(c: str | Column, field: str, dtype: T.DataType | None = None) -> Cleaned:
+def required_identifier(c: str | Column, field: str, dtype: T.DataType | None = None, s: Column | None = None) -> Cleaned:
     """B5."""
-    v, e = optional_identifier(c, dtype)
+    v, e = optional_identifier(c, dtype, s)
     return Cleaned(v, F.coalesce(e, required(v, field)))
 
 
-def optional_integer(c: str | Column, field: str, dtype: T.DataType | None = None) -> Cleaned:
+def optional_integer(c: str | Column, field: str, dtype: T.DataType | None = None, s: Column | None = None) -> Cleaned:
     """Identifier rule, then an integer literal (``int()`` semantics: sign, digits, ``_``)."""
-    ident, e = optional_identifier(c, dtype)
+    ident, e = optional_identifier(c, dtype, s)
     ok = ident.rlike(INTEGER_TEXT)
     value = F.when(ok, F.regexp_replace(ident, "_", "").try_cast("bigint"))
     bad = ident.isNotNull() & value.isNull()
@@ -128,12 +133,12 @@ def optional_integer(c: str | Column, field: str, dtype: T.DataType | None = Non
     return Cleaned(value, F.coalesce(e, F.when(bad, msg)))
 
 
-def required_integer(c: str | Column, field: str, dtype: T.DataType | None = None) -> Cleaned:
-    v, e = optional_integer(c, field, dtype)
+def required_integer(c: str | Column, field: str, dtype: T.DataType | None = None, s: Column | None = None) -> Cleaned:
+    v, e = optional_integer(c, field, dtype, s)
     return Cleaned(v, F.coalesce(e, required(v, field)))
 
 
-def optional_date(c: str | Column, field: str, dtype: T.DataType | None = None) -> Cleaned:
+def optional_date(c: str | Column, field: str, dtype: T.DataType | None = None, s: Column | None = None) -> Cleaned:
     """dates/timestamps pass; text null tokens -> NULL; otherwise one of ``DATE_FORMATS``."""
     c = _c(c)
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -143,7 +148,7 @@ def optional_date(c: str | Column, field: str, dtype: T.DataType | None = None)
             F.lit(None).cast("date"),
             F.when(c.isNotNull(), F.concat(F.lit(f"{field} contains an unsupported date value: "), c.cast("string"))),
         )
-    s = py_strip(c)
+    s = _stripped(c, s)
     token = (s == "") | F.lower(s).isin(*DATE_NULL_TOKENS)
     parsed = F.coalesce(*[F.try_to_date(s, fmt) for fmt in DATE_FORMATS])
     value = F.when(~token, parsed)
@@ -152,24 +157,25 @@ def optional_date(c: str | Column, field: str, dtype: T.DataType | None = None)
     return Cleaned(value, F.when(bad, msg))
 
 
-def required_date(c: str | Column, field: str, dtype: T.DataType | None = None) -> Cleaned:
-    v, e = optional_date(c, field, dtype)
+def required_date(c: str | Column, field: str, dtype: T.DataType | None = None, s: Column | None = None) -> Cleaned:
+    v, e = optional_date(c, field, dtype, s)
     return Cleaned(v, F.coalesce(e, required(v, field)))
 
 
-def optional_boolean(c: str | Column, field: str, dtype: T.DataType | None = None) -> Cleaned:
+def optional_boolean(c: str | Column, field: str, dtype: T.DataType | None = None, s: Column | None = None) -> Cleaned:
     """yes/y/true/1/posted and no/n/false/0/not posted; anything else is an error."""
     c = _c(c)
     if isinstance(dtype, T.BooleanType):
         return Cleaned(c, no_error())
-    norm = F.lower(py_strip(c))
+    norm = F.lower(_stripped(c, s))
     value = F.when(norm.isin(*TRUE_TOKENS), True).when(norm.isin(*FALSE_TOKENS), False)
     bad = c.isNotNull() & value.isNull()
     msg = F.concat(F.lit(f"{field} contains an invalid boolean: "), _quoted(c))
     return Cleaned(value, F.when(bad, msg))
 
 
-def classification_code(classification: str | Column, explicit: str | Column | None = None) -> Cleaned:
+def classification_code(classification: str | Column, explicit: str | Column | None = None,
+                        s_explicit: Column | None = None) -> Cleaned:
     """An explicit code wins (must be NAI/VAI/OAI); else the text equals a code or contains ``(CODE)``,
     tested in the order NAI, VAI, OAI."""
     text = F.upper(optional_text(classification))
@@ -178,7 +184,7 @@ def classification_code(classification: str | Column, explicit: str | Column | N
         derived = F.when((text == code) | text.contains(f"({code})"), F.lit(code)).otherwise(derived)
     if explicit is None:
         return Cleaned(derived, no_error())
-    ex = F.upper(optional_text(explicit))
+    ex = F.upper(optional_text(explicit, s=s_explicit))
     value = F.when(ex.isNotNull(), F.when(ex.isin(*CODES), ex)).otherwise(derived)
     error = F.when(ex.isNotNull() & ~ex.isin(*CODES), F.lit("Classification Code must be NAI, VAI or OAI"))
     return Cleaned(value, error)

@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.functions import clean as C
 from vigil.sources.readers import column_type, pick_column, require_columns
@@ -132,30 +133,35 @@ DATASETS: dict[str, Dataset] = {
 OPTIONAL_HEADERS = {"inspections": ("Classification Code",)}
 
 
-def clean_field(df: DataFrame, f: Field, classification: Column | None = None) -> C.Cleaned:
+def clean_field(df: DataFrame, f: Field, classification: Column | None = None, staged: bool = False) -> C.Cleaned:
+    """One field's (value, error). With ``staged=True`` the frame carries a pre-stripped copy of each
+    string header in ``__s:<header>``; rules then read it instead of re-stripping (messages still quote
+    the raw cell)."""
     raw = pick_column(df, *f.headers)
     dtype = column_type(df, *f.headers)
+    header = next((h for h in f.headers if h in df.columns), None)
+    s = F.col(f"`__s:{header}`") if staged and header is not None and f"__s:{header}" in df.columns else None
     k = f.kind
     if k == "text":
-        return C.Cleaned(C.optional_text(raw, f.nulls), C.no_error())
+        return C.Cleaned(C.optional_text(raw, f.nulls, s), C.no_error())
     if k == "req_text":
-        return C.required_text(raw, f.label, f.nulls)
+        return C.required_text(raw, f.label, f.nulls, s)
     if k == "ident":
-        return C.optional_identifier(raw, dtype)
+        return C.optional_identifier(raw, dtype, s)
     if k == "req_ident":
-        return C.required_identifier(raw, f.label, dtype)
+        return C.required_identifier(raw, f.label, dtype, s)
     if k == "int":
-        return C.optional_integer(raw, f.label, dtype)
+        return C.optional_integer(raw, f.label, dtype, s)
     if k == "req_int":
-        return C.required_integer(raw, f.label, dtype)
+        return C.required_integer(raw, f.label, dtype, s)
     if k == "date":
-        return C.optional_date(raw, f.label, dtype)
+        return C.optional_date(raw, f.label, dtype, s)
     if k == "req_date":
-        return C.required_date(raw, f.label, dtype)
+        return C.required_date(raw, f.label, dtype, s)
     if k == "bool":
-        return C.optional_boolean(raw, f.label, dtype)
+        return C.optional_boolean(raw, f.label, dtype, s)
     if k == "code":
-        return C.classification_code(classification, raw if f.headers[0] in df.columns else None)
+        return C.classification_code(classification, raw if header is not None else None, s)
     raise ValueError(f"unknown field kind {k!r}")
 
 
@@ -175,11 +181,14 @@ def load(raw: DataFrame, dataset: str, filename: str | None = None, hashed: bool
             skipped = keep.isNull()
         else:
             df = raw.where(keep.isNotNull())
+    # Stage 0: strip every string header once; the rules below read these columns.
+    strings = [c for c in df.columns if isinstance(df.schema[c].dataType, T.StringType)]
+    df = df.select("*", *[C.py_strip(F.col(f"`{c}`")).alias(f"__s:{c}") for c in strings])
     classification = None
     values: dict[str, Column] = {}
     errors: list[Column] = []
     for f in ds.fields:
-        v, e = clean_field(df, f, classification)
+        v, e = clean_field(df, f, classification, staged=True)
         if f.name == "classification":
             classification = v
         values[f.name] = v
