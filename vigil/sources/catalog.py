@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.sources.adapter import ADAPTER_SQL, driver_tables_in, spark_template
 
@@ -25,7 +27,10 @@ def spread(df: DataFrame) -> DataFrame:
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     if int(str(size)) < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    # hash of the atomic columns: deterministic on retry without the local sort round-robin needs
+    keys = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spread_df = df.repartition(target, *keys) if keys else df.repartition(target)
+    return spread_df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 class Catalog:
