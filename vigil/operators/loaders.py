@@ -216,7 +216,7 @@ def skipped_rows(raw: DataFrame, dataset: str) -> DataFrame:
     """Rows a loader skips before any other check (citations without CFR, 483s without FEI)."""
     ds = DATASETS[dataset]
     if ds.skip_field is None:
-        return raw.limit(0)
+        return raw.where(F.lit(False))
     keep, _ = clean_field(raw, ds.skip_field)
     return raw.where(keep.isNull())
 

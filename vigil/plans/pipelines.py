@@ -48,7 +48,7 @@ def ingest_all(spark: SparkSession, raw: dict[str, DataFrame], store: str, versi
         incoming = good[d]
         stored = read_current(spark, store, d)
         if stored is None:
-            stored = incoming.limit(0).withColumns({"first_seen_at": now, "last_seen_at": now})
+            stored = incoming.where(F.lit(False)).withColumns({"first_seen_at": now, "last_seen_at": now})
         update = tuple(f.name for f in ds.fields if f.name not in ds.key) + ("hash",)
         merged = keyed_merge(stored, incoming, ds.key, update, now=now)
         path = write_version(merged, store, d, version)

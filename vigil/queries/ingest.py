@@ -235,3 +235,9 @@ def _register_upsert(dataset: str):
 
 for _d in DATASETS:
     _register_upsert(_d)
+
+
+# SURVEY's short name for the citations loader (C2): the same query as load_inspections_citations.
+register("load_citations", LOADER_ORACLES["load_inspections_citations"])(
+    lambda spark, sf_dir: loaded(spark, sf_dir, "inspections_citations")
+)

@@ -24,7 +24,7 @@ TABLE = "warning_letters"
 def upsert_letters(stored: DataFrame | None, incoming: DataFrame, now=None) -> DataFrame:
     """Letters keyed by URL; a summary-only row never erases stored title, content or hash."""
     if stored is None:
-        stored = incoming.limit(0).withColumns(
+        stored = incoming.where(F.lit(False)).withColumns(
             {"first_seen_at": F.current_timestamp(), "last_seen_at": F.current_timestamp()}
         )
     return keyed_merge(stored, incoming, ("url",), LETTER_COLUMNS, now=now, keep_existing=("title", "content", "hash"))
