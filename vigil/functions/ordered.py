@@ -3,7 +3,8 @@
 ``Window.orderBy(x)`` with no partition key moves every row to a single partition. For orders over
 unbounded domains (e.g. model scores) we use the two-level scheme instead:
 
-1. ``repartitionByRange(n, order)``: contiguous, ordered key ranges; equal keys share a partition.
+1. ``repartitionByRange(n, order)``: contiguous, ordered key ranges; equal keys share a partition
+   (range ids checkpointed, so every consumer sees the same ones).
 2. Per-range totals (n rows) -> exclusive running offsets (a window over n rows only).
 3. Within each range: a window partitioned by the range id, ordered by the key, plus the offset.
 
@@ -15,13 +16,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.session import cut_lineage
+
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], partitions: int | None = None,
                  inclusive: bool = True, prefix: str = "cum_") -> DataFrame:
     """Add ``<prefix><col>`` = sum of ``col`` over rows with ``order_col`` <= (or <, if not inclusive) this
     row's key, in ascending key order. Rows must be unique per ``order_col`` (aggregate first)."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(order_col)).withColumn("__range", F.spark_partition_id())
+    # The range id is stored as data by a reliable checkpoint: both consumers below (totals and local
+    # sums) then see the same ids whatever adaptive coalescing or a recomputation after executor loss does.
+    ranged = cut_lineage(df.repartitionByRange(n, F.col(order_col)).withColumn("__range", F.spark_partition_id()))
     totals = ranged.groupBy("__range").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # n rows: bounded
     offsets = totals.select(
