@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -322,7 +323,10 @@ class FeaturePlan:
         self.t = tables
         self.rows = normalized_inspection_rows(tables.inspections, cutoff_date)
         self.events = inspection_events(self.rows)
-        self.labeled = labeled_inspections(self.events)
+        # The labelled events feed the timeline, the product and CFR joins and the final join; each
+        # consumer prunes different columns, so Catalyst cannot reuse one exchange for them. Persisting
+        # (memory, then disk; one row per inspection) computes the G1-G3 pipeline once per plan.
+        self.labeled = labeled_inspections(self.events).persist(StorageLevel.MEMORY_AND_DISK)
 
     def deltas(self, sources=SOURCES) -> list[DataFrame]:
         out = [inspection_days(self.labeled, self.t.citations if "citations" in sources else None)]
