@@ -95,3 +95,15 @@ def FeaturePlanCount(spark, cat):
     from vigil.plans.features import FeaturePlan
 
     return FeaturePlan(cat).events.count()
+
+
+def test_stop_rule_known_batches_short_batches_and_gaps(spark):
+    schema = "batch long, returned long, missing long"
+    b = spark.createDataFrame([(0, 10, 3), (1, 10, 0), (2, 10, 0), (3, 10, 0), (4, 10, 2)], schema)
+    got = sorted((r["batch"], r["consecutive_known"], r["stopped_here"]) for r in L.stop_rule(b, 2).collect())
+    assert got == [(0, 0, False), (1, 1, False), (2, 2, True)]
+    short = spark.createDataFrame([(0, 10, 1), (1, 7, 0), (2, 10, 0)], schema)
+    assert sorted(r["batch"] for r in L.stop_rule(short, 5).collect()) == [0, 1]
+    gap = spark.createDataFrame([(0, 10, 1), (1, 10, 1), (3, 10, 0)], schema)
+    rows = L.stop_rule(gap, None).collect()
+    assert sorted(r["batch"] for r in rows) == [0, 1] and not any(r["stopped_here"] for r in rows)
