@@ -5,13 +5,19 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import chat, exact_dedup, warc
+from vigil.llm import bpe, chat, exact_dedup, packing, token_counts, warc
 from vigil.llm.common import table
 from vigil.session import ensure_checkpoint_dir
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ids=False)
+    return packed.drop("ids")
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.canonical_frame(chat.with_extra(table(spark, sf_dir, "conversations")))
     return chat.digest(chat.format_turns(turns))
@@ -21,6 +27,18 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.resolve(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode_digest(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/warc-{uuid.uuid4().hex}"
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -28,8 +46,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_chat_formatting": op4_chat_formatting,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_token_counts": op7_token_counts,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {
