@@ -7,12 +7,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vigil.llm import bpe, chat, exact_dedup, packing, token_counts, warc
+from vigil.llm import bpe, chat, exact_dedup, packing, quality, token_counts, toxicity, warc
 from vigil.llm.common import table
 from vigil.session import ensure_checkpoint_dir
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (~toxicity.learnable(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ids=False)
     return packed.drop("ids")
@@ -33,6 +40,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    crf = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.label_lines(docs, crf).drop("text")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode_digest(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -46,10 +59,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_chat_formatting": op4_chat_formatting,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_quality_rules": op8_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_warc": op10_warc,
 }
