@@ -55,7 +55,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/warc-{uuid.uuid4().hex}"
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    return warc.digest(warc.read_records(spark, path))
+    return warc.digest(warc.read_records(spark, path, payloads=False))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -54,8 +54,8 @@ def records_of(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         .select("payload_digest", "first_id")
     )
     shared = stored(shared, "shared-payloads")
-    # the small side is hashed; AQE splits a digest that a large share of the pages has
-    joined = rows.join(shared.hint("shuffle_hash"), "payload_digest", "left")
+    # the stored size decides: broadcast under the session's threshold, else a shuffle whose hot digests AQE splits
+    joined = rows.join(shared, "payload_digest", "left")
     revisit = F.col("first_id").isNotNull() & (F.col("page_id") != F.col("first_id")) & (F.col("payload_bytes") >= min_bytes)
     return joined.select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
@@ -94,7 +94,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> N
 
 
 PIECE = """file string, split long, rel long, bytes long, candidate boolean, head_bytes long, block_bytes long, whole boolean,
- type string, uri string, digest string, page_id long, refers_to long, content_type string, body binary"""
+ type string, uri string, digest string, page_id long, refers_to long, content_type string,
+ payload_bytes long, payload_digest string, payload binary, body binary"""
 _FIELDS = {b"warc-type": "type", b"warc-target-uri": "uri", b"warc-payload-digest": "digest", b"x-page-id": "page_id",
            b"x-refers-to-page": "refers_to", b"content-type": "content_type", b"content-length": "block_bytes"}
 
@@ -122,7 +123,16 @@ def parse_head(piece: bytes) -> tuple[dict, int] | None:
     return found, end + 4
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def payload_of(block: bytes, content_type: str | None) -> bytes:
+    """The payload of a record block: for application/http what follows the HTTP header, else the block."""
+    if not (content_type or "").startswith("application/http"):
+        return block
+    end = block.find(b"\r\n\r\n")
+    return block[end + 4 :] if end >= 0 else b""
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], payloads: bool, bodies: bool = False) -> Iterator[pa.RecordBatch]:
+    """One row per piece. Whole records give size and digest (and payload if asked); other pieces keep their body."""
     names = [c.split()[0] for c in PIECE.replace("\n", " ").split(",")]
     schema = pa.schema([(n, {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}[c.split()[1]])
                         for n, c in zip(names, PIECE.replace("\n", " ").split(","))])
@@ -134,10 +144,17 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at, pos = (file, split), 0
             head = parse_head(body)
             row = dict.fromkeys(names)
-            row |= {"file": file, "split": split, "rel": pos, "bytes": len(body), "candidate": head is not None, "body": body}
+            row |= {"file": file, "split": split, "rel": pos, "bytes": len(body), "candidate": head is not None, "whole": False}
             if head:
                 row |= head[0] | {"head_bytes": head[1]}
                 row["whole"] = len(body) == head[1] + row["block_bytes"] + 4
+            if row["whole"] and not bodies:
+                payload = payload_of(body[head[1] : -4], row["content_type"])
+                row |= {"payload_bytes": len(payload), "payload_digest": python_digest(payload)}
+                if payloads:
+                    row["payload"] = payload
+            else:
+                row["body"] = body
             rows.append(row)
             pos += len(body) + len(MAGIC)
         yield pa.RecordBatch.from_pylist(rows, schema)
@@ -168,12 +185,13 @@ def reachable_runs(light: DataFrame) -> DataFrame:
     return reached
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """file, offset, type, uri, digest, page_id, refers_to, payload of every record reachable from its file's start."""
+def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """file, offset, type, uri, digest, page_id, refers_to, payload_bytes, payload_digest (computed from the payload)
+    and payload (null unless asked for) of every record reachable from its file's start."""
     with_python(spark)
     lines = spark.read.option("lineSep", MAGIC).text(path)
     raw = lines.select("_metadata.file_path", F.col("_metadata.file_block_start"), F.col("value").cast("binary"))
-    pieces = stored(raw.mapInArrow(_pieces, PIECE), "warc-pieces")
+    pieces = stored(raw.mapInArrow(lambda it: _pieces(it, payloads), PIECE), "warc-pieces")
 
     # absolute offsets: what lies in earlier splits of the file plus the place in the split, minus the magic in front
     per_split = pieces.groupBy("file", "split").agg(F.sum(F.col("bytes") + len(MAGIC)).alias("total"))
@@ -181,7 +199,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     bases = per_split.select("file", "split", before.alias("base"))
     offset = (F.col("base") + F.col("rel") - len(MAGIC)).alias("offset")
     light = pieces.select("file", "split", "rel", "candidate", "whole", "head_bytes", "block_bytes").join(bases, ["file", "split"])
-    light = light.select("file", "split", "rel", offset, "candidate", F.coalesce("whole", F.lit(False)).alias("whole"),
+    light = light.select("file", "split", "rel", offset, "whole",
                          F.when(F.col("candidate"), F.col("base") + F.col("rel") + F.col("head_bytes") + F.col("block_bytes") + 4).alias("succ"))
     # the piece before a file's first magic is empty in a valid archive and lies at -len(MAGIC)
     in_file = Window.partitionBy("file").orderBy("offset")
@@ -195,33 +213,41 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     marked = light.join(reached, ["file", "run"], "left").withColumn("is_start", F.coalesce(F.col("offset") >= F.col("entry"), F.lit(False)))
     owner = F.last(F.when(F.col("is_start"), F.col("offset")), ignorenulls=True).over(in_file)
     marked = marked.withColumn("owner", owner).where(F.col("owner").isNotNull())
-    marked = marked.select("file", "split", "rel", "offset", "owner", "is_start", (F.col("is_start") & F.col("whole")).alias("simple"))
-    full = pieces.join(marked, ["file", "split", "rel"])
-    simple = full.where("simple").select("file", "offset", "type", "uri", "digest", "page_id", "refers_to", "content_type",
-                                         F.expr("substring(body, CAST(head_bytes + 1 AS INT), CAST(block_bytes AS INT))").alias("block"))
-    # payloads with magic inside: their pieces, which together are the record's own bytes
-    parts = full.where(~F.col("simple")).groupBy("file", "owner").agg(F.array_sort(F.collect_list(F.struct("offset", "body", "is_start", "type", "uri", "digest", "page_id", "refers_to", "content_type", "head_bytes", "block_bytes"))).alias("parts"))
+    marked = marked.select("file", "split", "rel", "offset", "owner", "is_start", "whole", (F.col("is_start") & F.col("whole")).alias("simple"))
+    marked = stored(marked, "warc-marked")
+
+    out = ["file", "offset", "type", "uri", F.regexp_replace("digest", "^sha1:", "").alias("digest"), "page_id", "refers_to", "payload_bytes", "payload_digest", "payload"]
+    simple = pieces.where("whole").join(marked.where("simple").select("file", "split", "rel", "offset"), ["file", "split", "rel"]).select(*out)
+
+    # records with magic in their payload: the pieces they own are joined back; pieces that look like whole records
+    # kept no body, so those, if there are any, are read again
+    owned = marked.where(~F.col("simple"))
+    fields = ["type", "uri", "digest", "page_id", "refers_to", "content_type", "head_bytes", "block_bytes"]
+    inner = pieces.where("NOT whole").join(owned.select("file", "split", "rel", "offset", "owner", "is_start"), ["file", "split", "rel"]).select("file", "owner", "offset", "is_start", "body", *fields)
+    posing = owned.where("whole")
+    if not posing.isEmpty():
+        again = raw.mapInArrow(lambda it: _pieces(it, False, bodies=True), PIECE)
+        inner = inner.unionByName(again.join(posing.select("file", "split", "rel", "offset", "owner", "is_start"), ["file", "split", "rel"]).select("file", "owner", "offset", "is_start", "body", *fields))
+    parts = inner.groupBy("file", "owner").agg(F.array_sort(F.collect_list(F.struct("offset", "body", "is_start", *fields))).alias("parts"))
     first = F.col("parts")[0]
-    joined = F.aggregate(F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0))), first["body"], lambda acc, p: F.concat(acc, F.lit(MAGIC.encode()), p["body"]))
-    broken = parts.where(first["is_start"]).select(
-        "file", F.col("owner").alias("offset"), *[first[c].alias(c) for c in ("type", "uri", "digest", "page_id", "refers_to", "content_type")],
-        joined.alias("all"), first["head_bytes"].alias("head_bytes"), first["block_bytes"].alias("block_bytes"),
-    ).where(F.octet_length("all") >= F.col("head_bytes") + F.col("block_bytes"))
-    broken = broken.select("file", "offset", "type", "uri", "digest", "page_id", "refers_to", "content_type",
-                           F.expr("substring(`all`, CAST(head_bytes + 1 AS INT), CAST(block_bytes AS INT))").alias("block"))
-    records = simple.unionByName(broken)
-    # for application/http the payload begins after the HTTP header
-    http = F.col("content_type").startswith("application/http")
-    cut = F.when(http, F.expr("position(X'0D0A0D0A' IN block)")).otherwise(F.lit(0))
-    payload = F.when(cut > 0, F.expr("substring(block, position(X'0D0A0D0A' IN block) + 4)")).when(http, F.lit(b"")).otherwise(F.col("block"))
-    return records.select("file", "offset", "type", "uri", F.regexp_replace("digest", "^sha1:", "").alias("digest"), "page_id", "refers_to", payload.alias("payload"))
+    rest = F.transform(F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0))), lambda p: p["body"])
+    whole = F.aggregate(rest, first["body"], lambda acc, p: F.concat(acc, F.lit(MAGIC.encode()), p))
+    broken = parts.where(first["is_start"]).select("file", F.col("owner").alias("offset"), *[first[c].alias(c) for c in fields], whole.alias("body"))
+    broken = broken.where(F.octet_length("body") >= F.col("head_bytes") + F.col("block_bytes")).withColumn(
+        "block", F.expr("substring(body, CAST(head_bytes + 1 AS INT), CAST(block_bytes AS INT))"))
+    http = F.coalesce(F.col("content_type").startswith("application/http"), F.lit(False))
+    gap = F.expr("position(X'0D0A0D0A' IN block)")
+    payload = F.when(~http, F.col("block")).when(gap > 0, F.expr("substring(block, position(X'0D0A0D0A' IN block) + 4)")).otherwise(F.lit(b""))
+    broken = broken.withColumn("payload", payload).withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(F.col("payload"))})
+    if not payloads:
+        broken = broken.withColumn("payload", F.lit(None).cast("binary"))
+    return simple.unionByName(broken.select(*out))
 
 
 def digest(records: DataFrame) -> DataFrame:
     """The op10 columns from records read back; a revisit takes its size from the response it refers to."""
     rows = records.where(F.col("type").isin("response", "revisit")).select(
-        "page_id", "type", "digest", "refers_to",
-        F.octet_length("payload").cast("long").alias("own_bytes"), base32_sha1(F.col("payload")).alias("own_digest"))
+        "page_id", "type", "digest", "refers_to", F.col("payload_bytes").alias("own_bytes"), F.col("payload_digest").alias("own_digest"))
     rows = stored(rows, "warc-rows")
     revisits, responses = rows.where("type = 'revisit'"), rows.where("type = 'response'")
     target = responses.select(F.col("page_id").alias("refers_to"), F.col("own_digest").alias("digest"), F.col("own_bytes").alias("payload_bytes"))
