@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, chat, exact_dedup, packing, quality, token_counts, toxicity, warc
+from vigil.llm import bpe, chat, exact_dedup, lm, packing, quality, token_counts, toxicity, warc
 from vigil.llm.common import table
 from vigil.session import ensure_checkpoint_dir
 
@@ -25,6 +25,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.canonical_frame(chat.with_extra(table(spark, sf_dir, "conversations")))
     return chat.digest(chat.format_turns(turns))
@@ -61,6 +65,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_chat_formatting": op4_chat_formatting,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
