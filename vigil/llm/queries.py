@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, chat, exact_dedup, lm, packing, quality, token_counts, toxicity, warc
+from vigil.llm import bpe, chat, exact_dedup, lm, ngram_join, packing, quality, token_counts, toxicity, warc
 from vigil.llm.common import table
 from vigil.session import ensure_checkpoint_dir
 
@@ -34,6 +34,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_turns(turns))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).drop("mark")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.resolve(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
