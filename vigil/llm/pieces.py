@@ -6,11 +6,12 @@ and can be cached. Chunks that are not cached are split by the pattern into piec
 are encoded by the given back end, all those of a batch at once. Texts the rule does not cover are split by the
 pattern as a whole or, where Unicode versions may disagree, handed to the library.
 
-Caches are bounded: entries beyond the bound live for one batch only.
+Caches are bounded and keep what comes first, which holds the frequent entries; the rest lives for one slice only.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
@@ -18,7 +19,10 @@ from array import array
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 PATTERN = regex.compile(public_tokenizers.PATTERN)
@@ -29,8 +33,9 @@ _WIDE_SPACE = re.compile("[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _AGREED = re.compile("[^\x00-\u0557]")
 _LETTER = regex.compile(r"\p{L}|\p{N}")
 CACHE_CHUNKS, CACHE_PIECES = 400_000, 600_000  # about 250 MB per worker
+_SIGNS = frozenset(".,;:!?)\"")
 MAX_KEY = 48  # longer chunks and pieces are rare and not kept
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 16_000_000
 
 
 class HfBackend:
@@ -70,47 +75,101 @@ class TextEncoder:
             while end < len(texts) and (size < SLICE_CHARS or end == at):
                 size += len(texts[end])
                 end += 1
-            yield from self._slice(texts[at:end])
+            gc.disable()  # many short-lived strings and lists, no cycles: collecting them again and again only costs
+            try:
+                done = self._slice(texts[at:end])
+            finally:
+                gc.enable()
+            yield from done
             at = end
 
-    def _slice(self, texts: list[str]) -> Iterator[bytes]:
-        plans: list = []
-        need: set[str] = set()
-        loose: set[str] = set()
-        for text in texts:
+    def _slice(self, texts: list[str]) -> list[bytes]:
+        """Chunks of the slice are numbered by Arrow, so the caches are asked once per distinct chunk."""
+        out: list[bytes | None] = [None] * len(texts)
+        loose: dict[int, list[str]] = {}  # pieces of a text's first chunk, or of a text that must not be cut
+        cut: list[int] = []
+        tails: list[str] = []
+        for i, text in enumerate(texts):
             if (ids := self.whole(text)) is not None:
-                plans.append(pack(ids))
-            elif any(u in text for u in _UNSAFE) or _WIDE_SPACE.search(text):
-                found = PATTERN.findall(text)
-                loose.update(found)
-                plans.append((None, found))
+                out[i] = pack(ids)
+            elif any([u in text for u in _UNSAFE]) or _WIDE_SPACE.search(text):
+                loose[i] = PATTERN.findall(text)
             else:
-                head, *rest = text.split(" ")
-                first = PATTERN.findall(head)
-                loose.update(first)
-                need.update(rest)
-                plans.append((first, rest))
-        new_chunks = [c for c in need if c not in self.chunk]
-        split = [PATTERN.findall(" " + c) for c in new_chunks]
-        loose.update(p for ps in split for p in ps)
-        new_pieces = [p for p in loose if p not in self.piece]
+                head, blank, tail = text.partition(" ")
+                loose[i] = PATTERN.findall(head)
+                if blank:
+                    cut.append(i)
+                    tails.append(tail)
+        lists = pc.split_pattern(pa.array(tails, pa.string()), " ")
+        coded = lists.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        values, known = self._chunks(distinct, list(loose.values()))
+        heads = {i: b"".join([known(p) for p in found]) for i, found in loose.items()}
+        joined = pa.array(values, pa.binary()).take(coded.indices)
+        if len(joined):
+            _, at, data = joined.buffers()
+            # byte positions of the texts' first chunks, and the end
+            edges = np.frombuffer(at, np.int32)[joined.offset :][lists.offsets.to_numpy()]
+            data = memoryview(data) if data is not None else memoryview(b"")
+            for k, i in enumerate(cut):
+                heads[i] += data[edges[k] : edges[k + 1]].tobytes()
+        for i, ids in heads.items():
+            out[i] = ids
+        return out
+
+    def _chunks(self, distinct: list[str], loose: list[list[str]]) -> tuple[list[bytes], Callable[[str], bytes]]:
+        """Ids of distinct chunks (each stands behind a blank), and a look-up that also knows the loose pieces."""
         piece, chunk = self.piece, self.chunk
-        for p, ids in zip(new_pieces, self.encode_pieces(new_pieces)):
-            piece[p] = pack(ids)
-        for c, ps in zip(new_chunks, split):
-            chunk[c] = b"".join([piece[p] for p in ps])
-        of_piece, of_chunk = piece.__getitem__, chunk.__getitem__
-        out = []
-        for plan in plans:
-            if isinstance(plan, bytes):
-                out.append(plan)
-            elif plan[0] is None:
-                out.append(b"".join(map(of_piece, plan[1])))
+        values = list(map(chunk.get, distinct))
+        # what the pieces already give is taken at once; the rest waits for its pieces to be encoded
+        waiting: list[tuple[int, list[str] | tuple[str, ...]]] = []
+        new: set[str] = set()
+        missing = [i for i, v in enumerate(values) if v is None]
+        of_piece = piece.get
+        for i in missing:
+            c = distinct[i]
+            if c.isalpha():  # a word, or a word and one sign: what the pattern finds is plain
+                word = " " + c
+                v = values[i] = of_piece(word)
+                if v is None:
+                    new.add(word)
+                    waiting.append((i, (word,)))
+            elif c[-1:] in _SIGNS and c[:-1].isalpha():
+                word = " " + c[:-1]
+                v, sign = of_piece(word), of_piece(c[-1])
+                if v is None or sign is None:
+                    new.update(p for p in (word, c[-1]) if p not in piece)
+                    waiting.append((i, (word, c[-1])))
+                else:
+                    values[i] = v + sign
             else:
-                out.append(b"".join(map(of_piece, plan[0])) + b"".join(map(of_chunk, plan[1])))
-        _trim(chunk, new_chunks, self.max_chunks)
-        _trim(piece, new_pieces, self.max_pieces)
-        yield from out
+                found = PATTERN.findall(" " + c)
+                new.update([p for p in found if p not in piece])
+                waiting.append((i, found))
+        for found in loose:
+            for p in found:
+                if p not in piece:
+                    new.add(p)
+        spare: dict[str, bytes] = {}
+        fresh = list(new)
+        room = self.max_pieces - len(piece)
+        for p, ids in zip(fresh, self.encode_pieces(fresh)):
+            if room > 0 and len(p) <= MAX_KEY:
+                piece[p] = pack(ids)
+                room -= 1
+            else:
+                spare[p] = pack(ids)
+
+        def known(p: str) -> bytes:
+            v = piece.get(p)
+            return spare[p] if v is None else v
+
+        for i, found in waiting:
+            values[i] = known(found[0]) if len(found) == 1 else b"".join([known(p) for p in found])
+        for i in missing[: max(0, self.max_chunks - len(chunk))]:
+            if len(distinct[i]) <= MAX_KEY:
+                chunk[distinct[i]] = values[i]
+        return values, known
 
 
 def pack(ids: list[int]) -> bytes:
@@ -125,19 +184,6 @@ def newer_letters(text: str) -> bool:
     return bool(_AGREED.search(text)) and any(unicodedata.category(c) == "Cn" and _LETTER.match(c) for c in set(text))
 
 
-def _trim(cache: dict, added: list[str], most: int) -> None:
-    """Forget what this batch added beyond the bound; earlier entries, the frequent ones by then, stay."""
-    for key in added:
-        if len(key) > MAX_KEY:
-            del cache[key]
-    over = len(cache) - most
-    for key in reversed(added):
-        if over <= 0:
-            break
-        if cache.pop(key, None) is not None:
-            over -= 1
-
-
 _ENCODERS: dict[str, TextEncoder] = {}
 
 
