@@ -86,13 +86,17 @@ def canonical_frame(df: DataFrame) -> DataFrame:
     return df.select(ids.alias("conv_id"), F.posexplode(turns).alias("turn", "t")).select("conv_id", F.col("turn").cast("long"), "t.role", "t.text")
 
 
+def _prefixed(names: Column, prefix: str) -> Column:
+    return F.transform(names, lambda k: F.concat(F.lit(prefix), k))
+
+
 def json_paths(record: Column) -> Column:
     """Known nested field paths of one JSON record, sorted and joined by line feeds."""
     top = F.coalesce(F.json_object_keys(record), F.array())
     parts = [top]
     for name in CONTAINERS:
         inner = F.coalesce(F.json_object_keys(F.get_json_object(record, f"$.{name}[0]")), F.array())
-        parts.append(F.transform(inner, lambda k, name=name: F.concat(F.lit(f"{name}[]."), k)))
+        parts.append(_prefixed(inner, f"{name}[]."))
     known = F.array(*[F.lit(p) for p in KNOWN_PATHS])
     return F.array_join(F.array_sort(F.array_intersect(F.concat(*parts), known)), "\n")
 
