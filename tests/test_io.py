@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from vigil.operators import letters as L
@@ -44,30 +45,131 @@ def test_fragment_text_and_detail(spark):
     assert r2["title"] is None and r2["content"] is None
 
 
-def test_pipelines_end_to_end(spark, scratch):
+def _clean_raw(spark, part=None):
+    """Raw extracts without the adapter's planted faults: valid rows, one per identity key; ``part`` keeps one half."""
+    from vigil.operators.loaders import DATASETS, load
+    from vigil.sources.catalog import Catalog, raw_extract
+
+    cat = Catalog(spark, "/root/testdata/sf0.001")
+    raw = {}
+    for d, ds in DATASETS.items():
+        extract = raw_extract(cat, d).dropDuplicates()
+        numbered = extract.withColumn("n", F.xxhash64(*extract.columns))
+        loaded = load(numbered.drop("n"), d, hashed=True)
+        keys = loaded.where(F.size("errors") == 0).groupBy(*ds.key).count().where("count = 1").drop("count")
+        typed = loaded.where(F.size("errors") == 0).join(keys, list(ds.key), "left_semi") if all(True for _ in ds.key) else loaded
+        # back to headers: the loaders accept typed cells as well
+        raw[d] = typed.select(*[F.col(f.name).alias(f.headers[0]) for f in ds.fields if f.kind != "code"], F.col("hash").alias("n"))
+        if part is not None:
+            raw[d] = raw[d].where((F.substring("n", 1, 1) < "8") if part == 0 else (F.substring("n", 1, 1) >= "4"))
+        raw[d] = raw[d].drop("n")
+    return raw
+
+
+def _stored(spark, store):
+    from vigil.operators.loaders import DATASETS
+    from vigil.sources.sinks import read_current
+
+    return {d: sorted(map(str, (tuple(r) for r in read_current(spark, store, d).drop("last_seen_at", "first_seen_at").collect()))) for d in DATASETS}
+
+
+def test_ingest_refuses_bad_rows_and_duplicates_before_publishing(spark, scratch):
     from vigil.plans import pipelines as P
     from vigil.operators.loaders import DATASETS
     from vigil.sources.catalog import Catalog, raw_extract
+    from vigil.sources.sinks import current_state, empty_state
 
     cat = Catalog(spark, "/root/testdata/sf0.001")
+    raw = {d: raw_extract(cat, d) for d in DATASETS}
     store = os.path.join(scratch, "store")
-    # the adapter extracts carry bad rows and duplicate identities: ingest only the clean, unique ones
-    raw = {}
-    for d in DATASETS:
-        r = raw_extract(cat, d)
-        raw[d] = r
-    try:
+    with pytest.raises(P.BadRowsError):
         P.ingest_all(spark, raw, store, "v1")
-        raised = False
-    except Exception:  # noqa: BLE001
-        raised = True
-    assert raised  # fail mode refuses bad rows / duplicate identities before any write
-    from vigil.sources.sinks import current_versions
+    with pytest.raises(P.DuplicateIdentityError):
+        P.ingest_all(spark, raw, store, "v1", mode="quarantine")
+    assert current_state(spark, store) == empty_state()
+
 
-    assert current_versions(spark, store) == {}  # nothing was switched
+def test_ingest_twice_is_idempotent_and_merges_by_key(spark, scratch):
+    from vigil.plans import pipelines as P
+
+    store = os.path.join(scratch, "store")
+    first = P.ingest_all(spark, _clean_raw(spark, 0), store, "v1")
+    assert all(c["loaded"] == c["stored"] > 0 for c in first.values())
+    once = _stored(spark, store)
+    again = P.ingest_all(spark, _clean_raw(spark, 0), store, "v1")  # the same label: nothing published is overwritten
+    assert _stored(spark, store) == once and {d: c["stored"] for d, c in again.items()} == {d: c["stored"] for d, c in first.items()}
+    P.ingest_all(spark, _clean_raw(spark, 1), store, "v2")
+    both, whole = _stored(spark, store), os.path.join(scratch, "whole")
+    P.ingest_all(spark, _clean_raw(spark), whole, "v1")
+    assert both == _stored(spark, whole)
+
+
+def _keyed(spark, rows):
+    return spark.createDataFrame(rows, "k long, v string")
+
+
+def test_a_run_that_fails_before_or_while_switching_changes_nothing(spark, scratch):
+    from vigil.sources import sinks as S
+
+    store = os.path.join(scratch, "s")
+    entry = S.merge_table(spark, store, "t", None, _keyed(spark, [(i, "old") for i in range(50)]), ("k",), ("v",), "v1")
+    state = S.switch(spark, store, S.empty_state() | {"tables": {"t": entry}})
+
+    def values():
+        return {r.k: r.v for r in S.read_current(spark, store, "t").collect()}
+
+    # written but never switched
+    S.merge_table(spark, store, "t", entry, _keyed(spark, [(1, "new")]), ("k",), ("v",), "v1")
+    assert values() == {i: "old" for i in range(50)}
+    # a write that fails half way leaves the published folders alone
+    with pytest.raises(Exception, match="no such row"):
+        S.merge_table(spark, store, "t", entry, _keyed(spark, [(1, "new")]).withColumn("v", F.raise_error(F.lit("no such row")).cast("string")), ("k",), ("v",), "v1")
+    assert values() == {i: "old" for i in range(50)}
+    # a pointer that was begun and never completed is not the newest
+    os.makedirs(f"{store}/_pointers/{99:020d}-broken")
+    assert values() == {i: "old" for i in range(50)}
+    # only touched buckets are rewritten
+    new = S.merge_table(spark, store, "t", state["tables"]["t"], _keyed(spark, [(1, "new"), (77, "new")]), ("k",), ("v",), "v2")
+    S.switch(spark, store, state | {"tables": {"t": new}})
+    assert values() == {i: "old" for i in range(50)} | {1: "new", 77: "new"}
+    assert sum(p != entry["buckets"].get(b) for b, p in new["buckets"].items()) <= 2
+
+
+def test_an_unreadable_pointer_is_an_error(spark, scratch):
+    from vigil.sources import sinks as S
+
+    store = os.path.join(scratch, "s")
+    S.switch(spark, store, S.empty_state())
+    (name,) = [n for n in os.listdir(f"{store}/_pointers")]
+    for f in os.listdir(f"{store}/_pointers/{name}"):
+        if f.startswith("part-"):
+            with open(f"{store}/_pointers/{name}/{f}", "w") as out:
+                out.write("{not json")
+        elif f.startswith("."):
+            os.remove(f"{store}/_pointers/{name}/{f}")
+    with pytest.raises(ValueError):
+        S.current_state(spark, store)
+
+
+def test_feature_build_and_training(spark, scratch, monkeypatch):
+    from vigil.plans import pipelines as P
+    from vigil.plans.features import FeaturePlan
+    from vigil.sources.catalog import Catalog
+    from vigil.sources.sinks import current_state
 
+    cat = Catalog(spark, "/root/testdata/sf0.001")
+    store = os.path.join(scratch, "store")
     n = P.build_features(spark, cat, store, "f1")
-    assert n == FeaturePlanCount(spark, cat)
+    assert n == FeaturePlan(cat).events.count() == P.load_training_data(spark, store).count()
+    before = current_state(spark, store)
+    with monkeypatch.context() as m:  # a snapshot that lacks rows is refused and not published
+        whole = FeaturePlan.features
+        m.setattr(FeaturePlan, "features", lambda self, *a, **k: whole(self, *a, **k).where("inspection_id % 2 = 0"))
+        with pytest.raises(P.FeatureBuildError, match="inspections"):
+            P.build_features(spark, cat, store, "f1")
+    assert current_state(spark, store) == before
+    rows = [tuple(r) for r in P.ordered_training_data(spark, store).select("prediction_date", "inspection_id").collect()]
+    assert rows == sorted(rows)
     result = P.train_run(spark, store, os.path.join(scratch, "artifact"))
     assert 0.0 <= result.metrics["roc_auc"] <= 1.0
     assert os.path.isdir(os.path.join(scratch, "artifact", "pipeline"))
@@ -75,26 +177,38 @@ def test_pipelines_end_to_end(spark, scratch):
     assert json.loads(meta["metadata"])["threshold"] == 0.5
 
 
-def test_streaming_letters(spark, scratch):
-    from vigil.streaming.letters import TABLE, run_available
-    from vigil.sources.sinks import read_current
+def test_export_csv(spark, scratch):
+    from vigil.sources.sinks import export_csv
+
+    export_csv(spark.createDataFrame([("a", 1.5), (None, 2.0)], "name string, value double"), scratch + "/out")
+    back = spark.read.option("header", True).csv(scratch + "/out").collect()
+    assert sorted((r["name"], r["value"]) for r in back if r["name"]) == [("a", "1.5")] and len(back) == 2
+
+
+def test_streaming_letters_with_replay_and_repeats(spark, scratch):
+    from vigil.streaming.letters import TABLE, process_batch, run_available
+    from vigil.sources.sinks import current_state, read_current
 
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     landing = os.path.join(scratch, "landing")
     L.listing_fixture(pages).write.json(landing)
     store = os.path.join(scratch, "letters")
-    run_available(spark, landing, pages, store, "https://www.fda.gov/", root="article",
-                  checkpoint=os.path.join(scratch, "ckpt"))
+    landed = L.landed_pages(pages)
+    run_available(spark, landing, landed, store, "https://www.fda.gov/", root="article", checkpoint=os.path.join(scratch, "ckpt"))
+    listed = L.dedup_seen(L.listing_rows(L.listing_fixture(pages), "https://www.fda.gov/"))
     out = read_current(spark, store, TABLE)
-    n_listing = L.dedup_seen(L.listing_rows(L.listing_fixture(pages), "https://www.fda.gov/")).select("url").distinct().count()
-    assert out.count() == n_listing
+    assert out.count() == listed.select("url").distinct().count() < listed.count()  # a URL listed twice is one letter
     assert out.where(F.col("title").isNull()).count() == 0
-
-
-def FeaturePlanCount(spark, cat):
-    from vigil.plans.features import FeaturePlan
-
-    return FeaturePlan(cat).events.count()
+    # a replayed batch id changes nothing, also when its payload differs
+    state, rows = current_state(spark, store), sorted(map(str, out.collect()))
+    twice = spark.createDataFrame([(0, json.dumps({"data": [["1/2/2024", "1/1/2024", '<a href="https://a/b">x</a>', "o", "s"]] * 2}))], "batch long, payload string")
+    assert process_batch(spark, twice, landed, store, state["applied"]["letters"], "https://www.fda.gov/", "article") == state
+    assert sorted(map(str, read_current(spark, store, TABLE).collect())) == rows
+    # the next id is applied: the URL that its payload has twice is stored once; elsewhere the guard refuses it
+    process_batch(spark, twice, landed, store, state["applied"]["letters"] + 1, "https://www.fda.gov/", "article", host="www.fda.gov")
+    assert read_current(spark, store, TABLE).count() == len(rows)
+    process_batch(spark, twice, landed, store, state["applied"]["letters"] + 2, "https://www.fda.gov/", "article")
+    assert read_current(spark, store, TABLE).where("url = 'https://a/b'").count() == 1
 
 
 def test_stop_rule_known_batches_short_batches_and_gaps(spark):
@@ -107,3 +221,11 @@ def test_stop_rule_known_batches_short_batches_and_gaps(spark):
     gap = spark.createDataFrame([(0, 10, 1), (1, 10, 1), (3, 10, 0)], schema)
     rows = L.stop_rule(gap, None).collect()
     assert sorted(r["batch"] for r in rows) == [0, 1] and not any(r["stopped_here"] for r in rows)
+
+
+def test_a_landed_batch_without_usable_rows_ends_the_run(spark):
+    rows = spark.createDataFrame([(1, 0, "u")], "batch long, row_index int, url string")
+    payloads = spark.createDataFrame([(0, "{}"), (1, "{}")], "batch long, payload string")
+    table = L.batch_table(payloads, rows, rows)
+    assert sorted(tuple(r) for r in table.collect()) == [(0, 0, 0), (1, 1, 1)]
+    assert [tuple(r) for r in L.stop_rule(table, 2).select("batch", "stopped_here").collect()] == [(0, True)]

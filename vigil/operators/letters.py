@@ -66,33 +66,68 @@ def us_date(text: Column) -> Column:
 # ------------------------------------------------------------------------------------------ fixture
 
 
-def listing_fixture(pages: DataFrame) -> DataFrame:
-    """Landed listing payloads built from ``pages``: one JSON payload per batch of ten pages.
+# Listing payloads and landed pages derived from ``pages``, ten pages per batch, so that every rule of D1-D7 has
+# rows that trigger it (all of them over the whole table):
+# - a row's dates vary with the page id; id % 29 = 28 has an impossible one
+# - id % 13 = 5 is linked root-relative and landed under that address
+# - id % 10 = 3 in every third batch is listed twice in its batch, the second time with another office
+# - id % 25 = 24 is listed again in the next batch
+# - every fourth batch has two extra rows: one of four cells, one without a link
+# - in every ninth batch all rows have four cells; every seventeenth batch has not landed at all
+# - known letters: every fourth page, and two successive batches of every nine as a whole
+FIXTURE_HOST = "www.fda.gov"
+
+
+def _batch() -> Column:
+    return F.floor(F.col("page_id") / 10).cast("long")
+
+
+def landed_url() -> Column:
+    own = F.concat(F.lit(f"https://{FIXTURE_HOST}/letters/"), F.col("page_id").cast("string"))
+    return F.when(F.col("page_id") % 13 == 5, own).otherwise(F.col("url"))
+
+
+def landed_pages(pages: DataFrame) -> DataFrame:
+    return pages.select("page_id", landed_url().alias("url"), "html")
 
-    Rows are ``[posted, issued, company link, office, subject]``; pages with id % 7 = 6 have four cells,
-    id % 11 = 10 have no link, and pages with id % 25 = 24 are listed again in the next batch."""
+
+def listing_fixture(pages: DataFrame) -> DataFrame:
+    """One JSON payload per landed batch; see the list above."""
+    pid, batch = F.col("page_id"), _batch()
     host = F.regexp_extract("url", r"^[a-zA-Z]+://([^/:?#]+)", 1)
-    company = F.when(F.col("page_id") % 11 == 10, host).otherwise(
-        F.concat(F.lit('<a href="'), F.col("url"), F.lit('">'), host, F.lit("</a>"))
-    )
-    c = [F.lit("01/02/2024"), F.lit("01/01/2024"), company, F.concat(F.lit("Office "), (F.col("page_id") % 3).cast("string")),
-         F.concat(F.lit("<b>"), host, F.lit("</b> subject"))]
-    cells = F.when(F.col("page_id") % 7 == 6, F.array(*c[:4])).otherwise(F.array(*c))
-    batch = F.floor(F.col("page_id") / 10).cast("long")
-    base = pages.select(batch.alias("batch"), F.col("page_id").alias("pos"), cells.alias("cells"))
-    again = pages.where(F.col("page_id") % 25 == 24).select(
-        (batch + 1).alias("batch"), (F.col("page_id") + 1_000_000_000).alias("pos"), cells.alias("cells")
-    )
-    rows = base.unionByName(again)
-    # a batch holds at most eleven rows: the collected list is bounded by the page size
-    return rows.groupBy("batch").agg(
-        F.to_json(F.struct(F.transform(F.sort_array(F.collect_list(F.struct("pos", "cells"))), lambda s: s["cells"]).alias("data"))).alias("payload")
-    )
+    link = F.when(pid % 13 == 5, F.concat(F.lit("/letters/"), pid.cast("string"))).otherwise(F.col("url"))
+    day = F.concat_ws("/", (pid % 12 + 1).cast("string"), (pid % 28 + 1).cast("string"), F.lit("2024"))
+    cell = {
+        "posted": F.when(pid % 29 == 28, "13/45/2024").otherwise(day),
+        "issued": F.lit(" 01/01/2024 "),
+        "company": F.concat(F.lit('<a href="'), link, F.lit('">'), host, F.lit("</a>")),
+        "office": F.concat(F.lit("Office "), (pid % 3).cast("string")),
+        "subject": F.concat(F.lit("<b>"), host, F.lit("</b> subject")),
+    }
+
+    def row(batch: Column, place: int, **other: Column) -> tuple[Column, ...]:
+        cells = cell | other
+        return batch.alias("batch"), (pid * 10 + place).alias("pos"), F.array(*[c for c in cells.values() if c is not None]).alias("cells")
+
+    four = F.array(*[cell[c] for c in ("posted", "issued", "company", "office")])
+    base = pages.select(*row(batch, 0)[:2], F.when(batch % 9 == 8, four).otherwise(F.array(*cell.values())).alias("cells"))
+    parts = [
+        base,
+        pages.where((pid % 10 == 3) & (batch % 3 == 1)).select(*row(batch, 1, office=F.lit("Office again"))),
+        pages.where(pid % 25 == 24).select(*row(batch + 1, 2)),
+        pages.where((pid % 10 == 0) & (batch % 4 == 2)).select(*row(batch, 3, subject=None)),
+        pages.where((pid % 10 == 1) & (batch % 4 == 2)).select(*row(batch, 4, company=host)),
+    ]
+    rows = reduce(DataFrame.unionByName, parts).where(F.col("batch") % 17 != 16)
+    # a batch is a page of the listing: a dozen rows
+    cells_in_order = F.transform(F.sort_array(F.collect_list(F.struct("pos", "cells"))), lambda s: s["cells"])
+    return rows.groupBy("batch").agg(F.to_json(F.struct(cells_in_order.alias("data"))).alias("payload"))
 
 
 def stored_fixture(pages: DataFrame) -> DataFrame:
-    """Letters already in the store before the run: every fourth page."""
-    return pages.where(F.col("page_id") % 4 == 0).select("url")
+    """Letters already in the store before the run."""
+    known = (F.col("page_id") % 4 == 0) | (_batch() % 9).isin(5, 6)
+    return pages.where(known).select("page_id", landed_url().alias("url"))
 
 
 # --------------------------------------------------------------------------------------------- D1-D8
@@ -116,7 +151,7 @@ def listing_rows(payloads: DataFrame, base_url: str) -> DataFrame:
     )
 
 
-def parse_detail(pages: DataFrame, root: str = "main") -> DataFrame:
+def parse_detail(pages: DataFrame, root: str = "main", keep: tuple[str, ...] = ()) -> DataFrame:
     """title = text of the root's ``h1``; content = text nodes of the root joined by newlines."""
     body = F.regexp_extract("html", rf"(?is)<{root}\b[^>]*>(.*?)</{root}>", 1)
     found = F.col("html").rlike(rf"(?i)<{root}\b")
@@ -124,7 +159,7 @@ def parse_detail(pages: DataFrame, root: str = "main") -> DataFrame:
     has_h1 = body.rlike(r"(?i)<h1\b")
     title = F.when(found & has_h1, fragment_text(h1))
     content = F.when(found, fragment_text(body, "\n"))
-    return pages.select("url", title.alias("title"), content.alias("content"))
+    return pages.select(*keep, "url", title.alias("title"), content.alias("content"))
 
 
 def letter_hash(posted: Column, company: Column, url: Column, content: Column) -> Column:
@@ -140,6 +175,11 @@ def dedup_seen(rows: DataFrame) -> DataFrame:
     return rows.join(first, "url").where(F.col("batch") == F.col("first_batch")).drop("first_batch")
 
 
+def allowed_rows(rows: DataFrame, host: str, schemes: tuple[str, ...] = ("https",)) -> DataFrame:
+    """B12 in the letter path: rows whose address has an allowed scheme and the given host."""
+    return rows.where(F.coalesce(url_allowed(F.col("url"), host, schemes), F.lit(False)))
+
+
 def existing(rows: DataFrame, store: DataFrame) -> DataFrame:
     """D4."""
     return rows.join(store.select("url").distinct(), "url", "left_semi")
@@ -155,11 +195,12 @@ def has_detail(df: DataFrame) -> Column:
     return F.col("title").isNotNull() & F.col("content").isNotNull()
 
 
-def batch_table(all_rows: DataFrame, new_rows: DataFrame, missing_rows: DataFrame) -> DataFrame:
-    """Per batch: rows returned (after listing parsing), missing letters."""
-    returned = all_rows.groupBy("batch").agg(F.count(F.lit(1)).alias("returned"))
-    miss = missing_rows.groupBy("batch").agg(F.count(F.lit(1)).alias("missing"))
-    return returned.join(miss, "batch", "left").select("batch", "returned", F.coalesce("missing", F.lit(0)).alias("missing"))
+def batch_table(payloads: DataFrame, rows: DataFrame, missing_rows: DataFrame) -> DataFrame:
+    """Per landed batch: usable rows returned, missing letters. A batch whose rows were all dropped returned none."""
+    counts = rows.select("batch", F.lit(1).alias("r"), F.lit(0).alias("m")).unionByName(
+        missing_rows.select("batch", F.lit(0).alias("r"), F.lit(1).alias("m"))
+    ).unionByName(payloads.select("batch", F.lit(0).alias("r"), F.lit(0).alias("m")))
+    return counts.groupBy("batch").agg(F.sum("r").alias("returned"), F.sum("m").alias("missing"))
 
 
 def stop_rule(batches: DataFrame, known_before_stop: int | None, page_size: int = PAGE_SIZE) -> DataFrame:

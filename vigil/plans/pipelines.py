@@ -6,6 +6,8 @@ to them with one pointer write, so a failed run leaves the previous versions in
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from vigil.operators import model as M
 from vigil.operators.integrity import duplicate_identities, feature_snapshot_checks, snapshot_problems
 from vigil.operators.loaders import DATASETS, BadRowsError, apply_policy, load
 from vigil.plans.features import FeaturePlan
-from vigil.sources.sinks import current_versions, keyed_merge, read_current, switch_versions, version_path, write_version
+from vigil.sources.sinks import current_state, merge_table, read_current, read_table, switch, write_table
 
 FEATURE_TABLE = "inspection_classification_v1"
 
@@ -27,50 +29,50 @@ class FeatureBuildError(ValueError):
 
 
 def ingest_all(spark: SparkSession, raw: dict[str, DataFrame], store: str, version: str, mode: str = "fail") -> dict:
-    """load all five extracts, validate all (bad rows, duplicate identities), then merge and write.
+    """load all five extracts, validate all (bad rows, duplicate identities), then merge and publish at once.
 
-    Returns row counts per dataset (loaded rows and rows in the new stored version)."""
+    Each extract is cleaned once, into a staging folder of the run; checks, merge and counts read that.
+    Returns per dataset the loaded rows, the quarantined rows and the rows then stored."""
+    stage = f"{store.rstrip('/')}/_staging/{version}-{uuid.uuid4().hex[:12]}"
     good: dict[str, DataFrame] = {}
+    bad: dict[str, DataFrame] = {}
     for d, ds in DATASETS.items():
-        loaded = load(raw[d], d)
-        out = apply_policy(loaded, mode, key=ds.key)
-        good[d] = out[0] if isinstance(out, tuple) else out.drop("errors") if "errors" in out.columns else out
+        load(raw[d], d).write.mode("errorifexists").parquet(f"{stage}/{d}")
+        out = apply_policy(spark.read.parquet(f"{stage}/{d}"), mode, key=ds.key)
+        good[d], bad[d] = out if isinstance(out, tuple) else (out.drop("errors"), None)
     for d, ds in DATASETS.items():
         dup = duplicate_identities(good[d], ds.key)
         examples = dup.limit(10).collect()  # at most ten rows reach the driver
         if examples:
-            n = dup.count()
-            raise DuplicateIdentityError(f"{d}: {n} duplicate identity groups, e.g. {[tuple(r) for r in examples]}")
-    now = F.current_timestamp()
-    versions = dict(current_versions(spark, store))
+            raise DuplicateIdentityError(f"{d}: {dup.count()} identity keys occur more than once, such as {[tuple(r) for r in examples]}")
+    state = current_state(spark, store)
+    tables = dict(state["tables"])
     counts = {}
     for d, ds in DATASETS.items():
-        incoming = good[d]
-        stored = read_current(spark, store, d)
-        if stored is None:
-            stored = incoming.where(F.lit(False)).withColumns({"first_seen_at": now, "last_seen_at": now})
         update = tuple(f.name for f in ds.fields if f.name not in ds.key) + ("hash",)
-        merged = keyed_merge(stored, incoming, ds.key, update, now=now)
-        path = write_version(merged, store, d, version)
-        counts[d] = {"loaded": incoming.count(), "stored": spark.read.parquet(path).count()}
-        versions[d] = version
-    switch_versions(spark, store, versions)
+        tables[d] = merge_table(spark, store, d, tables.get(d), good[d], ds.key, update, version)
+        counts[d] = {
+            "loaded": good[d].count(), "quarantined": bad[d].count() if bad[d] is not None else 0,
+            "stored": read_table(spark, store, d, tables[d]).count(),
+        }
+    switch(spark, store, state | {"tables": tables})
     return counts
 
 
 def build_features(spark: SparkSession, tables, store: str, version: str, dataset_version: str = "v1",
                    cutoff_date: str | None = None) -> int:
-    """Build, write a new version, validate the written snapshot, then switch to it."""
-    df = FeaturePlan(tables, cutoff_date).features(dataset_version).withColumn("created_at", F.current_timestamp())
-    path = write_version(df, store, FEATURE_TABLE, version)
-    written = spark.read.parquet(path)
+    """Build, write, validate what was written against the labelled inspections of the source, publish."""
+    plan = FeaturePlan(tables, cutoff_date)
+    df = plan.features(dataset_version).withColumn("created_at", F.current_timestamp())
+    entry = write_table(df, store, FEATURE_TABLE, version, ("inspection_id",))
+    written = read_table(spark, store, FEATURE_TABLE, entry)
     row = feature_snapshot_checks(written).first()
-    problems = snapshot_problems(row, expected_count=row["row_count"])
+    expected = FeaturePlan(tables, cutoff_date).labeled.count()
+    problems = snapshot_problems(row, expected_count=expected)
     if problems:
         raise FeatureBuildError("; ".join(problems))
-    versions = dict(current_versions(spark, store))
-    versions[FEATURE_TABLE] = version
-    switch_versions(spark, store, versions)
+    state = current_state(spark, store)
+    switch(spark, store, state | {"tables": state["tables"] | {FEATURE_TABLE: entry}})
     return int(row["row_count"])
 
 
@@ -80,11 +82,16 @@ def build_all(spark: SparkSession, tables, store: str, version: str, dataset_ver
 
 
 def load_training_data(spark: SparkSession, store: str, dataset_version: str = "v1") -> DataFrame:
-    """Rows of one dataset version from the current feature table, in (date, id) order."""
+    """Rows of one dataset version from the current feature table (``ordered_training_data`` sorts them)."""
     df = read_current(spark, store, FEATURE_TABLE)
     if df is None:
         raise FileNotFoundError(f"no feature table under {store}")
-    return df.where(F.col("dataset_version") == dataset_version).orderBy("prediction_date", "inspection_id")
+    return df.where(F.col("dataset_version") == dataset_version)
+
+
+def ordered_training_data(spark: SparkSession, store: str, dataset_version: str = "v1") -> DataFrame:
+    """A9 in (date, id) order, for readers that need it; training does not."""
+    return load_training_data(spark, store, dataset_version).orderBy("prediction_date", "inspection_id")
 
 
 def train_run(spark: SparkSession, store: str, artifact_dir: str, dataset_version: str = "v1") -> M.TrainResult:
@@ -94,5 +101,5 @@ def train_run(spark: SparkSession, store: str, artifact_dir: str, dataset_versio
 
 __all__ = [
     "BadRowsError", "DuplicateIdentityError", "FeatureBuildError", "build_all", "build_features", "ingest_all",
-    "load_training_data", "train_run", "version_path",
+    "load_training_data", "ordered_training_data", "train_run",
 ]

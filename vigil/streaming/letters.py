@@ -2,9 +2,9 @@
 
 Landed listing payload files (JSON lines: ``batch``, ``payload``) are read with ``readStream``; each
 micro-batch is parsed, deduplicated against the URLs already stored, joined with the landed pages for
-details and merged into the letter store (new version per micro-batch). ``trigger(availableNow=True)``
-drains what has landed and stops; the checkpoint (under the shared checkpoint folder) makes reruns
-exactly-once per file and lets the query survive executor or driver loss.
+details and merged into the letter store (only the buckets of its URLs). ``trigger(availableNow=True)`` drains what has
+landed and stops. The store's pointer records the last applied batch id together with the tables, so a replayed
+micro-batch is skipped and each takes effect once.
 """
 
 from __future__ import annotations
@@ -14,15 +14,20 @@ from pyspark.sql import functions as F
 
 from vigil.operators import letters as L
 from vigil.session import ensure_checkpoint_dir
-from vigil.sources.sinks import current_versions, keyed_merge, read_current, switch_versions, write_version
+from vigil.sources.sinks import current_state, keyed_merge, last_per_key, merge_table, read_table, switch
 
 PAYLOAD_SCHEMA = "batch long, payload string"
 LETTER_COLUMNS = ("posted_date", "issue_date", "company_name", "issuing_office", "subject", "title", "content", "hash")
 TABLE = "warning_letters"
 
 
+def one_per_url(incoming: DataFrame) -> DataFrame:
+    """A URL listed twice in a batch is one letter: its last listing row wins."""
+    return last_per_key(incoming, ("url",), ("batch", "row_index"))
+
+
 def upsert_letters(stored: DataFrame | None, incoming: DataFrame, now=None) -> DataFrame:
-    """Letters keyed by URL; a summary-only row never erases stored title, content or hash."""
+    """Letters keyed by URL (unique in ``incoming``); a summary never erases stored title, content or hash."""
     if stored is None:
         stored = incoming.where(F.lit(False)).withColumns(
             {"first_seen_at": F.current_timestamp(), "last_seen_at": F.current_timestamp()}
@@ -30,36 +35,45 @@ def upsert_letters(stored: DataFrame | None, incoming: DataFrame, now=None) -> D
     return keyed_merge(stored, incoming, ("url",), LETTER_COLUMNS, now=now, keep_existing=("title", "content", "hash"))
 
 
-def process_batch(spark: SparkSession, payloads: DataFrame, pages: DataFrame, store: str, version: str,
-                  base_url: str, root: str = "main") -> dict:
-    """One micro-batch: parse listing rows, keep first listing of each URL, drop stored URLs, fetch
-    details from landed pages, merge, write a new store version, switch."""
-    rows = L.dedup_seen(L.listing_rows(payloads, base_url))
-    stored = read_current(spark, store, TABLE)
-    todo = rows if stored is None else L.missing(rows, stored)
-    details = L.parse_detail(pages.select("url", "html"), root)
+def process_batch(spark: SparkSession, payloads: DataFrame, pages: DataFrame, store: str, batch_id: int,
+                  base_url: str, root: str = "main", host: str | None = None, stream: str = "letters") -> dict:
+    """One micro-batch: parse listing rows, keep one row per new URL, parse the landed pages of those URLs only, merge,
+    publish. A batch id that the store has already applied is skipped, so a replay changes nothing.
+
+    ``host``: letters elsewhere are refused (B12)."""
+    state = current_state(spark, store)
+    if state["applied"].get(stream, -1) >= batch_id:
+        return state
+    rows = L.listing_rows(payloads, base_url)
+    if host is not None:
+        rows = L.allowed_rows(rows, host)
+    rows = one_per_url(L.dedup_seen(rows))
+    entry = state["tables"].get(TABLE)
+    todo = rows if entry is None else L.missing(rows, read_table(spark, store, TABLE, entry))
+    wanted = pages.select("url", "html").join(todo.select("url"), "url", "left_semi")
+    details = last_per_key(L.parse_detail(wanted, root), ("url",), ("title", "content"))
     incoming = todo.join(details, "url", "left").select(
         "url", "posted_date", "issue_date", "company_name", "issuing_office", "subject", "title", "content",
-        F.when(L.has_detail(details), L.letter_hash(F.col("posted_date"), F.col("company_name"), F.col("url"), F.col("content"))).alias("hash"),
+        F.when(F.col("title").isNotNull() & F.col("content").isNotNull(),
+               L.letter_hash(F.col("posted_date"), F.col("company_name"), F.col("url"), F.col("content"))).alias("hash"),
     )
-    merged = upsert_letters(stored, incoming)
-    write_version(merged, store, TABLE, version)
-    versions = dict(current_versions(spark, store))
-    versions[TABLE] = version
-    switch_versions(spark, store, versions)
-    return {"version": version}
+    merged = merge_table(spark, store, TABLE, entry, incoming, ("url",), LETTER_COLUMNS, f"b{batch_id:08d}",
+                         keep_existing=("title", "content", "hash"))
+    return switch(spark, store, state | {"tables": state["tables"] | {TABLE: merged}, "applied": state["applied"] | {stream: batch_id}})
 
 
 def run_available(spark: SparkSession, landing: str, pages: DataFrame, store: str, base_url: str,
-                  root: str = "main", checkpoint: str | None = None) -> None:
-    """Drain every landed payload file once (``availableNow``) through :func:`process_batch`."""
+                  root: str = "main", checkpoint: str | None = None, host: str | None = None) -> None:
+    """Drain every landed payload file once (``availableNow``) through :func:`process_batch`.
+
+    The stream's checkpoint and the store belong together: batch ids are those of one checkpoint."""
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/letters-stream"
     stream = spark.readStream.schema(PAYLOAD_SCHEMA).json(landing)
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
-        process_batch(spark, batch_df, pages, store, f"b{batch_id:08d}", base_url, root)
+        process_batch(spark, batch_df, pages, store, batch_id, base_url, root, host)
 
     q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
