@@ -323,10 +323,21 @@ class FeaturePlan:
         self.t = tables
         self.rows = normalized_inspection_rows(tables.inspections, cutoff_date)
         self.events = inspection_events(self.rows)
-        # The labelled events feed the timeline, the product and CFR joins and the final join; each
-        # consumer prunes different columns, so Catalyst cannot reuse one exchange for them. Persisting
-        # (memory, then disk; one row per inspection) computes the G1-G3 pipeline once per plan.
-        self.labeled = labeled_inspections(self.events).persist(StorageLevel.MEMORY_AND_DISK)
+        # one row per inspection, fed to the timeline, the product and CFR joins and the final join. Callers that build
+        # several frames from one plan may cache it with ``keep`` and must then ``close``.
+        self.labeled = labeled_inspections(self.events)
+        self._kept = False
+
+    def keep(self) -> FeaturePlan:
+        """Hold the labelled events (memory, then disk) until ``close``."""
+        self.labeled.persist(StorageLevel.MEMORY_AND_DISK)
+        self._kept = True
+        return self
+
+    def close(self) -> None:
+        if self._kept:
+            self.labeled.unpersist()
+            self._kept = False
 
     def deltas(self, sources=SOURCES) -> list[DataFrame]:
         out = [inspection_days(self.labeled, self.t.citations if "citations" in sources else None)]

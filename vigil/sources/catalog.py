@@ -2,35 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from vigil.sources.adapter import ADAPTER_SQL, driver_tables_in, spark_template
-
-
-# Scans smaller than this are left alone (dimension tables are broadcast anyway).
-SPREAD_MIN_BYTES = 4 * 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least ``defaultParallelism`` partitions when it is large but arrives in fewer splits
-    (e.g. one big Parquet row group). On a cluster reading many files this is a no-op; here it stops
-    broadcast-joined, row-heavy pipelines from running on a single core. Costs one round-robin shuffle.
-
-    Such an input is decoded by a single task, so the spread copy is persisted (memory, then disk):
-    every canonical table and query derived from it then reads the columnar cache in parallel instead
-    of decoding the file again. The bound is the input itself: only few-split (small) inputs qualify."""
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= target:
-        return df
-    # hash of the atomic columns: deterministic on retry without the local sort round-robin needs
-    keys = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    spread_df = df.repartition(target, *keys) if keys else df.repartition(target)
-    return spread_df.persist(StorageLevel.MEMORY_AND_DISK)
+from vigil.sources.adapter import ADAPTER_SQL, RAW_EXTRACTS, driver_tables_in, spark_template
 
 
 class Catalog:
@@ -49,7 +24,7 @@ class Catalog:
     def driver(self, name: str) -> DataFrame:
         key = "driver:" + name
         if key not in self._cache:
-            self._cache[key] = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            self._cache[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[key]
 
     def table(self, name: str) -> DataFrame:
@@ -88,9 +63,5 @@ class Catalog:
 
 def raw_extract(catalog: Catalog, dataset: str) -> DataFrame:
     """The untyped spreadsheet form of one canonical table (test fixture for the 2.C loaders)."""
-    from pyspark.sql import functions as F
-
-    from vigil.sources.adapter import RAW_EXTRACTS
-
     base, cells = RAW_EXTRACTS[dataset]
     return catalog.table(base).select(*[F.expr(expr).alias(header) for header, expr in cells])
