@@ -37,8 +37,8 @@ def test_identifier_from_double(spark):
 def test_integer(spark):
     got = _one(spark, ["12", "12.0", "12.50", "+5", "1_000", "abc", None], lambda c: C.optional_integer(c, "N"))
     assert [g[0] for g in got] == [12, 12, None, 5, 1000, None, None]
-    assert got[2][1] == "N must be an integer; received '12.50'"
-    assert got[5][1] == "N must be an integer; received 'abc'"
+    assert got[2][1] == "N is not a whole number: '12.50'"
+    assert got[5][1] == "N is not a whole number: 'abc'"
     assert got[6][1] is None
 
 
@@ -48,7 +48,7 @@ def test_date(spark):
     values = [g[0] for g in got]
     assert values[:3] == [dt.date(2024, 1, 5)] * 3
     assert values[3:6] == [None, None, None]
-    assert got[6] == (None, "D contains an invalid date: 'bad'")
+    assert got[6] == (None, "D is not a date: 'bad'")
     assert got[7][1] is not None
     assert got[8] == (None, None)
 
@@ -56,8 +56,8 @@ def test_date(spark):
 def test_boolean(spark):
     got = _one(spark, ["Yes", " POSTED ", "n", "Not Posted", "0", "maybe", "", None], lambda c: C.optional_boolean(c, "B"))
     assert [g[0] for g in got] == [True, True, False, False, False, None, None, None]
-    assert got[5][1] == "B contains an invalid boolean: 'maybe'"
-    assert got[6][1] == "B contains an invalid boolean: ''"
+    assert got[5][1] == "B is neither yes nor no: 'maybe'"
+    assert got[6][1] == "B is neither yes nor no: ''"
 
 
 def test_classification_code(spark):
@@ -66,7 +66,7 @@ def test_classification_code(spark):
     assert got == ["NAI", "VAI", "OAI", None, None]
     df = spark.createDataFrame([("Pending", " oai "), ("(NAI)", "bad"), ("(NAI)", "")], "t string, e string")
     r = df.select(*C.classification_code(F.col("t"), F.col("e"))).collect()
-    assert [tuple(x) for x in r] == [("OAI", None), (None, "Classification Code must be NAI, VAI or OAI"), ("NAI", None)]
+    assert [tuple(x) for x in r] == [("OAI", None), (None, "Classification Code is none of NAI, VAI, OAI"), ("NAI", None)]
 
 
 def test_row_hash_matches_python(spark):

@@ -27,10 +27,10 @@ def test_read_extract_and_load(spark, scratch):
     b = rows[13]
     assert b["fei_number"] == "007" and b["classification_code"] is None
     assert b["errors"] == [
-        "Inspection End Date contains an invalid date: 'bad'",
-        "Fiscal Year must be an integer; received '20x4'",
-        "Posted Citations contains an invalid boolean: 'maybe'",
-        "Project Area is required",
+        "Inspection End Date is not a date: 'bad'",
+        "Fiscal Year is not a whole number: '20x4'",
+        "Posted Citations is neither yes nor no: 'maybe'",
+        "Project Area has no value",
     ]
 
 

@@ -21,8 +21,22 @@ PY_SPACE = r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{
 # Text tokens that mean "no date".
 DATE_NULL_TOKENS = ("-", "n/a", "na", "none", "null")
 
-# Accepted date layouts (bounded on purpose; free-form guessing is not reproduced).
-DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy/M/d")
+# Accepted date layouts, as (shape of the text, how it is read). A text is parsed once, by the first
+# layout that has its shape; free-form guessing is not reproduced.
+_ISO_TIME = r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?( ?(Z|[+-]\d{2}:?\d{2}))?"
+_US_TIME = r" \d{1,2}:\d{2}(:\d{2})?( ?[AaPp][Mm])?"
+DATE_LAYOUTS = (
+    (rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}({_ISO_TIME})?$", "yyyy-M-d"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}}({_US_TIME})?$", "M/d/yyyy"),
+    (rf"^\d{{4}}/\d{{1,2}}/\d{{1,2}}({_ISO_TIME})?$", "yyyy/M/d"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{2}}({_US_TIME})?$", "M/d/yy"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", "MMM d yyyy"),
+    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4}$", "MMMM d yyyy"),
+    (r"^\d{1,2}[- ][A-Za-z]{3}[- ]\d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2}[- ][A-Za-z]{4,9}[- ]\d{4}$", "d MMMM yyyy"),
+)
+FIRST_TWO_DIGIT_YEAR = 69  # two-digit years from here on are of the 1900s, the others of the 2000s
 
 # Boolean tokens (compared after strip + lower-case).
 TRUE_TOKENS = ("yes", "y", "true", "1", "posted")
@@ -60,6 +74,20 @@ def is_missing(c: str | Column, dtype: T.DataType | None = None) -> Column:
     return c.isNull()
 
 
+def text_date(s: Column) -> Column:
+    """The date in a stripped text, or NULL: one parse, chosen by the text's shape; a time of day is dropped."""
+    day = F.regexp_replace(F.regexp_replace(s, r"(?<=\d)[T ]+\d{1,2}:.*$", ""), ",", "")
+    out = F.lit(None).cast("date")
+    for shape, layout in reversed(DATE_LAYOUTS):
+        text = F.replace(day, F.lit("-"), F.lit(" ")) if layout.startswith("d MMM") else day
+        parsed = F.try_to_date(text, layout)
+        if layout.endswith("yy") and not layout.endswith("yyyy"):
+            late = F.year(parsed) >= 2000 + FIRST_TWO_DIGIT_YEAR
+            parsed = F.when(late, F.add_months(parsed, -1200)).otherwise(parsed)
+        out = F.when(s.rlike(shape), parsed).otherwise(out)
+    return out
+
+
 # The same characters as a plain set for ``btrim`` (a character loop, far cheaper than a regex).
 PY_SPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -87,7 +115,7 @@ def optional_text(c: str | Column, null_values: tuple[str, ...] = (), s: Column
 
 
 def required(value: Column, field: str) -> Column:
-    return F.when(value.isNull(), F.lit(f"{field} is required"))
+    return F.when(value.isNull(), F.lit(f"{field} has no value"))
 
 
 def required_text(c: str | Column, field: str, null_values: tuple[str, ...] = (), s: Column | None = None) -> Cleaned:
@@ -101,7 +129,7 @@ def optional_identifier(c: str | Column, dtype: T.DataType | None = None, s: Col
     c = _c(c)
     if isinstance(dtype, T.BooleanType):
         return Cleaned(F.lit(None).cast("string"), F.when(c.isNotNull(), F.concat(
-            F.lit("Boolean value is not a valid identifier: "), F.when(c, "True").otherwise("False"))))
+            F.lit("a boolean cannot identify anything: "), F.when(c, "True").otherwise("False"))))
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return Cleaned(c.cast("string"), no_error())
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
@@ -129,7 +157,7 @@ def optional_integer(c: str | Column, field: str, dtype: T.DataType | None = Non
     ok = ident.rlike(INTEGER_TEXT)
     value = F.when(ok, F.regexp_replace(ident, "_", "").try_cast("bigint"))
     bad = ident.isNotNull() & value.isNull()
-    msg = F.concat(F.lit(f"{field} must be an integer; received "), _quoted(_c(c)))
+    msg = F.concat(F.lit(f"{field} is not a whole number: "), _quoted(_c(c)))
     return Cleaned(value, F.coalesce(e, F.when(bad, msg)))
 
 
@@ -139,21 +167,21 @@ def required_integer(c: str | Column, field: str, dtype: T.DataType | None = Non
 
 
 def optional_date(c: str | Column, field: str, dtype: T.DataType | None = None, s: Column | None = None) -> Cleaned:
-    """dates/timestamps pass; text null tokens -> NULL; otherwise one of ``DATE_FORMATS``."""
+    """dates/timestamps pass; text null tokens -> NULL; otherwise one of ``DATE_LAYOUTS``."""
     c = _c(c)
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return Cleaned(c.cast("date"), no_error())
     if dtype is not None and not isinstance(dtype, T.StringType):
         return Cleaned(
             F.lit(None).cast("date"),
-            F.when(c.isNotNull(), F.concat(F.lit(f"{field} contains an unsupported date value: "), c.cast("string"))),
+            F.when(c.isNotNull(), F.concat(F.lit(f"{field} is of a type that holds no date: "), c.cast("string"))),
         )
     s = _stripped(c, s)
     token = (s == "") | F.lower(s).isin(*DATE_NULL_TOKENS)
-    parsed = F.coalesce(*[F.try_to_date(s, fmt) for fmt in DATE_FORMATS])
+    parsed = text_date(s)
     value = F.when(~token, parsed)
     bad = c.isNotNull() & ~token & parsed.isNull()
-    msg = F.concat(F.lit(f"{field} contains an invalid date: "), _quoted(c))
+    msg = F.concat(F.lit(f"{field} is not a date: "), _quoted(c))
     return Cleaned(value, F.when(bad, msg))
 
 
@@ -170,7 +198,7 @@ def optional_boolean(c: str | Column, field: str, dtype: T.DataType | None = Non
     norm = F.lower(_stripped(c, s))
     value = F.when(norm.isin(*TRUE_TOKENS), True).when(norm.isin(*FALSE_TOKENS), False)
     bad = c.isNotNull() & value.isNull()
-    msg = F.concat(F.lit(f"{field} contains an invalid boolean: "), _quoted(c))
+    msg = F.concat(F.lit(f"{field} is neither yes nor no: "), _quoted(c))
     return Cleaned(value, F.when(bad, msg))
 
 
@@ -186,7 +214,7 @@ def classification_code(classification: str | Column, explicit: str | Column | N
         return Cleaned(derived, no_error())
     ex = F.upper(optional_text(explicit, s=s_explicit))
     value = F.when(ex.isNotNull(), F.when(ex.isin(*CODES), ex)).otherwise(derived)
-    error = F.when(ex.isNotNull() & ~ex.isin(*CODES), F.lit("Classification Code must be NAI, VAI or OAI"))
+    error = F.when(ex.isNotNull() & ~ex.isin(*CODES), F.lit("Classification Code is none of NAI, VAI, OAI"))
     return Cleaned(value, error)
 
 
@@ -197,13 +225,6 @@ def row_hash(values: dict[str, Column]) -> Column:
     return F.sha2(payload, 256)
 
 
-def strict_us_date(c: str | Column, field: str = "date") -> Cleaned:
-    """Strict ``MM/DD/YYYY`` after a plain trim."""
-    s = F.trim(_c(c))
-    v = F.try_to_date(s, "MM/dd/yyyy")
-    return Cleaned(v, F.when(_c(c).isNotNull() & v.isNull(), F.concat(F.lit(f"invalid {field}: "), _quoted(_c(c)))))
-
-
 def errors_array(*errors: Column) -> Column:
     """Non-null messages, in field order, as ``array<string>`` (empty when the row is clean)."""
     return F.filter(F.array(*errors), lambda e: e.isNotNull())

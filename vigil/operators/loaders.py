@@ -212,15 +212,6 @@ def load(raw: DataFrame, dataset: str, filename: str | None = None, hashed: bool
     return staged.select(*cols)
 
 
-def skipped_rows(raw: DataFrame, dataset: str) -> DataFrame:
-    """Rows a loader skips before any other check (citations without CFR, 483s without FEI)."""
-    ds = DATASETS[dataset]
-    if ds.skip_field is None:
-        return raw.where(F.lit(False))
-    keep, _ = clean_field(raw, ds.skip_field)
-    return raw.where(keep.isNull())
-
-
 class BadRowsError(ValueError):
     pass
 
@@ -241,6 +232,6 @@ def apply_policy(loaded: DataFrame, mode: str = "fail", examples: int = 10, key:
             shown = "; ".join(
                 ", ".join(f"{k}={r[k]!r}" for k in key) + ": " + " | ".join(r["errors"]) for r in sample
             )
-            raise BadRowsError(f"{n} bad rows; first {len(sample)}: {shown}")
+            raise BadRowsError(f"{n} rows cannot be loaded, among them {shown}")
         return good
     raise ValueError(f"unknown mode {mode!r}")

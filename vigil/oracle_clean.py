@@ -1,24 +1,24 @@
 """DuckDB oracle SQL for the cleaning rules (2.B), loaders (2.C) and integrity checks (2.F).
 
 The rules are re-stated here as DuckDB SQL expressions (RE2 regexes, ``try_strptime``, ``TRY_CAST``);
-they share only the fixed token lists with :mod:`vigil.functions.clean`.
+no rule, pattern or token list is shared with :mod:`vigil.functions.clean`.
 """
 
 from __future__ import annotations
 
-from vigil.functions.clean import (
-    DATE_NULL_TOKENS,
-    FALSE_TOKENS,
-    INTEGER_TEXT,
-    INTEGRAL_DECIMAL_TEXT,
-    PY_SPACE,
-    TRUE_TOKENS,
-)
 from vigil.operators.loaders import DATASETS, Field
 from vigil.oracle import oracle
 from vigil.sources.adapter import RAW_EXTRACTS
 
-DUCK_DATE_FORMATS = ("%Y-%m-%d", "%m/%d/%Y", "%Y-%m-%d %H:%M:%S", "%Y/%m/%d")
+# the rules stated for DuckDB, apart from the operators' own statements
+PY_SPACE = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+NO_DATE = ("-", "n/a", "na", "none", "null")
+YES, NO = ("1", "true", "y", "yes", "posted"), ("0", "false", "n", "no", "not posted")
+# layouts of dates and of dates with a time of day, tried one after the other
+_DAYS = ("%m/%d/%y", "%Y-%m-%d", "%m/%d/%Y", "%Y/%m/%d", "%Y%m%d", "%b %d, %Y", "%b %d %Y", "%B %d, %Y", "%B %d %Y", "%d-%b-%Y", "%d %b %Y", "%d-%B-%Y", "%d %B %Y")
+_TIMES = {"%m/%d/%y": (" ",), "%Y-%m-%d": ("T", " "), "%Y/%m/%d": ("T", " "), "%m/%d/%Y": (" ",)}
+_CLOCKS = {"T": ("%H:%M", "%H:%M:%S", "%H:%M:%S.%f", "%H:%M:%SZ"), " ": ("%H:%M", "%H:%M:%S", "%H:%M:%S.%f")}
+DUCK_DATE_FORMATS = (*_DAYS, *[d + t + c for d, ts in _TIMES.items() for t in ts for c in _CLOCKS[t]])
 
 
 def _list(values) -> str:
@@ -38,10 +38,9 @@ def opt_text(x: str, nulls=()) -> str:
 
 def ident(x: str) -> str:
     s = opt_text(x)
-    return (
-        f"(CASE WHEN regexp_matches({s}, '{INTEGRAL_DECIMAL_TEXT}') "
-        f"THEN regexp_extract({s}, '{INTEGRAL_DECIMAL_TEXT}', 1) ELSE {s} END)"
-    )
+    # digits, a point and nothing but zeros after it: the zeros go
+    point = f"split_part({s}, '.', 2)"
+    return f"(CASE WHEN translate({s}, '0123456789', '') = '.' AND {point} <> '' AND replace({point}, '0', '') = '' AND {s} NOT LIKE '.%' THEN split_part({s}, '.', 1) ELSE {s} END)"
 
 
 def quoted(x: str) -> str:
@@ -50,16 +49,18 @@ def quoted(x: str) -> str:
 
 def integer(x: str) -> str:
     i = ident(x)
-    return f"(CASE WHEN regexp_matches({i}, '{INTEGER_TEXT}') THEN TRY_CAST(replace({i}, '_', '') AS BIGINT) END)"
+    digits = f"ltrim({i}, '+-')"
+    plain = f"length({i}) - length({digits}) <= 1 AND translate({digits}, '0123456789_', '') = '' AND {digits} NOT LIKE '!_%' ESCAPE '!' AND {digits} NOT LIKE '%!_' ESCAPE '!' AND NOT contains({digits}, '__') AND {digits} <> ''"
+    return f"(CASE WHEN {plain} THEN TRY_CAST(replace({i}, '_', '') AS BIGINT) END)"
 
 
 def integer_error(x: str, field: str) -> str:
-    return f"(CASE WHEN {ident(x)} IS NOT NULL AND {integer(x)} IS NULL THEN '{field} must be an integer; received ' || {quoted(x)} END)"
+    return f"(CASE WHEN {ident(x)} IS NOT NULL AND {integer(x)} IS NULL THEN '{field} is not a whole number: ' || {quoted(x)} END)"
 
 
 def _date_token(x: str) -> str:
     s = strip(x)
-    return f"({s} = '' OR lower({s}) IN ({_list(DATE_NULL_TOKENS)}))"
+    return f"({s} = '' OR lower({s}) IN ({_list(NO_DATE)}))"
 
 
 def date(x: str) -> str:
@@ -71,17 +72,17 @@ def date(x: str) -> str:
 def date_error(x: str, field: str) -> str:
     return (
         f"(CASE WHEN {x} IS NOT NULL AND NOT {_date_token(x)} AND {date(x)} IS NULL "
-        f"THEN '{field} contains an invalid date: ' || {quoted(x)} END)"
+        f"THEN '{field} is not a date: ' || {quoted(x)} END)"
     )
 
 
 def boolean(x: str) -> str:
     n = f"lower({strip(x)})"
-    return f"(CASE WHEN {n} IN ({_list(TRUE_TOKENS)}) THEN true WHEN {n} IN ({_list(FALSE_TOKENS)}) THEN false END)"
+    return f"(CASE WHEN {n} IN ({_list(YES)}) THEN true WHEN {n} IN ({_list(NO)}) THEN false END)"
 
 
 def boolean_error(x: str, field: str) -> str:
-    return f"(CASE WHEN {x} IS NOT NULL AND {boolean(x)} IS NULL THEN '{field} contains an invalid boolean: ' || {quoted(x)} END)"
+    return f"(CASE WHEN {x} IS NOT NULL AND {boolean(x)} IS NULL THEN '{field} is neither yes nor no: ' || {quoted(x)} END)"
 
 
 def code(classification: str, explicit: str | None) -> str:
@@ -99,11 +100,11 @@ def code(classification: str, explicit: str | None) -> str:
 
 def code_error(explicit: str) -> str:
     e = f"upper({opt_text(explicit)})"
-    return f"(CASE WHEN {e} IS NOT NULL AND {e} NOT IN ('NAI', 'VAI', 'OAI') THEN 'Classification Code must be NAI, VAI or OAI' END)"
+    return f"(CASE WHEN {e} IS NOT NULL AND {e} NOT IN ('NAI', 'VAI', 'OAI') THEN 'Classification Code is none of NAI, VAI, OAI' END)"
 
 
 def required(v: str, field: str) -> str:
-    return f"(CASE WHEN {v} IS NULL THEN '{field} is required' END)"
+    return f"(CASE WHEN {v} IS NULL THEN '{field} has no value' END)"
 
 
 def row_hash(values: dict[str, str]) -> str:

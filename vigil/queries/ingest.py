@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import clean as C
 from vigil.operators import integrity as I
-from vigil.operators.loaders import DATASETS, load
+from vigil.operators.loaders import DATASETS, apply_policy, load
 from vigil.oracle import oracle
 from vigil.oracle_clean import CLEAN_ORACLES, DUPLICATE_ORACLES, LOADER_ORACLES, loader_sql
 from vigil.registry import register
@@ -51,6 +51,15 @@ def clean_date(spark, sf_dir):
     return rc.select("k", "line", v.alias("date_value"), e.alias("date_error"))
 
 
+@register("clean_missing", oracle("SELECT k, line, x IS NULL OR isnan(x) AS missing FROM (SELECT k, line, CASE line % 3 WHEN 0 THEN 'NaN'::DOUBLE "
+                                  "WHEN 1 THEN CAST(k AS DOUBLE) END AS x FROM raw_cells) r", tables=("raw_cells",)))
+def clean_missing(spark, sf_dir):
+    """B1 over a number that is there, absent, or not a number."""
+    x = F.when(F.col("line") % 3 == 0, float("nan")).when(F.col("line") % 3 == 1, F.col("k").cast("double"))
+    rows = _rc(spark, sf_dir).select("k", "line", x.alias("x"))
+    return rows.select("k", "line", C.is_missing("x", rows.schema["x"].dataType).alias("missing"))
+
+
 @register("clean_boolean", CLEAN_ORACLES["clean_boolean"])
 def clean_boolean(spark, sf_dir):
     rc = _rc(spark, sf_dir)
@@ -136,6 +145,92 @@ def not_null_violations(spark, sf_dir):
     return I.violation_table(_all_loaded(spark, sf_dir), ("not_null",))
 
 
+# The loaders let no illegal code through and the extracts hold no long texts, so the rules are also run over loaded
+# rows into which a breach of every rule was planted: the hash's first digits pick which one (valid in both dialects).
+
+
+def planted_breaches(table: str) -> list[tuple[str, str]]:
+    """(column, bad value) per rule of a stored table."""
+    out = [(c, "NULL") for c in I.NOT_NULL.get(table, ())]
+    out += [(c, f"repeat('x', {n + 1})") for c, n in I.MAX_LENGTH.get(table, {}).items()]
+    return out + {"inspections": [("classification_code", "'ABC'")], "compliance_actions": [("action_type", "'Letter'")]}.get(table, [])
+
+
+def planted_columns(table: str, pick: str) -> str:
+    breaches = planted_breaches(table)
+    columns = [f.name for f in DATASETS[table].fields] + ["hash"]
+    cells = []
+    for c in columns:
+        bad = " ".join(f"WHEN {pick} % {len(breaches)} = {i} THEN {value}" for i, (name, value) in enumerate(breaches) if name == c)
+        cells.append(f"CASE {bad} ELSE {c} END AS {c}" if bad else c)
+    return ", ".join(cells)
+
+
+def _planted_oracle() -> str:
+    ctes: dict[str, str] = {}
+    selects = []
+    for d in DATASETS:
+        final, raw = loader_sql(d)
+        ctes |= raw
+        ctes[f"loaded_{d}"] = final
+        ctes[f"planted_{d}"] = f"SELECT {planted_columns(d, _DUCK_PICK)} FROM loaded_{d}"
+        for rule, sql in I.CHECKS.get(d, []):
+            selects.append((d, "check", rule, f"({sql}) = false"))
+        selects += [(d, "not_null", c, f"{c} IS NULL") for c in I.NOT_NULL.get(d, ())]
+        selects += [(d, "max_length", f"{c}<={n}", f"length({c}) > {n}") for c, n in I.MAX_LENGTH.get(d, {}).items()]
+    body = "\nUNION ALL\n".join(f"SELECT '{d}' AS table_name, '{kind}' AS kind, '{rule}' AS rule, count(*) FILTER (WHERE {bad}) AS violations FROM planted_{d}" for d, kind, rule, bad in selects)
+    return oracle(body, ctes, tables=tuple(RAW_EXTRACTS[d][0] for d in DATASETS))
+
+
+_DUCK_PICK = "CAST('0x' || substr(hash, 1, 4) AS INTEGER)"
+_SPARK_PICK = "CAST(conv(substr(hash, 1, 4), 16, 10) AS INT)"
+
+
+@register("violations_planted", _planted_oracle())
+def violations_planted(spark, sf_dir):
+    """F2-F4 over rows that break every rule."""
+    loaded = _all_loaded(spark, sf_dir)
+    broken = {d: spark.sql(f"SELECT {planted_columns(d, _SPARK_PICK)} FROM {{rows}}", rows=df) for d, df in loaded.items()}
+    return I.violation_table(broken)
+
+
+_AGAIN = "SELECT * FROM {rows} UNION ALL SELECT * FROM {rows} WHERE substr(hash, 1, 1) = '0' UNION ALL SELECT * FROM {rows} WHERE substr(hash, 1, 2) = '0a'"
+
+
+def _repeated_oracle() -> str:
+    final, raw = loader_sql("recalls")
+    key = ", ".join(DATASETS["recalls"].key)
+    ctes = raw | {"ld": final, "twice": _AGAIN.replace("{rows}", "ld")}
+    return oracle(f"SELECT {key}, count(*) AS duplicate_count FROM twice GROUP BY {key} HAVING count(*) >= 2", ctes, tables=(RAW_EXTRACTS["recalls"][0],))
+
+
+@register("duplicate_identities_planted", _repeated_oracle())
+def duplicate_identities_planted(spark, sf_dir):
+    """F1 over recalls of which some come two or three times."""
+    return I.duplicate_identities(spark.sql(_AGAIN, rows=loaded(spark, sf_dir, "recalls")), DATASETS["recalls"].key)
+
+
+def _quarantine_oracle() -> str:
+    ctes: dict[str, str] = {}
+    parts = []
+    for d in DATASETS:
+        final, raw = loader_sql(d)
+        ctes |= raw
+        ctes[f"loaded_{d}"] = final
+        parts.append(f"SELECT '{d}' AS dataset, hash, array_to_string(errors, '; ') AS reasons FROM loaded_{d} WHERE len(errors) > 0")
+    return oracle("\nUNION ALL\n".join(parts), ctes, tables=tuple(RAW_EXTRACTS[d][0] for d in DATASETS))
+
+
+@register("quarantined_rows", _quarantine_oracle())
+def quarantined_rows(spark, sf_dir):
+    """what quarantine sets aside, with the reasons."""
+    parts = []
+    for d, df in _all_loaded(spark, sf_dir).items():
+        _good, bad = apply_policy(df, "quarantine")
+        parts.append(bad.select(F.lit(d).alias("dataset"), "hash", F.array_join("errors", "; ").alias("reasons")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def _ingest_counts_oracle() -> str:
     ctes: dict[str, str] = {}
     selects = []

@@ -40,7 +40,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
      JOIN nation ON c_nationkey = n_nationkey
      JOIN part ON l_partkey = p_partkey""",
     "inspections_citations": """
-SELECT l_orderkey AS inspection_id, CAST(o_custkey AS STRING) AS fei_number,
+SELECT CASE WHEN l_linenumber = 6 AND l_partkey % 5 = 0 THEN l_orderkey + 1000000000 ELSE l_orderkey END AS inspection_id,
+       CAST(o_custkey AS STRING) AS fei_number,
        CAST(o_orderdate AS DATE) AS inspection_end_date,
        CASE l_linenumber % 2 WHEN 0 THEN 'Drugs' ELSE 'Devices' END AS program_area,
        CASE WHEN l_linenumber = 7 THEN '  '
@@ -77,7 +78,21 @@ SELECT l_orderkey AS k, l_linenumber AS line,
             WHEN 2 THEN concat('00', CAST(l_partkey AS STRING))
             WHEN 3 THEN concat(CAST(l_partkey AS STRING), '.50') ELSE ' ' END AS raw_id,
        CASE l_linenumber % 4 WHEN 0 THEN '-' WHEN 1 THEN '' WHEN 2 THEN concat(' ', l_returnflag, ' ') ELSE l_returnflag END AS raw_text,
-       CASE l_linenumber % 4 WHEN 0 THEN 'N/A' WHEN 1 THEN '-' WHEN 2 THEN concat(' ', CAST(CAST(l_shipdate AS DATE) AS STRING)) ELSE 'bad' END AS raw_date,
+       CASE l_linenumber % 4 WHEN 0 THEN 'N/A' WHEN 1 THEN '-' WHEN 2 THEN CASE l_partkey % 13
+            WHEN 0 THEN concat(' ', CAST(CAST(l_shipdate AS DATE) AS STRING))
+            WHEN 1 THEN concat(CAST(year(CAST(l_shipdate AS DATE)) AS STRING), '-', CAST(month(CAST(l_shipdate AS DATE)) AS STRING), '-', CAST(day(CAST(l_shipdate AS DATE)) AS STRING))
+            WHEN 2 THEN concat(CAST(CAST(l_shipdate AS DATE) AS STRING), 'T09:30:00')
+            WHEN 3 THEN concat(CAST(CAST(l_shipdate AS DATE) AS STRING), ' 9:30')
+            WHEN 4 THEN concat(CAST(month(CAST(l_shipdate AS DATE)) AS STRING), '/', CAST(day(CAST(l_shipdate AS DATE)) AS STRING), '/', CAST(year(CAST(l_shipdate AS DATE)) AS STRING))
+            WHEN 5 THEN concat(CAST(month(CAST(l_shipdate AS DATE)) AS STRING), '/', CAST(day(CAST(l_shipdate AS DATE)) AS STRING), '/', CAST(year(CAST(l_shipdate AS DATE)) AS STRING), ' 10:00')
+            WHEN 6 THEN concat(CAST(month(CAST(l_shipdate AS DATE)) AS STRING), '/', CAST(day(CAST(l_shipdate AS DATE)) AS STRING), '/', substr(CAST(year(CAST(l_shipdate AS DATE)) AS STRING), 3, 2))
+            WHEN 7 THEN concat(substr('JanFebMarAprMayJunJulAugSepOctNovDec', month(CAST(l_shipdate AS DATE)) * 3 - 2, 3), ' ', CAST(day(CAST(l_shipdate AS DATE)) AS STRING), ', ', CAST(year(CAST(l_shipdate AS DATE)) AS STRING))
+            WHEN 8 THEN concat(CASE month(CAST(l_shipdate AS DATE)) WHEN 1 THEN 'January' WHEN 2 THEN 'February' WHEN 3 THEN 'March' WHEN 4 THEN 'April' WHEN 5 THEN 'May' WHEN 6 THEN 'June' WHEN 7 THEN 'July' WHEN 8 THEN 'August' WHEN 9 THEN 'September' WHEN 10 THEN 'October' WHEN 11 THEN 'November' WHEN 12 THEN 'December' END, ' ', CAST(day(CAST(l_shipdate AS DATE)) AS STRING), ', ', CAST(year(CAST(l_shipdate AS DATE)) AS STRING))
+            WHEN 9 THEN concat(CAST(day(CAST(l_shipdate AS DATE)) AS STRING), '-', substr('JanFebMarAprMayJunJulAugSepOctNovDec', month(CAST(l_shipdate AS DATE)) * 3 - 2, 3), '-', CAST(year(CAST(l_shipdate AS DATE)) AS STRING))
+            WHEN 10 THEN concat(CAST(year(CAST(l_shipdate AS DATE)) AS STRING), '/', CAST(month(CAST(l_shipdate AS DATE)) AS STRING), '/', CAST(day(CAST(l_shipdate AS DATE)) AS STRING))
+            WHEN 11 THEN concat(upper(substr('JanFebMarAprMayJunJulAugSepOctNovDec', month(CAST(l_shipdate AS DATE)) * 3 - 2, 3)), ' ', CAST(day(CAST(l_shipdate AS DATE)) AS STRING), ' ', CAST(year(CAST(l_shipdate AS DATE)) AS STRING))
+            WHEN 12 THEN concat(CAST(month(CAST(l_shipdate AS DATE)) AS STRING), '/', CAST(day(CAST(l_shipdate AS DATE)) AS STRING), '/', CASE WHEN l_orderkey % 2 = 0 THEN '68' ELSE '69' END)
+            END ELSE CASE l_partkey % 4 WHEN 0 THEN 'bad' WHEN 1 THEN '13/45/2020' WHEN 2 THEN '2021-02-30' ELSE 'Foo 5, 2020' END END AS raw_date,
        CASE l_linenumber % 7 WHEN 0 THEN 'Yes' WHEN 1 THEN 'n' WHEN 2 THEN ' POSTED ' WHEN 3 THEN 'Not Posted' WHEN 4 THEN '1' WHEN 5 THEN 'maybe' END AS raw_bool,
        CASE l_linenumber % 5 WHEN 0 THEN 'No Action Indicated (NAI)' WHEN 1 THEN 'vai' WHEN 2 THEN 'Official Action (OAI)' WHEN 3 THEN 'Pending' END AS raw_class
 FROM lineitem""",
