@@ -11,8 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.loaders import DATASETS
-
 # CHECK constraints of the stored tables (SQL text, valid in Spark and DuckDB).
 CHECKS: dict[str, list[tuple[str, str]]] = {
     "inspections": [
@@ -116,33 +114,28 @@ def feature_snapshot_checks(features: DataFrame) -> DataFrame:
     )
     tc = F.col("target_classification")
     return features.agg(
-        F.count(F.lit(1)).cast("int").alias("row_count"),
-        F.count_distinct("inspection_id").cast("int").alias("inspection_count"),
-        F.count_if(~tc.isin("NAI", "VAI", "OAI") | tc.isNull()).cast("int").alias("invalid_targets"),
-        F.count_if(prior < 0).cast("int").alias("invalid_history"),
-        F.count_if(cold_bad).cast("int").alias("invalid_cold_start"),
-        *[F.count_if(~F.coalesce(F.expr(sql), F.lit(True))).cast("int").alias(f"ck_{name}") for name, sql in FEATURE_CHECKS],
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("inspection_id").alias("inspection_count"),
+        F.count_if(~tc.isin("NAI", "VAI", "OAI") | tc.isNull()).alias("invalid_targets"),
+        F.count_if(prior < 0).alias("invalid_history"),
+        F.count_if(cold_bad).alias("invalid_cold_start"),
+        *[F.count_if(~F.coalesce(F.expr(sql), F.lit(True))).alias(f"ck_{name}") for name, sql in FEATURE_CHECKS],
     )
 
 
+#: measure of the one-row F10 result -> what it means when it is not zero
+_MEANINGS = {
+    "invalid_targets": "targets outside NAI, VAI, OAI",
+    "invalid_history": "negative numbers of earlier inspections",
+    "invalid_cold_start": "first inspections that carry values of an earlier one",
+    **{f"ck_{name}": f"breaches of the {name} constraint" for name, _ in FEATURE_CHECKS},
+}
+
+
 def snapshot_problems(row, expected_count: int) -> list[str]:
-    """Turn the one-row F10 result into the list of problems (empty = valid)."""
-    problems = []
-    if row["row_count"] != expected_count:
-        problems.append("stored row count does not match inserted row count")
-    if row["row_count"] != row["inspection_count"]:
-        problems.append("feature snapshot contains duplicate inspection IDs")
-    if row["invalid_targets"]:
-        problems.append(f"{row['invalid_targets']} target labels are invalid")
-    if row["invalid_history"]:
-        problems.append(f"{row['invalid_history']} history counts are invalid")
-    if row["invalid_cold_start"]:
-        problems.append(f"{row['invalid_cold_start']} cold-start rows contain previous-inspection values")
-    for name, _ in FEATURE_CHECKS:
-        if row[f"ck_{name}"]:
-            problems.append(f"{row[f'ck_{name}']} rows violate {name}")
-    return problems
-
-
-def identity_keys(dataset: str) -> tuple[str, ...]:
-    return DATASETS[dataset].key
+    """The problems that the one-row F10 result shows (none: the snapshot is sound). ``expected_count`` is the number
+    of labelled inspections at the source, counted apart from the snapshot."""
+    found = row.asDict()
+    found |= {"unexpected": found["row_count"] - expected_count, "repeated": found["row_count"] - found["inspection_count"]}
+    meanings = {"unexpected": f"rows more than the source's {expected_count} inspections", "repeated": "rows that repeat an inspection", **_MEANINGS}
+    return [f"{found[measure]} {meaning}" for measure, meaning in meanings.items() if found[measure]]

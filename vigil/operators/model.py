@@ -60,6 +60,7 @@ MAX_ITER = 500
 THRESHOLD = 0.5
 TEST_FRACTION_START = 0.8
 MIN_DATES = 10
+MAX_LEVELS = 10_000  # levels of the categorical input that a fit accepts
 
 
 class TrainingDataError(ValueError):
@@ -74,7 +75,7 @@ def training_data_checks(data: DataFrame) -> DataFrame:
     required = set(IDENTIFIER_COLUMNS) | {TARGET_COLUMN} | set(FEATURE_COLUMNS)
     missing = sorted(required - set(data.columns))
     if missing:
-        raise TrainingDataError(f"Training dataset is missing columns: {missing}")
+        raise TrainingDataError(f"columns that training needs are not there: {missing}")
     y = F.col(TARGET_COLUMN).cast("int")
     return data.agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -90,16 +91,16 @@ def training_data_checks(data: DataFrame) -> DataFrame:
 def validate_training_data(data: DataFrame) -> None:
     r = training_data_checks(data).first()
     if r["row_count"] == 0:
-        raise TrainingDataError("Training dataset is empty")
+        raise TrainingDataError("no rows to train on")
     if r["duplicate_ids"]:
         ex = [x[0] for x in data.groupBy("inspection_id").count().where("count > 1").select("inspection_id").limit(10).collect()]
-        raise TrainingDataError(f"Training dataset contains duplicate inspection IDs. Examples: {ex}")
+        raise TrainingDataError(f"{r['duplicate_ids']} rows repeat an inspection, such as {ex}")
     if r["null_dates"]:
-        raise TrainingDataError("prediction_date contains missing values")
+        raise TrainingDataError(f"{r['null_dates']} rows have no prediction date")
     if r["null_targets"]:
-        raise TrainingDataError(f"{TARGET_COLUMN} contains missing values")
+        raise TrainingDataError(f"{r['null_targets']} rows have no target")
     if r["other_targets"] or not r["negatives"] or not r["positives"]:
-        raise TrainingDataError("Expected binary target values {0, 1}")
+        raise TrainingDataError("targets must be 0 and 1, and both must occur")
 
 
 def test_start_date(data: DataFrame) -> Column:
@@ -122,16 +123,16 @@ def temporal_split(data: DataFrame) -> DataFrame:
 def check_split(split: DataFrame) -> None:
     dates = split.agg(F.count_distinct("prediction_date").alias("n")).first()["n"]
     if dates < MIN_DATES:
-        raise TrainingDataError("At least 10 distinct prediction dates are required for a temporal split")
+        raise TrainingDataError(f"a split by date needs {MIN_DATES} dates, there are {dates}")
     y = F.col(TARGET_COLUMN).cast("int")
     r = split.groupBy("split").agg(F.count_if(y == 0).alias("neg"), F.count_if(y == 1).alias("pos")).collect()
     seen = {row["split"]: row for row in r}  # at most two rows
     for name in ("train", "test"):
         row = seen.get(name)
         if row is None:
-            raise TrainingDataError(f"{name} partition is empty")
+            raise TrainingDataError(f"the {name} part has no rows")
         if not row["neg"] or not row["pos"]:
-            raise TrainingDataError(f"{name} partition does not contain both target classes")
+            raise TrainingDataError(f"the {name} part has one target class only")
 
 
 # -------------------------------------------------------------------------------------------- J2-J5
@@ -200,8 +201,9 @@ def fit(data: DataFrame, validate: bool = True) -> tuple[PipelineModel, DataFram
     if validate:
         check_split(split)
     train = split.where(F.col("split") == "train")
-    # Levels are bounded by the categorical domain (states), not by rows.
-    levels = sorted(r[0] for r in train.select("state").distinct().collect())
+    levels = sorted(r[0] for r in train.select("state").distinct().limit(MAX_LEVELS + 1).collect())
+    if len(levels) > MAX_LEVELS:  # free text would make one coefficient per spelling
+        raise TrainingDataError(f"state has more than {MAX_LEVELS} levels")
     n_train = train.count()
     model = build_pipeline(len(levels), n_train).fit(train)
     return model, split, levels, n_train
@@ -264,7 +266,7 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     """Rank-sum AUC, ties counted one half: sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N)."""
     t = _score_table(scored)
     return t.agg(
-        (F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") / 2.0)) / (F.sum("pos") * F.sum("neg"))).alias("roc_auc")
+        (F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") / 2.0)) / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("roc_auc")
     )
 
 
@@ -295,51 +297,88 @@ def evaluate(scored: DataFrame, threshold: float = THRESHOLD) -> dict:
 # ------------------------------------------------------------------------------------------ J12-J13
 
 
-def feature_names(levels: list[str]) -> list[str]:
-    return list(CONTINUOUS_FEATURES + BINARY_FEATURES) + [f"state_{lv}" for lv in levels[1:]]
+STATE_PREFIX = "state_"
+HIGHER, LOWER, SAME = "Higher adverse odds", "Lower adverse odds", "No estimated change"  # fixed values
+TOP = 15  # length of the strongest-association lists
 
 
-def readable(name: str) -> str:
-    if name.startswith("state_"):
-        return "State: " + name[len("state_"):]
-    return name.replace("_", " ").title()
+def feature_names(levels: list[str]) -> list[str]:
+    """Names of the coefficients: inputs, then one per state but the first, which is the baseline."""
+    return [*CONTINUOUS_FEATURES, *BINARY_FEATURES, *[STATE_PREFIX + level for level in levels[1:]]]
+
+
+def coefficient_rows(model: PipelineModel, levels: list[str]) -> DataFrame:
+    """(transformed_feature, coefficient) of a fitted pipeline; one row per coefficient."""
+    values = model.stages[-1].coefficients.toArray().tolist()
+    named = list(zip(feature_names(levels), values, strict=True))
+    return SparkSession.getActiveSession().createDataFrame(named, "transformed_feature string, coefficient double")
+
+
+def odds_ratio_table(coefficients: DataFrame) -> DataFrame:
+    """(transformed_feature, coefficient) with a readable name, odds ratio, change in odds and direction."""
+    name, b = F.col("transformed_feature"), F.col("coefficient")
+    state = name.startswith(STATE_PREFIX)
+    label = F.when(state, F.concat(F.lit("State: "), F.substr(name, F.lit(len(STATE_PREFIX) + 1)))).otherwise(F.initcap(F.replace(name, F.lit("_"), F.lit(" "))))
+    way = F.when(b > 0, HIGHER).when(b < 0, LOWER).otherwise(SAME)
+    return coefficients.select(
+        name, label.alias("feature"), b, F.exp(b).alias("odds_ratio"), (100 * F.expm1(b)).alias("odds_change_percent"),
+        way.alias("direction"), F.abs(b).alias("absolute_coefficient"),
+    )
 
 
 def coefficient_table(model: PipelineModel, levels: list[str]) -> DataFrame:
-    """Coefficient, odds ratio, % change in odds and direction per transformed feature.
+    """J12 of a fitted pipeline."""
+    return odds_ratio_table(coefficient_rows(model, levels))
+
+
+def top_associations(table: DataFrame, top: int = TOP) -> DataFrame:
+    """The strongest positive and the strongest negative associations, ranked (a top-k report)."""
+    parts = []
+    for side, best in (("positive", F.desc("coefficient")), ("negative", F.asc("coefficient"))):
+        strongest = table.where(F.col("coefficient") > 0 if side == "positive" else F.col("coefficient") < 0).orderBy(best, "transformed_feature").limit(top)
+        rank = F.row_number().over(Window.orderBy(best, "transformed_feature"))  # ``top`` rows at most
+        parts.append(strongest.select(F.lit(side).alias("side"), rank.alias("rank"), *table.columns))
+    return parts[0].unionByName(parts[1])
+
+
+def state_odds(table: DataFrame, baseline: Column) -> DataFrame:
+    """The states, with the baseline state as a row of odds ratio 1."""
+    states = table.where(F.col("transformed_feature").startswith(STATE_PREFIX))
+    rows = states.select(F.substr("feature", F.lit(len("State: ") + 1)).alias("state"), "coefficient", "odds_ratio", "odds_change_percent", "direction", F.lit(False).alias("is_baseline"))
+    base = table.sparkSession.range(1).select(baseline.alias("state"), F.lit(0.0).alias("coefficient"), F.lit(1.0).alias("odds_ratio"),
+                                              F.lit(0.0).alias("odds_change_percent"), F.lit("Baseline").alias("direction"), F.lit(True).alias("is_baseline"))
+    return rows.unionByName(base)
+
 
-    The table has one row per model coefficient (bounded by the feature count)."""
+def product_odds(table: DataFrame) -> DataFrame:
+    """The product-history indicators."""
+    return table.where(F.col("transformed_feature").startswith("has_prior_product_"))
+
+
+def continuous_odds(table: DataFrame) -> DataFrame:
+    """The counts and rates."""
+    return table.where(F.col("transformed_feature").isin(*CONTINUOUS_FEATURES))
+
+
+def loss_gradient(model: PipelineModel, train: DataFrame, n_train: int) -> DataFrame:
+    """Largest absolute component of the fitted objective's gradient, per training row (0 at the optimum).
+
+    Objective: mean log-loss + ||w||^2 / (2 C n). One pass over the training rows; the driver gets one vector of
+    as many numbers as there are coefficients."""
     lr = model.stages[-1]
-    coefs = [float(x) for x in lr.coefficients.toArray()]
-    names = feature_names(levels)
-    if len(names) != len(coefs):
-        raise ValueError("The number of transformed feature names does not match the number of model coefficients.")
-    spark = SparkSession.getActiveSession()
-    rows = [(n, readable(n), c) for n, c in zip(names, coefs)]
-    df = spark.createDataFrame(rows, "transformed_feature string, feature string, coefficient double")
-    b = F.col("coefficient")
-    return df.select(
-        "transformed_feature", "feature", "coefficient",
-        F.exp(b).alias("odds_ratio"),
-        ((F.exp(b) - 1.0) * 100.0).alias("odds_change_percent"),
-        F.when(b > 0, "Higher adverse odds").when(b < 0, "Lower adverse odds").otherwise("No estimated change").alias("direction"),
-        F.abs(b).alias("absolute_coefficient"),
-    )
+    scored = model.transform(train).select(vector_to_array("features").alias("x"), (vector_to_array("probability")[1] - F.col("label")).alias("r"))
+    long = scored.select(F.posexplode("x").alias("i", "v"), "r").groupBy("i").agg((F.sum(F.col("v") * F.col("r")) / n_train).alias("g"))
+    weights = train.sparkSession.createDataFrame(list(enumerate(lr.coefficients.toArray().tolist())), "i int, w double")
+    slope = long.join(F.broadcast(weights), "i").select(F.abs(F.col("g") + F.col("w") / (C * n_train)).alias("g"))
+    bias = scored.agg(F.abs(F.avg("r")).alias("g"))
+    return slope.unionByName(bias).agg(F.max("g").alias("largest_gradient"))
 
 
 def reference_levels(data: DataFrame) -> DataFrame:
-    """Per categorical input (after imputation): reference (first sorted) level and level count."""
-    imp = impute(data)
-    parts = [
-        imp.agg(F.min(c).alias("reference_level"), F.count_distinct(c).alias("level_count")).select(
-            F.lit(c).alias("feature"), "reference_level", "level_count"
-        )
-        for c in CATEGORICAL_FEATURES
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Per categorical input (after imputation): the baseline (first in order) and the number of levels."""
+    known = {c: F.coalesce(F.col(c), F.lit(UNKNOWN)) for c in CATEGORICAL_FEATURES}
+    per_input = [F.struct(F.lit(c).alias("feature"), F.min(v).alias("reference_level"), F.count_distinct(v).alias("level_count")) for c, v in known.items()]
+    return data.agg(F.array(*per_input).alias("levels")).select(F.inline("levels"))
 
 
 # ----------------------------------------------------------------------------------------------- A10

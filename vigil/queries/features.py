@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vigil.operators.integrity import FEATURE_CHECKS, feature_snapshot_checks
 from vigil.oracle import FEATURE_ORACLES as O
+from vigil.oracle import FEATURE_SELECT, feature_oracle
 from vigil.plans.features import FeaturePlan, compliance_action_events, inspection_product_types
 from vigil.registry import register
 from vigil.sources.catalog import Catalog
 
 
+UNTIL = "1996-06-30"  # cut-off date of the registered G20 query
+
+
 def plan(spark: SparkSession, sf_dir: str) -> FeaturePlan:
     return FeaturePlan(Catalog(spark, sf_dir))
 
@@ -101,36 +107,56 @@ def features_exploratory(spark, sf_dir) -> DataFrame:
 
 # F10 / G19 --------------------------------------------------------------------------------------------
 
-from vigil.operators.integrity import FEATURE_CHECKS, feature_snapshot_checks  # noqa: E402
-from vigil.oracle import FEATURE_SELECT, feature_oracle  # noqa: E402
 
-_CHECK_SQL = ", ".join(
-    f"CAST(count(*) FILTER (WHERE NOT COALESCE({sql}, true)) AS INTEGER) AS ck_{name}" for name, sql in FEATURE_CHECKS
-)
+def _checks_sql(rows: str) -> str:
+    broken = ", ".join(f"count(*) FILTER (WHERE ({sql}) = false) AS ck_{name}" for name, sql in FEATURE_CHECKS)
+    return (
+        "SELECT count(*) AS row_count, count(DISTINCT inspection_id) AS inspection_count, "
+        "count(*) - count(*) FILTER (WHERE target_classification IN ('NAI', 'VAI', 'OAI')) AS invalid_targets, "
+        "count(*) FILTER (WHERE prior_inspection_count < 0) AS invalid_history, "
+        "count(*) FILTER (WHERE prior_inspection_count = 0 AND (is_first_observed_inspection, previous_classification_adverse, "
+        f"days_since_previous_inspection) IS DISTINCT FROM (1, 0, 0)) AS invalid_cold_start, {broken} FROM ({rows}) f"
+    )
 
 
-@register(
-    "feature_snapshot_checks",
-    feature_oracle(
-        "SELECT CAST(count(*) AS INTEGER) AS row_count, CAST(count(DISTINCT inspection_id) AS INTEGER) AS inspection_count, "
-        "CAST(count(*) FILTER (WHERE target_classification NOT IN ('NAI', 'VAI', 'OAI') OR target_classification IS NULL) AS INTEGER) AS invalid_targets, "
-        "CAST(count(*) FILTER (WHERE prior_inspection_count < 0) AS INTEGER) AS invalid_history, "
-        "CAST(count(*) FILTER (WHERE prior_inspection_count = 0 AND (is_first_observed_inspection IS DISTINCT FROM 1 "
-        "OR previous_classification_adverse IS DISTINCT FROM 0 OR days_since_previous_inspection IS DISTINCT FROM 0)) AS INTEGER) AS invalid_cold_start, "
-        + _CHECK_SQL + f" FROM ({FEATURE_SELECT}) f"
-    ),
-)
+@register("feature_snapshot_checks", feature_oracle(_checks_sql(FEATURE_SELECT)))
 def snapshot_checks(spark, sf_dir) -> DataFrame:
     return feature_snapshot_checks(plan(spark, sf_dir).features("v1"))
 
 
+#: column -> what it becomes where inspection_id % 11 has the given remainder, so that every F10 rule has rows that
+#: break it; ids divisible by 50 come a second time under another site (valid in Spark and DuckDB)
+PLANTED = {
+    "target_classification": (0, "'BAD'"), "prior_inspection_count": (1, "-1"), "is_first_observed_inspection": (2, "3"),
+    "previous_classification_adverse": (3, "7"), "target_severity": (4, "9"), "target_adverse": (5, "NOT target_adverse"),
+    "days_since_previous_inspection": (6, "5"),
+}
+
+
+def planted_sql(rows: str) -> str:
+    cells = [f"CASE WHEN inspection_id % 11 = {r} THEN {bad} ELSE {c} END AS {c}" for c, (r, bad) in PLANTED.items()]
+    columns = ", ".join(["inspection_id", "fei_number", *cells])
+    again = columns.replace("fei_number", "concat(fei_number, '-2') AS fei_number", 1)
+    return f"SELECT {columns} FROM {rows} f UNION ALL SELECT {again} FROM {rows} f WHERE inspection_id % 50 = 0"
+
+
+@register("feature_snapshot_checks_planted", feature_oracle(_checks_sql(planted_sql(f"({FEATURE_SELECT})"))))
+def snapshot_checks_planted(spark, sf_dir) -> DataFrame:
+    """F10 over a snapshot into which every kind of fault was planted."""
+    return feature_snapshot_checks(spark.sql(planted_sql("{snapshot}"), snapshot=plan(spark, sf_dir).features("v1")))
+
+
+@register("features_until", feature_oracle(FEATURE_SELECT).replace("i.inspection_end_date IS NOT NULL", f"i.inspection_end_date <= DATE '{UNTIL}'"))
+def features_until(spark, sf_dir) -> DataFrame:
+    """The feature table of the rows up to a cut-off date."""
+    return FeaturePlan(Catalog(spark, sf_dir), UNTIL).features("v1")
+
+
 @register(
     "feature_build_counts",
     feature_oracle(f"SELECT 'inspection_classification_v1' AS feature_set, count(*) AS row_count FROM ({FEATURE_SELECT}) f"),
 )
 def feature_build_counts(spark, sf_dir) -> DataFrame:
     """Rows produced per feature set by one build."""
-    from pyspark.sql import functions as F
-
     f = plan(spark, sf_dir).features("v1")
     return f.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("inspection_classification_v1").alias("feature_set"), "row_count")

@@ -7,17 +7,20 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
 from pyspark.sql import functions as F
 
 from vigil.operators import model as M
-from vigil.oracle import FEATURE_SELECT, feature_oracle
+from vigil.oracle import FEATURE_SELECT, feature_oracle, oracle
 from vigil.plans.features import FeaturePlan
 from vigil.registry import register
-from vigil.session import cut_lineage
 from vigil.sources.catalog import Catalog
 
 
 def _features(spark, sf_dir):
-    """The feature table, materialised once (reliable checkpoint) since model steps read it repeatedly,
-    as the training job reads the stored feature table."""
-    return cut_lineage(FeaturePlan(Catalog(spark, sf_dir)).features("v1"))
+    return FeaturePlan(Catalog(spark, sf_dir)).features("v1")
+
+
+def _labels(spark, sf_dir):
+    """The rows of the feature table with the columns that split, encoding and metrics read; no history is built."""
+    rows = FeaturePlan(Catalog(spark, sf_dir)).labeled
+    return rows.select("inspection_id", "prediction_date", "state", F.col("adverse_classification").alias("target_adverse"))
 
 
 _SPLIT_CTES = f"""WITH f AS ({FEATURE_SELECT}),
@@ -31,7 +34,7 @@ s AS (SELECT f.*, CASE WHEN f.prediction_date < b.start THEN 'train' ELSE 'test'
 
 @register("temporal_split", feature_oracle(_SPLIT_CTES + " SELECT inspection_id, prediction_date, split FROM s"))
 def temporal_split(spark, sf_dir):
-    return M.temporal_split(_features(spark, sf_dir)).select("inspection_id", "prediction_date", "split")
+    return M.temporal_split(_labels(spark, sf_dir)).select("inspection_id", "prediction_date", "split")
 
 
 _IMPUTED = ", ".join(
@@ -55,7 +58,7 @@ FROM s LEFT JOIN lv ON lv.lvl = COALESCE(s.state, 'UNKNOWN')"""),
 )
 def one_hot_state(spark, sf_dir):
     """Sorted state levels fitted on the training split, first dropped, unseen -> all zeros."""
-    split = M.impute(M.temporal_split(_features(spark, sf_dir)))
+    split = M.temporal_split(_labels(spark, sf_dir)).withColumn("state", F.coalesce("state", F.lit(M.UNKNOWN)))
     train = split.where(F.col("split") == "train")
     n_levels = train.agg(F.count_distinct("state")).first()[0]
     stages = [
@@ -75,7 +78,7 @@ def one_hot_state(spark, sf_dir):
 )
 def reference_levels(spark, sf_dir):
     """J13 on the training split (the rows the encoder is fitted on)."""
-    split = M.temporal_split(_features(spark, sf_dir))
+    split = M.temporal_split(_labels(spark, sf_dir))
     return M.reference_levels(split.where(F.col("split") == "train"))
 
 
@@ -100,8 +103,7 @@ _SCORED_SQL = (f"SELECT inspection_id, CAST(target_adverse AS INTEGER) AS target
 
 
 def _scored(spark, sf_dir):
-    f = _features(spark, sf_dir)
-    return f.select(
+    return _labels(spark, sf_dir).select(
         "inspection_id",
         F.col("target_adverse").cast("int").alias("target"),
         ((F.col("inspection_id") * 37) % 101).cast("double") / 101,
@@ -164,7 +166,93 @@ def brier_score(spark, sf_dir):
     return M.brier_score(_scored(spark, sf_dir))
 
 
-# --- J5/J6/J12: the fitted model (rows-only checks; properties are tested in tests/)
+# --- F11 over rows with every kind of fault ------------------------------------------------------------
+
+_FAULTS = ("SELECT inspection_id, CASE WHEN inspection_id % 7 = 0 THEN NULL ELSE prediction_date END AS prediction_date, "
+           "CASE WHEN inspection_id % 11 = 0 THEN NULL WHEN inspection_id % 13 = 0 THEN 2 ELSE CAST(target_adverse AS INT) END AS target_adverse")
+
+
+def faults_sql(rows: str) -> str:
+    return f"{_FAULTS} FROM {rows} f UNION ALL {_FAULTS} FROM {rows} f WHERE inspection_id % 50 = 0"
+
+
+@register(
+    "training_data_checks_planted",
+    feature_oracle("SELECT count(*) AS row_count, count(*) - count(DISTINCT inspection_id) AS duplicate_ids, count(*) - count(prediction_date) AS null_dates, "
+                   "count(*) - count(target_adverse) AS null_targets, count_if(target_adverse = 0) AS negatives, count_if(target_adverse = 1) AS positives, "
+                   f"count_if(target_adverse > 1) AS other_targets FROM ({faults_sql(f'({FEATURE_SELECT})')}) f"),
+)
+def training_data_checks_planted(spark, sf_dir):
+    rows = spark.sql(faults_sql("{rows}"), rows=_labels(spark, sf_dir))
+    missing = [c for c in (*M.IDENTIFIER_COLUMNS, *M.FEATURE_COLUMNS) if c not in rows.columns]
+    return M.training_data_checks(rows.withColumns({c: F.lit(0) for c in missing}))
+
+
+# --- J12 on deterministic coefficients: per state the share of adverse inspections less one half, per input a value
+# --- made from its name, so that SQL can check the arithmetic
+
+_INPUTS = [*M.CONTINUOUS_FEATURES, *M.BINARY_FEATURES]
+_INPUT_VALUES = [(name, round(((7 * i) % 19 - 9) / 8, 3)) for i, name in enumerate(_INPUTS)]
+_COEF_SQL = (
+    f"WITH st AS (SELECT COALESCE(state, 'UNKNOWN') AS state, count_if(target_adverse) AS bad, count(*) AS n FROM ({FEATURE_SELECT}) f GROUP BY 1), "
+    "co AS (SELECT 'state_' || state AS name, bad / n - 0.5 AS b FROM st WHERE state > (SELECT min(state) FROM st) "
+    + "".join(f"UNION ALL SELECT '{name}', CAST({value} AS DOUBLE) " for name, value in _INPUT_VALUES)
+    + "), od AS (SELECT name AS transformed_feature, CASE WHEN name LIKE 'state!_%' ESCAPE '!' THEN 'State: ' || substr(name, 7) "
+    "ELSE array_to_string([upper(w[1]) || w[2:] FOR w IN string_split(name, '_')], ' ') END AS feature, b AS coefficient, exp(b) AS odds_ratio, "
+    "(exp(b) - 1) * 100 AS odds_change_percent, ['Lower adverse odds', 'No estimated change', 'Higher adverse odds'][CAST(sign(b) AS INTEGER) + 2] AS direction, "
+    "abs(b) AS absolute_coefficient FROM co) "
+)
+
+
+def _coefficients(spark, sf_dir):
+    """The deterministic coefficients and the baseline state."""
+    state = F.coalesce("state", F.lit(M.UNKNOWN)).alias("state")
+    shares = _labels(spark, sf_dir).groupBy(state).agg((F.count_if("target_adverse") / F.count(F.lit(1)) - 0.5).alias("coefficient"))
+    baseline = shares.agg(F.min("state")).scalar()
+    states = shares.where(F.col("state") > baseline).select(F.concat(F.lit(M.STATE_PREFIX), "state").alias("transformed_feature"), "coefficient")
+    return states.unionByName(spark.createDataFrame(_INPUT_VALUES, "transformed_feature string, coefficient double")), baseline
+
+
+def _odds(spark, sf_dir):
+    return M.odds_ratio_table(_coefficients(spark, sf_dir)[0])
+
+
+@register("odds_ratio_table", feature_oracle(_COEF_SQL + "SELECT * FROM od"))
+def odds_ratio_table(spark, sf_dir):
+    return _odds(spark, sf_dir)
+
+
+@register(
+    "top_associations",
+    feature_oracle(_COEF_SQL + f"SELECT * FROM (SELECT CASE WHEN coefficient > 0 THEN 'positive' ELSE 'negative' END AS side, "
+                   "row_number() OVER (PARTITION BY sign(coefficient) ORDER BY absolute_coefficient DESC, transformed_feature) AS rank, * FROM od "
+                   f"WHERE coefficient <> 0) WHERE rank <= {M.TOP}"),
+)
+def top_associations(spark, sf_dir):
+    return M.top_associations(_odds(spark, sf_dir))
+
+
+@register(
+    "state_odds",
+    feature_oracle(_COEF_SQL + "SELECT substr(transformed_feature, 7) AS state, coefficient, odds_ratio, odds_change_percent, direction, false AS is_baseline "
+                   "FROM od WHERE feature LIKE 'State: %' UNION ALL SELECT min(state), 0.0, 1.0, 0.0, 'Baseline', true FROM st"),
+)
+def state_odds(spark, sf_dir):
+    coefficients, baseline = _coefficients(spark, sf_dir)
+    return M.state_odds(M.odds_ratio_table(coefficients), baseline)
+
+
+@register("product_odds", feature_oracle(_COEF_SQL + "SELECT * FROM od WHERE feature LIKE 'Has Prior Product %'"))
+def product_odds(spark, sf_dir):
+    return M.product_odds(_odds(spark, sf_dir))
+
+
+@register("continuous_odds", feature_oracle(_COEF_SQL + f"SELECT * FROM od WHERE transformed_feature IN {tuple(M.CONTINUOUS_FEATURES)}"))
+def continuous_odds(spark, sf_dir):
+    return M.continuous_odds(_odds(spark, sf_dir))
+
+
+# --- J5/J6/J12: the fitted model (rows-only checks; model_gradient says whether the fit is the optimum)
 
 
 @register("model_scores")
@@ -179,3 +267,10 @@ def model_coefficients(spark, sf_dir):
     """Coefficients, odds ratios, % change in odds and direction, largest effects first."""
     model, _split, levels, _n = M.fit(_features(spark, sf_dir))
     return M.coefficient_table(model, levels).orderBy(F.desc("absolute_coefficient"))
+
+
+@register("model_gradient", oracle("SELECT CAST(0.0 AS DOUBLE) AS largest_gradient", tables=()))
+def model_gradient(spark, sf_dir):
+    """The largest gradient component of the fitted objective, rounded to four places: 0 at the optimum."""
+    model, split, _levels, n = M.fit(_features(spark, sf_dir))
+    return M.loss_gradient(model, split.where("split = 'train'"), n).select(F.round("largest_gradient", 4).alias("largest_gradient"))
