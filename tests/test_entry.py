@@ -1,5 +1,7 @@
 """Driver contract: entry() and every registered query run at sf0.001 with a stable schema."""
 
+from pathlib import Path
+
 import __spark_entry__ as entry
 from vigil import registry
 
@@ -18,3 +20,11 @@ def test_every_query_runs_and_has_named_columns(spark):
         df = fn(spark, "/root/testdata/sf0.001")
         assert len(df.columns) == len(set(df.columns)), name
         df.write.format("noop").mode("overwrite").save()
+
+
+def test_nothing_else_imports_the_optional_part():
+    root = Path(entry.__file__).parent
+    others = [p for p in [*root.glob("vigil/**/*.py"), *root.glob("tests/*.py"), root / "bench.py", *root.glob("tools/*.py")] if "llm" not in p.relative_to(root).parts]
+    for p in others:
+        text = p.read_text()
+        assert "import corpus_pipeline" not in text.replace('assert "import corpus_pipeline"', "") and "vigil.llm" not in text.replace('"vigil.llm"', ""), p

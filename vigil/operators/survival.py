@@ -28,15 +28,23 @@ def inspection_starts(inspections: DataFrame) -> DataFrame:
     )
 
 
-def survival_intervals(inspections: DataFrame, cutoff: str) -> DataFrame:
+def product_starts(inspections: DataFrame) -> DataFrame:
+    """I2 with one row per (inspection, product): no product is picked for an inspection that covers several."""
+    starts = inspection_starts(inspections).drop("product_type")
+    products = inspections.select("inspection_id", site_key("fei_number").alias("fei_number"), F.nullif(F.trim("product_type"), F.lit("")).alias("product_type"))
+    products = products.where(F.col("product_type").isNotNull()).distinct()
+    return starts.join(products, ["inspection_id", "fei_number"], "left")
+
+
+def survival_intervals(inspections: DataFrame, cutoff: str, per_product: bool = False) -> DataFrame:
     """Each inspection starts an interval that ends at the site's next inspection (ordered by date,
     then id) or is censored at ``cutoff``. Only intervals starting before the cutoff are kept.
 
     The next inspection is found without a window over the whole site: within a day the next one is
     the same day unless this id is the day's largest; otherwise it is the site's next inspection day
-    (one window over (site, day) rows).
+    (one window over (site, day) rows). ``per_product`` gives an inspection one row per product.
     """
-    ev = inspection_starts(inspections)
+    ev = product_starts(inspections) if per_product else inspection_starts(inspections)
     days = ev.groupBy("fei_number", F.col("inspection_date").alias("day")).agg(F.max("inspection_id").alias("day_max_id"))
     w = Window.partitionBy("fei_number").orderBy("day")
     days = days.withColumn("next_day", F.lead("day").over(w))
@@ -146,14 +154,11 @@ def hazard_ratios(intervals: DataFrame, reference: str, group: str = "product_ty
 def hazard_adjusted_curves(intervals: DataFrame, reference: str, group: str = "product_type") -> DataFrame:
     """I8: proportional-hazard curves S0(t) ** HR for every group, S0 = the reference group's KM curve.
 
-    Output is (groups x baseline steps) by definition; the group ratios enter as one scalar array
-    (one entry per group value), exploded on each baseline step."""
-    ratios = hazard_ratios(intervals, reference, group)
-    arr = ratios.agg(F.collect_list(F.struct(F.col(group).alias("g"), F.col("hazard_ratio").alias("hr")))).scalar()
-    base = km_curve(intervals.where(F.col(group) == reference), group)
-    return base.select("time", "step", "survival_probability", F.explode(arr).alias("r")).select(
-        F.col("r.g").alias(group),
-        "time",
-        "step",
-        F.pow(F.col("survival_probability"), F.col("r.hr")).alias("adjusted_survival"),
+    The result has groups x baseline steps rows by definition; the two sides meet through a constant key, so Spark
+    picks a broadcast only for a side under the session's size limit."""
+    one = F.lit(1).alias("one")
+    ratios = hazard_ratios(intervals, reference, group).select(F.col(group).alias("g"), F.col("hazard_ratio").alias("hr"), one)
+    base = km_curve(intervals.where(F.col(group) == reference), group).select("time", "step", "survival_probability", one)
+    return base.join(ratios, "one").select(
+        F.col("g").alias(group), "time", "step", F.pow(F.col("survival_probability"), F.col("hr")).alias("adjusted_survival")
     )

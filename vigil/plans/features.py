@@ -446,14 +446,19 @@ class FeaturePlan:
 
     # --- the feature table ---------------------------------------------------------------------
 
-    def features(self, dataset_version: str = "v1", variant: str = "production") -> DataFrame:
+    def features(self, dataset_version: str = "v1", variant: str = "production", min_prior: int = 0, strict_storage: bool = False) -> DataFrame:
         """The feature table (``created_at`` is added by the writer, not here).
 
+        ``min_prior`` keeps rows with at least so many earlier inspections; ``strict_storage`` stores the recall rate
+        as the integer that the reference's table holds (rounded half to even) instead of a double.
+
         ``variant="exploratory"`` is the notebook form: no ``dataset_version``/``target_severity``,
         raw 483 / warning / recall counts, warning rate NULL without prior inspections, no recall rate.
         """
         h = self.history(SOURCES)
         prior = F.col("p_insp")
+        if min_prior:
+            h = h.where(prior >= min_prior)
 
         def rate(x: str, none_value=0.0) -> Column:
             return F.when(prior == 0, F.lit(none_value).cast("double")).otherwise(
@@ -499,7 +504,7 @@ class FeaturePlan:
             tail = [
                 rate("p_new_483").alias("prior_published_483_count_per_inspection"),
                 rate("p_new_warning").alias("prior_warning_letter_count_per_inspection"),
-                rate("p_new_recall").alias("prior_recall_event_count_per_inspection"),
+                (F.bround(rate("p_new_recall")).cast("int") if strict_storage else rate("p_new_recall")).alias("prior_recall_event_count_per_inspection"),
             ]
         elif variant == "exploratory":
             tail = [

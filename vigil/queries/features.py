@@ -152,6 +152,16 @@ def features_until(spark, sf_dir) -> DataFrame:
     return FeaturePlan(Catalog(spark, sf_dir), UNTIL).features("v1")
 
 
+@register(
+    "features_strict",
+    feature_oracle("SELECT * REPLACE (CAST(round_even(prior_recall_event_count_per_inspection, 0) AS INTEGER) AS prior_recall_event_count_per_inspection) "
+                   f"FROM ({FEATURE_SELECT}) f WHERE prior_inspection_count >= 1"),
+)
+def features_strict(spark, sf_dir) -> DataFrame:
+    """The feature table with the options ``min_prior`` and ``strict_storage``."""
+    return plan(spark, sf_dir).features("v1", min_prior=1, strict_storage=True)
+
+
 @register(
     "feature_build_counts",
     feature_oracle(f"SELECT 'inspection_classification_v1' AS feature_set, count(*) AS row_count FROM ({FEATURE_SELECT}) f"),

@@ -41,6 +41,16 @@ def build_session(
     return spark
 
 
+def _shared(spark: SparkSession, path: str) -> bool:
+    """Whether a path is in a file system of the cluster: a scheme of its own, or the default one where that is not local.
+
+    ``file:`` with an explicit scheme is taken at its word (a mount that all hosts have)."""
+    if "://" in path or path.startswith("file:"):
+        return True
+    default = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return not default.startswith("file:")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -49,10 +59,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     conf = spark.sparkContext.getConf()
     configured = conf.get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
+    local_master = spark.sparkContext.master.startswith("local")
     if configured:
+        if not local_master and not _shared(spark, configured):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is {configured!r}, which names no folder that all executors share")
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not local_master:
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="vigil-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, local)
