@@ -82,3 +82,38 @@ def test_auc_ap_brier(spark):
     # AUC is invariant under a monotone transform of the scores
     df2 = df.withColumn("score", F.exp(F.col("score") * 3))
     assert abs(M.roc_auc(df2).first()[0] - _auc_pairs(scored)) < 1e-9
+
+
+def test_cohort_with_a_hot_site_day_equals_a_loop(spark):
+    """A third of all rows on one site and day, split into ranges of four ids."""
+    import datetime as dt
+    import random
+
+    from vigil.operators.profile import inspection_cohort
+
+    r = random.Random(6)
+    day = dt.date(2020, 1, 1)
+    ids = r.sample(range(1, 2000), 300)
+    rows = [(i, "hot", day, r.choice(["NAI", "vai", "OAI"])) if n < 100 else (i, r.choice(["hot", "a", " b "]), day + dt.timedelta(r.randint(-5, 5)), r.choice(["NAI", "VAI", "OAI", "?", None])) for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "inspection_id long, fei_number string, inspection_end_date date, classification_code string")
+    got = {x.inspection_id: x for x in inspection_cohort(df, id_range=4).collect()}
+    level = {"NAI": 0, "VAI": 1, "OAI": 2}
+    visits = sorted((s.strip(), d, i, level[c.upper()]) for i, s, d, c in rows if c and c.upper() in level)
+    assert len(got) == len(visits)
+    for site, d, i, lv in visits:
+        before = [v for v in visits if v[0] == site and v[1:3] < (d, i)]
+        g = got[i]
+        assert (g.prior_inspection_count, g.prior_nai_count, g.prior_vai_count, g.prior_oai_count) == (len(before), *(sum(v[3] == k for v in before) for k in (0, 1, 2)))
+        assert g.target_severity == lv and g.is_first_observed_inspection == int(not before)
+        assert g.days_since_previous_inspection == ((d - before[-1][1]).days if before else None)
+        assert g.previous_classification == (["NAI", "VAI", "OAI"][before[-1][3]] if before else None)
+
+
+def test_survival_intervals_per_product(spark):
+    from vigil.operators.survival import survival_intervals
+
+    rows = [(1, "a", "2000-01-01", "Drugs"), (1, "a", "2000-01-01", "Devices"), (2, "a", "2000-02-01", None)]
+    df = spark.createDataFrame(rows, "inspection_id long, fei_number string, d string, product_type string").selectExpr("*", "CAST(d AS DATE) AS inspection_end_date")
+    got = sorted((x.inspection_id, x.product_type or "", x.duration_days, x.event_observed) for x in survival_intervals(df, "2001-01-01", per_product=True).collect())
+    assert got == [(1, "Devices", 31, 1), (1, "Drugs", 31, 1), (2, "", 335, 0)]
+    assert survival_intervals(df, "2001-01-01").count() == 2
