@@ -4,16 +4,17 @@ Sets: words are runs without ASCII white space, A-Z lower-cased; a text of fewer
 of them, a text without words has none. Equal sets are one class from the start and are joined once.
 
 Chosen paths: every set is sketched by ``SKETCH`` min-hash tokens (position, value); two sets share a token with
-probability equal to their similarity. ``RUNS`` independent runs each pick tokens by a hash of the token alone, so
-sets that share a picked token meet in its bucket; per run a set has 1 / THRESHOLD buckets on average. Buckets of more
-than ``BUCKET`` sets are split again by further picked tokens, as long as that tells their sets apart; a
-bucket of sets that are alike is left whole. Per level a pair at the threshold is missed with probability
-exp(-RUNS), 3.4e-4, and more similar pairs more rarely.
+probability equal to their similarity. In each of ``RUNS`` independent runs a set walks from the root along tokens
+picked by a hash of the path so far and the token, 1 / THRESHOLD of them per step on average, so similar sets keep
+meeting while others part. A path ends in a bucket of at most ``BUCKET`` sets, in one whose sets are all alike, or
+after ``LEVELS`` steps. A pair at the threshold walks together for k steps with probability q(k), q(1) = 0.63,
+q(k + 1) = 1 - exp(-q(k)); all runs miss it with probability (1 - q(k)) ** RUNS, which is 2e-9 for one step and
+6e-4 for four, and less for more similar pairs. Almost all paths end after one step.
 
 Brute force: a bucket is cut into cells of at most two blocks of ``BUCKET`` sets, so no task holds a large bucket, and
-no pairs are written: a cell compares sketches, keeps pairs that may reach the threshold, and then intersects the full
-sets. A pair belongs to the first of its common buckets, so links are counted once. Cells give each set's number
-of links and a spanning forest; components make the classes.
+no pairs are written: a cell compares sketches (a byte per token), keeps pairs that may reach the threshold, and then
+intersects the full sets. A pair belongs to the first of its common buckets, so links are counted once. Cells give
+each set's number of links and a spanning forest; components make the classes.
 
 Defined cases: null text = empty; all texts without words are one class; equal doc_ids are documents of their
 own; ties: a class is named after and kept by its smallest doc_id (null last, then by row); empty tables give empty
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,12 +36,14 @@ from vigil.llm.common import runs_of, stored, with_python
 from vigil.llm.components import components
 
 SHINGLE = 5
+SLICE_CHARS = 8_000_000
 THRESHOLD = (8, 10)  # similarity of at least 8 / 10
 SKETCH = 128
-RUNS = 8
-BUCKET = 256
-LEVELS = 4
-ALIKE = 0.3  # mean share of common tokens from which a bucket's sets are alike
+RUNS = 20
+BUCKET = 512
+LEVELS = 6
+ALIKE = 0.7  # mean share of common tokens from which a bucket's sets are alike
+PROBES = 48  # sets of a large bucket, on average, from which that share is estimated; it steers the walk only
 #: tokens that must agree: 0.8 of the sketch less four standard deviations
 AGREE = int(SKETCH * 0.8 - 4 * (SKETCH * 0.8 * 0.2) ** 0.5)
 _RNG = np.random.default_rng(20240501)
@@ -47,6 +51,7 @@ _MUL = _RNG.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32) | np
 _ADD = _RNG.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32)
 _PLACE = _RNG.integers(0, 1 << 63, SKETCH, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_POWERS = np.cumprod(np.full(SHINGLE, _STEP, dtype=np.uint64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,28 +61,51 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    known: dict[bytes, int] = {}
-    digest = xxhash.xxh3_64_intdigest
-    for text in texts:
-        words = (text or "").encode("utf-8").lower().split()
-        h = np.array([known.get(w) or known.setdefault(w, digest(w)) for w in words], dtype=np.uint64)
-        if len(known) > 500_000:
-            known.clear()
-        n = max(1, len(h) - SHINGLE + 1) if len(h) else 0
-        width = min(SHINGLE, len(h))
-        key = np.full(n, width, dtype=np.uint64)
-        for k in range(width):
-            key = mix((key + h[k : k + n]) * _STEP)
-        yield np.unique(key)
+    """The sorted distinct shingle hashes of each text. Arrow numbers the words of a slice; each is hashed once."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (size < SLICE_CHARS or end == at):
+            size += len(texts[end] or "")
+            end += 1
+        yield from _shingle_slice([t or "" for t in texts[at:end]])
+        at = end
+
+
+def _shingle_slice(texts: list[str]) -> Iterator[np.ndarray]:
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.string())))
+    words = lists.values.dictionary_encode()
+    names = words.dictionary.to_pylist()
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in names], dtype=np.uint64)
+    code = words.indices.to_numpy()
+    there = np.array([w != "" for w in names], dtype=bool)[code] if len(names) else np.zeros(0, bool)
+    h = hashes[code[there]]
+    ends = np.concatenate([[0], np.cumsum(there)])[lists.offsets.to_numpy()]  # word positions at which texts begin and end
+    n = len(h) - SHINGLE + 1
+    key = np.full(max(n, 0), SHINGLE, dtype=np.uint64)
+    for k in range(SHINGLE if n > 0 else 0):
+        key += h[k : k + n] * _POWERS[k]
+    key = mix(key)
+    for a, b in zip(ends[:-1], ends[1:]):
+        if b - a >= SHINGLE:
+            yield np.unique(key[a : b - SHINGLE + 1])
+        elif b > a:  # a short text is one shingle
+            yield mix((np.array([b - a], dtype=np.uint64) + (h[a:b] * _POWERS[: b - a]).sum(dtype=np.uint64)))
+        else:
+            yield np.zeros(0, np.uint64)
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
     """Min-hash values by multiply-add over 32 well-mixed bits."""
     out = np.full(SKETCH, 0xFFFFFFFF, dtype=np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(x), 512):
-        np.minimum(out, (x[at : at + 512, None] * _MUL + _ADD).min(axis=0), out=out)
+    buffer = np.empty((min(256, len(x)), SKETCH), np.uint32)
+    for at in range(0, len(x), 256):
+        part = x[at : at + 256, None]
+        drawn = buffer[: len(part)]
+        np.multiply(part, _MUL, out=drawn)
+        np.add(drawn, _ADD, out=drawn)
+        np.minimum(out, drawn.min(axis=0), out=out)
     return out
 
 
@@ -88,13 +116,15 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sid, size, values = [], [], []
+        sid, size, values, low = [], [], [], []
         for s in shingle_sets(batch.column("text").to_pylist()):
             sid.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63))
             size.append(len(s))
-            values.append(sketch(s).astype("<u4").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(sid, pa.int64()), pa.array(size, pa.int32()), pa.array(values, pa.binary())],
-                                         names=["doc_id", "row", "mark", "sid", "size", "sketch"])
+            drawn = sketch(s)
+            values.append(drawn.astype("<u4").tobytes())
+            low.append((_tokens(drawn[None])[0] >> np.uint64(56)).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(sid, pa.int64()), pa.array(size, pa.int32()), pa.array(values, pa.binary()), pa.array(low, pa.binary())],
+                                         names=["doc_id", "row", "mark", "sid", "size", "sketch", "bytes"])
 
 
 def _tokens(values: np.ndarray) -> np.ndarray:
@@ -131,40 +161,51 @@ def _root_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(sets)), pa.array(children)], names=["sid", "bucket"])
 
 
+_STEP_SALT = mix(np.array([RUNS + 1], dtype=np.uint64))
+
+
 def _split_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pick = _pick(_PER_RUN, _ROOT_SALTS)
+    pick = _pick(_PER_RUN, _STEP_SALT)
     for batch in batches:
         if batch.num_rows:
             parent = batch.column("bucket").to_numpy().view(np.uint64)
             sets, children = pick(_tokens(_matrix(batch.column("sketch"))), mix(parent))
-            at = pa.array(sets)
-            yield pa.RecordBatch.from_arrays([batch.column("sid").take(at), batch.column("bucket").take(at), pa.array(children)], names=["sid", "parent", "bucket"])
+            yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(sets)), pa.array(children)], names=["sid", "bucket"])
+
+
+def _likeness(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """The mean share of common tokens among a bucket's probes."""
+    values = _matrix(rows["sketch"])[: 4 * PROBES]
+    n, same = len(values), 0
+    for i in range(n - 1):
+        same += int((values[i + 1 :] == values[i]).sum())
+    share = same / (SKETCH * n * (n - 1) / 2) if n > 1 else 0.0
+    return pa.table({"bucket": [key[0].as_py()], "share": [share]})
 
 
-def _sized(rows: DataFrame, *keep: str) -> DataFrame:
+def _sized(rows: DataFrame) -> DataFrame:
     """Rows of buckets with at least two sets, with the bucket's size m."""
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    return rows.join(sizes, "bucket").select("sid", "bucket", "m", *keep)
+    return rows.join(sizes, "bucket").select("sid", "bucket", "m")
 
 
 def leaf_buckets(reps: DataFrame) -> DataFrame:
     """(sid, bucket, m): the buckets in which sets are compared."""
-    level = stored(_sized(reps.select("sid", "sketch").mapInArrow(_root_buckets, "sid long, bucket long").distinct()), "buckets")
+    sketches = reps.select("sid", "sketch")
+    level = stored(_sized(sketches.mapInArrow(_root_buckets, "sid long, bucket long").distinct()), "buckets")
     leaves = level.where(F.col("m") <= BUCKET)
-    for _ in range(LEVELS):
+    for _ in range(LEVELS - 1):
         large = level.where(F.col("m") > BUCKET)
         if large.isEmpty():
             return leaves
-        paths = large.join(reps.select("sid", "sketch"), "sid").select("sid", "bucket", "sketch").mapInArrow(_split_buckets, "sid long, parent long, bucket long")
-        paths = stored(paths.distinct(), "paths")
-        # pairs that stay together per child, against all pairs of the parent: the mean share of common tokens
-        per_child = paths.groupBy("parent", "bucket").agg(F.count(F.lit(1)).alias("c"))
-        together = per_child.groupBy("parent").agg((F.sum(F.col("c").cast("double") * (F.col("c") - 1)) / (RUNS * _PER_RUN)).alias("t"))
-        sizes = large.groupBy("bucket").agg(F.first("m").alias("m")).withColumnRenamed("bucket", "parent")
-        alike = sizes.join(together, "parent", "left").where(F.coalesce("t", F.lit(0.0)) >= ALIKE * F.col("m") * (F.col("m") - 1)).select("parent")
-        alike = stored(alike, "alike")
-        leaves = leaves.unionByName(large.join(alike.withColumnRenamed("parent", "bucket"), "bucket", "left_semi").select("sid", "bucket", "m"))
-        level = stored(_sized(paths.join(alike, "parent", "left_anti").select("sid", "bucket")), "buckets")
+        chosen = F.pmod(F.xxhash64("bucket", "sid", F.lit(1)), F.lit(1 << 20)) < F.lit(PROBES << 20) / F.col("m")
+        probes = large.where(chosen).join(sketches, "sid").select("bucket", "sketch")
+        alike = probes.groupBy("bucket").applyInArrow(_likeness, "bucket long, share double").where(F.col("share") >= ALIKE)
+        alike = stored(alike.select("bucket"), "alike")
+        leaves = leaves.unionByName(large.join(alike, "bucket", "left_semi").select("sid", "bucket", "m"))
+        apart = large.join(alike, "bucket", "left_anti").select("sid", "bucket")
+        paths = apart.join(sketches, "sid").select("sid", "bucket", "sketch").mapInArrow(_split_buckets, "sid long, bucket long")
+        level = stored(_sized(paths.distinct()), "buckets")
         leaves = leaves.unionByName(level.where(F.col("m") <= BUCKET))
     return leaves.unionByName(level.where(F.col("m") > BUCKET))
 
@@ -186,7 +227,7 @@ def _edges_of(keys: np.ndarray) -> np.ndarray:
 def _similar_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per cell the sets that have a partner whose sketch agrees enough, with their partners (each pair once)."""
     for rows in runs_of(batches, "cell"):
-        values = _matrix(rows["sketch"])
+        values = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8).reshape(-1, SKETCH)
         cell, sid, part, cross = (rows[c].to_numpy() for c in ("cell", "sid", "part", "cross"))
         bucket = rows["bucket"].to_numpy()
         paths = rows["paths"].to_pylist()
@@ -272,12 +313,12 @@ def join(docs: DataFrame) -> DataFrame:
     with_python(docs.sparkSession)
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text_mark(F.col("text")).alias("mark"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    sets = stored(rows.mapInArrow(_sets, f"doc_id {id_type}, row long, mark long, sid long, size int, sketch binary"), "sets")
+    sets = stored(rows.mapInArrow(_sets, f"doc_id {id_type}, row long, mark long, sid long, size int, sketch binary, bytes binary"), "sets")
     # sets of one shingle or none are similar to equal sets only, and those are one class already
-    reps = stored(sets.where("size > 1").select("sid", "sketch").dropDuplicates(["sid"]), "reps")
+    reps = stored(sets.where("size > 1").select("sid", "sketch", "bytes").dropDuplicates(["sid"]), "reps")
     leaves = stored(leaf_buckets(reps), "leaves")
     paths = leaves.groupBy("sid").agg(F.collect_list("bucket").alias("paths"))  # a few dozen at most
-    info = reps.join(paths, "sid")
+    info = paths.join(reps.select("sid", "bytes"), "sid")
     near = stored(_by_cell(cells(leaves).join(info, "sid")).mapInArrow(_similar_sketches, "cell long, sid long, partners array<long>"), "near")
 
     # the full sets of what is left, from one document of each set
