@@ -40,7 +40,7 @@ SLICE_CHARS = 8_000_000
 THRESHOLD = (8, 10)  # similarity of at least 8 / 10
 SKETCH = 128
 RUNS = 20
-BUCKET = 512
+BUCKET = 1024
 LEVELS = 6
 ALIKE = 0.7  # mean share of common tokens from which a bucket's sets are alike
 PROBES = 48  # sets of a large bucket, on average, from which that share is estimated; it steers the walk only
