@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import os
 import tempfile
 import uuid
@@ -17,10 +21,45 @@ import vigil
 from vigil.session import ensure_checkpoint_dir
 
 _SHIPPED = "vigil.llm.shipped"
+_BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def give_back() -> None:
+    """Return freed memory to the operating system: Python workers are reused, and what one operator's batches needed
+    would otherwise stay with them while the next one runs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(fn):
+    """Wrap a ``mapInArrow`` function so that its task gives freed memory back when it ends."""
+
+    @functools.wraps(fn)
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def tidy_group(fn):
+    """The same for an ``applyInArrow`` function of two arguments (Spark counts them), after each group."""
+
+    def one(first, second):
+        try:
+            return fn(first, second)
+        finally:
+            give_back()
+
+    return one
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -43,7 +82,12 @@ def nullable(schema: T.StructType) -> T.StructType:
 
 
 def with_python(spark: SparkSession) -> None:
-    """Give this package to the Python workers once per application, wherever the driver imported it from."""
+    """Give this package to the Python workers once per application, wherever the driver imported it from.
+
+    Also holds Arrow batches to BATCH_BYTES for the session, so a worker's memory does not depend on text lengths."""
+    limit = spark.conf.get(_BATCH_CONF)
+    if not limit.rstrip("b").lstrip("-").isdigit() or not 0 < int(limit.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
     sc = spark.sparkContext
     if getattr(sc, "_vigil_shipped", None) == _SHIPPED:
         return
@@ -92,7 +136,7 @@ def adding(df: DataFrame, fn, added: list[T.StructField], text_col: str = "text"
             extra = fn(batch.column(n_keep).to_pylist())
             yield pa.RecordBatch.from_arrays([*columns, *extra], names=[*batch.schema.names[:n_keep], *[f.name for f in added]])
 
-    return work.mapInArrow(batches, schema)
+    return work.mapInArrow(tidy(batches), schema)
 
 
 def runs_of(it: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

@@ -15,9 +15,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, allow
     ids = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     if allowed is not None:
         ids = ids.where(allowed)
-    ids = ids.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = ids.join(docs.select("doc_id"), "doc_id", "left_semi")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    # a document with two labels counts with the first of them only
+    # a document with labels of both classes counts as class 0
     chosen = None
     for value in (0, 1):
         part = ids.where(F.col("label") == value).orderBy(*order).limit(per_class)

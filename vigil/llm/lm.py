@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from vigil.llm.common import stored, with_python
+from vigil.llm.common import stored, tidy, tidy_group, with_python
 
 SHARE = 4e-6  # of the training tokens, from which an n-gram is kept: at most 250,000 per order
 BLOCK_BYTES = 24_000_000
@@ -316,7 +316,7 @@ def score(docs: DataFrame, share: float = SHARE, block_bytes: int = BLOCK_BYTES)
     blocks = max(1, -(-size // block_bytes))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)))
 
-    counted = stored(dealt.select("block", "text", "held_out").groupBy("block").applyInArrow(count_block(share), BLOCK_ROWS), "lm-blocks")
+    counted = stored(dealt.select("block", "text", "held_out").groupBy("block").applyInArrow(tidy_group(count_block(share)), BLOCK_ROWS), "lm-blocks")
     # the counts of a block's words over all blocks; a word has one row per block, however frequent it is
     same = Window.partitionBy("word")
     words = counted.where("kind = 1").select("block", "word", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("block")) == 1).alias("once"))
@@ -329,7 +329,7 @@ def score(docs: DataFrame, share: float = SHARE, block_bytes: int = BLOCK_BYTES)
     candidates = counted.where("kind > 1").groupBy("kind", "key").agg(upper.alias("upper")).where(F.col("upper") >= share * n).select("kind", "key").toArrow()
     keys = {k: np.sort(_unsigned(candidates.filter(pa.compute.equal(candidates["kind"], k))["key"])) for k in (2, 3)}
     shared_keys = spark.sparkContext.broadcast(keys)  # at most 2/share keys per order
-    exact = rows.where(~F.col("held_out")).select("text").mapInArrow(count_candidates(shared_keys), EXACT_ROWS)
+    exact = rows.where(~F.col("held_out")).select("text").mapInArrow(tidy(count_candidates(shared_keys)), EXACT_ROWS)
     kept = exact.groupBy("kind", "key").agg(F.max("a").alias("a"), F.max("b").alias("b"), F.max("c").alias("c"), F.sum("n").alias("n")).where(F.col("n") >= floor).toArrow()
     frequent = words.where(F.col("once") & (F.col("c") >= max(1.0, share * n))).select(F.xxhash64("word").alias("h"), "c").toArrow()
 
@@ -345,4 +345,4 @@ def score(docs: DataFrame, share: float = SHARE, block_bytes: int = BLOCK_BYTES)
     out = f"doc_id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     left = dealt.groupBy("block")
     right = words.select(F.col("block").alias("block"), "word", "c").groupBy("block")
-    return left.cogroup(right).applyInArrow(score_block(shared, to_arrow_type(id_type)), out)
+    return left.cogroup(right).applyInArrow(tidy_group(score_block(shared, to_arrow_type(id_type))), out)

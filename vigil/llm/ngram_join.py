@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import runs_of, stored, with_python
+from vigil.llm.common import runs_of, stored, tidy, with_python
 from vigil.llm.components import components
 
 SHINGLE = 5
@@ -192,7 +192,7 @@ def _sized(rows: DataFrame) -> DataFrame:
 def leaf_buckets(reps: DataFrame) -> DataFrame:
     """(sid, bucket, m): the buckets in which sets are compared."""
     sketches = reps.select("sid", "sketch")
-    level = stored(_sized(sketches.mapInArrow(_root_buckets, "sid long, bucket long").distinct()), "buckets")
+    level = stored(_sized(sketches.mapInArrow(tidy(_root_buckets), "sid long, bucket long").distinct()), "buckets")
     leaves = level.where(F.col("m") <= BUCKET)
     for _ in range(LEVELS - 1):
         large = level.where(F.col("m") > BUCKET)
@@ -204,7 +204,7 @@ def leaf_buckets(reps: DataFrame) -> DataFrame:
         alike = stored(alike.select("bucket"), "alike")
         leaves = leaves.unionByName(large.join(alike, "bucket", "left_semi").select("sid", "bucket", "m"))
         apart = large.join(alike, "bucket", "left_anti").select("sid", "bucket")
-        paths = apart.join(sketches, "sid").select("sid", "bucket", "sketch").mapInArrow(_split_buckets, "sid long, bucket long")
+        paths = apart.join(sketches, "sid").select("sid", "bucket", "sketch").mapInArrow(tidy(_split_buckets), "sid long, bucket long")
         level = stored(_sized(paths.distinct()), "buckets")
         leaves = leaves.unionByName(level.where(F.col("m") <= BUCKET))
     return leaves.unionByName(level.where(F.col("m") > BUCKET))
@@ -313,21 +313,21 @@ def join(docs: DataFrame) -> DataFrame:
     with_python(docs.sparkSession)
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text_mark(F.col("text")).alias("mark"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    sets = stored(rows.mapInArrow(_sets, f"doc_id {id_type}, row long, mark long, sid long, size int, sketch binary, bytes binary"), "sets")
+    sets = stored(rows.mapInArrow(tidy(_sets), f"doc_id {id_type}, row long, mark long, sid long, size int, sketch binary, bytes binary"), "sets")
     # sets of one shingle or none are similar to equal sets only, and those are one class already
     reps = stored(sets.where("size > 1").select("sid", "sketch", "bytes").dropDuplicates(["sid"]), "reps")
     leaves = stored(leaf_buckets(reps), "leaves")
     paths = leaves.groupBy("sid").agg(F.collect_list("bucket").alias("paths"))  # a few dozen at most
     info = paths.join(reps.select("sid", "bytes"), "sid")
-    near = stored(_by_cell(cells(leaves).join(info, "sid")).mapInArrow(_similar_sketches, "cell long, sid long, partners array<long>"), "near")
+    near = stored(_by_cell(cells(leaves).join(info, "sid")).mapInArrow(tidy(_similar_sketches), "cell long, sid long, partners array<long>"), "near")
 
     # the full sets of what is left, from one document of each set
     one = sets.join(near.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("doc_id", "mark")).alias("d"))
     one = stored(one.select("sid", F.col("d.doc_id").alias("doc_id"), F.col("d.mark").alias("mark")), "near-docs")
     texts = docs.select(F.col("doc_id").alias("id"), text_mark(F.col("text")).alias("text_mark"), F.col("text").cast("string").alias("text"))
     texts = texts.join(one.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_mark") == F.col("mark"))).select("sid", "text")
-    shingles = texts.mapInArrow(_with_shingles, "sid long, shingles binary").dropDuplicates(["sid"])
-    checked = stored(_by_cell(near.join(shingles, "sid")).mapInArrow(_verified, "sid long, root long, links long"), "links")
+    shingles = texts.mapInArrow(tidy(_with_shingles), "sid long, shingles binary").dropDuplicates(["sid"])
+    checked = stored(_by_cell(near.join(shingles, "sid")).mapInArrow(tidy(_verified), "sid long, root long, links long"), "links")
 
     roots = components(checked.select(F.col("sid").alias("u"), F.col("root").alias("v")))
     linked = checked.groupBy("sid").agg(F.sum("links").alias("n_links"))

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import stored, with_python
+from vigil.llm.common import stored, tidy, with_python
 from vigil.llm.pieces import hf_encoder
 
 CAPACITY = 1024
@@ -137,7 +137,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "ids", "task", "number"])
 
     schema = f"doc_id {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long, ids binary, task long, number long"
-    return docs.select("doc_id", F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(tidy(run), schema)
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -32,10 +32,10 @@ _WIDE_SPACE = re.compile("[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: every library agrees on the classes of these code points
 _AGREED = re.compile("[^\x00-\u0557]")
 _LETTER = regex.compile(r"\p{L}|\p{N}")
-CACHE_CHUNKS, CACHE_PIECES = 400_000, 600_000  # about 250 MB per worker
+CACHE_CHUNKS, CACHE_PIECES = 200_000, 350_000  # about 130 MB per worker
 _SIGNS = frozenset(".,;:!?)\"")
 MAX_KEY = 48  # longer chunks and pieces are rare and not kept
-SLICE_CHARS = 16_000_000
+SLICE_CHARS = 8_000_000
 
 
 class HfBackend:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from vigil.llm.common import adding, with_python
+from vigil.llm.common import adding, tidy, with_python
 from vigil.llm.labelled import sample
 
 PER_CLASS = 1500  # labelled documents per class that the CRF is fitted on
@@ -137,40 +137,33 @@ def fit(chains: list[tuple[np.ndarray, int]], steps: int = 200, rate: float = 0.
     chains = [(x, y) for x, y in chains if len(x)]
     if len({y for _, y in chains}) < 2:
         return model
-    longest, k = max(len(x) for x, _ in chains), len(FEATURES)
     chains.sort(key=lambda c: -len(c[0]))  # so the chains still running at step t are a prefix
-    feats = np.zeros((longest, len(chains), k))
-    y = np.array([s for _, s in chains])
-    live = np.zeros(longest, dtype=int)
-    for i, (x, _) in enumerate(chains):
-        feats[: len(x), i] = x
-        live[: len(x)] += 1
-    total, lengths = live.sum(), np.array([len(x) for x, _ in chains])
+    k, y, lengths = len(FEATURES), np.array([s for _, s in chains]), np.array([len(x) for x, _ in chains])
+    live = [int((lengths > t).sum()) for t in range(lengths[0])]
+    feats = [np.stack([x[t] for x, _ in chains[:n]]) for t, n in enumerate(live)]
+    total, steps_of = sum(live), range(len(live))
     seen_emit, seen_move, seen_start = np.zeros((k, 2)), np.zeros((2, 2)), np.bincount(y, minlength=2).astype(float)
-    sums = feats.sum(axis=0)
     for s in (0, 1):
-        seen_emit[:, s] = sums[y == s].sum(axis=0)
+        seen_emit[:, s] = sum(x.sum(axis=0) for x, state in chains if state == s)
         seen_move[s, s] = (lengths[y == s] - 1).sum()
     params = [model.emit.copy(), model.move.copy(), model.start.copy()]
     m1, m2 = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
         emit, move, start = params
-        score = feats @ emit
-        alpha = np.empty_like(score)
-        alpha[0] = start + score[0]
-        for t in range(1, longest):
-            n = live[t]
-            alpha[t, :n] = np.logaddexp.reduce(alpha[t - 1, :n, :, None] + move, axis=1) + score[t, :n]
-        beta, want_emit, want_move = np.zeros_like(score), np.zeros((k, 2)), np.zeros((2, 2))
-        for t in range(longest - 1, 0, -1):
-            n = live[t]
-            beta[t - 1, :n] = np.logaddexp.reduce(move + (score[t, :n] + beta[t, :n])[:, None, :], axis=2)
+        score = [f @ emit for f in feats]
+        alpha = [start + score[0]]
+        for t in steps_of[1:]:
+            alpha.append(np.logaddexp.reduce(alpha[-1][: live[t], :, None] + move, axis=1) + score[t])
+        beta = [np.zeros_like(s) for s in score]
+        for t in reversed(steps_of[1:]):
+            beta[t - 1][: live[t]] = np.logaddexp.reduce(move + (score[t] + beta[t])[:, None, :], axis=2)
         log_z = np.logaddexp.reduce(alpha[0] + beta[0], axis=1)
-        for t in range(longest):
-            n = live[t]
-            want_emit += feats[t, :n].T @ np.exp(alpha[t, :n] + beta[t, :n] - log_z[:n, None])
+        want_emit, want_move = np.zeros((k, 2)), np.zeros((2, 2))
+        for t in steps_of:
+            z = log_z[: live[t], None]
+            want_emit += feats[t].T @ np.exp(alpha[t] + beta[t] - z)
             if t:
-                want_move += np.exp(alpha[t - 1, :n, :, None] + move + (score[t, :n] + beta[t, :n])[:, None, :] - log_z[:n, None, None]).sum(axis=0)
+                want_move += np.exp(alpha[t - 1][: live[t], :, None] + move + (score[t] + beta[t])[:, None, :] - z[:, :, None]).sum(axis=0)
         want_start = np.exp(alpha[0] + beta[0] - log_z[:, None]).sum(axis=0)
         for i, grad in enumerate(((seen_emit - want_emit), (seen_move - want_move), (seen_start - want_start))):
             grad = grad / total - penalty * params[i]
@@ -190,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Crf
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array([x.tobytes() for x in rows], pa.binary())], names=["doc_id", "label", "x"])
 
     chosen = sample(docs, labels, "quality", per_class)
-    rows = chosen.select("doc_id", "text", "label").mapInArrow(features, f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, label int, x binary").collect()
+    rows = chosen.select("doc_id", "text", "label").mapInArrow(tidy(features), f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, label int, x binary").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.x)))  # the fit does not depend on the order of arrival
     return fit([(np.frombuffer(r.x, "<f4").reshape(-1, len(FEATURES)).astype(float), BOILERPLATE if r.label == 0 else CONTENT) for r in rows])
 
@@ -205,10 +198,12 @@ def label_lines(docs: DataFrame, crf: Crf, text_col: str = "text") -> DataFrame:
     """The input's columns plus the base counts, base_failed, content_share and kept."""
 
     def columns(texts: list[str]) -> list[pa.Array]:
-        rows = [read(t) for t in texts]
-        failed = [r.n_words < MIN_WORDS or 100 * r.n_repeat_words > 50 * r.n_words for r in rows]
-        share = [content_share(crf, r) for r in rows]
-        counts = [pa.array([getattr(r, f.name) for r in rows], pa.int64()) for f in ADDED[:5]]
-        return [*counts, pa.array(failed, pa.bool_()), pa.array(share, pa.float64()), pa.array([not f and s >= MIN_CONTENT for f, s in zip(failed, share)], pa.bool_())]
+        rows = []
+        for text in texts:
+            r = read(text)  # a text's features are dropped once its lines are labelled
+            failed, share = r.n_words < MIN_WORDS or 100 * r.n_repeat_words > 50 * r.n_words, content_share(crf, r)
+            rows.append((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, failed, share, not failed and share >= MIN_CONTENT))
+        types = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
+        return [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
 
     return adding(docs, columns, ADDED, text_col)

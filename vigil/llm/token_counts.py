@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.llm.common import adding, with_python
+from vigil.llm.common import adding, tidy, with_python
 from vigil.llm.pieces import MAX_KEY, PATTERN, HfBackend
 
 TABLE = 32_768  # entries of the broadcast table
@@ -58,7 +58,7 @@ def frequent_pieces(docs: DataFrame, text_col: str = "text") -> DataFrame:
         top = [(k, v) for k, v in counts.most_common(SUMMARY) if len(k) <= MAX_KEY]
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in top], pa.string()), pa.array([v for _, v in top], pa.int64())], names=["piece", "weight"])
 
-    parts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(count, "piece string, weight long")
+    parts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(tidy(count), "piece string, weight long")
     return parts.groupBy("piece").agg(F.sum("weight").alias("weight")).orderBy(F.col("weight").desc(), "piece").limit(TABLE)
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.llm.common import adding
+from vigil.llm.common import adding, give_back
 from vigil.llm.labelled import sample
 
 PER_CLASS = 2000  # labelled documents per class that the network is trained on
@@ -35,6 +35,7 @@ HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 16
 BUCKETS = 1 << 14
 THRESHOLD = 0.7
 SLICE_WORDS = 400_000
+HASH_BLOCK = 20_000
 _WORD = re.compile(r"[^\W_]+")
 _POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, dtype=np.uint64))
 
@@ -59,15 +60,24 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def hashed(words: list[str]) -> Vocabulary:
-    """Buckets of all words at once; ``<`` and ``>`` mark word ends."""
+    """Buckets of all words; blocks of words bound the memory in between."""
+    parts = [_hashed_block(words[at : at + HASH_BLOCK]) for at in range(0, len(words), HASH_BLOCK)]
+    if not parts:
+        return Vocabulary(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(1, np.int64))
+    counts = np.concatenate([p[2] for p in parts])
+    return Vocabulary(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([[0], np.cumsum(counts)]).astype(np.int64))
+
+
+def _hashed_block(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word bucket, n-gram buckets in word order, and n-grams per word; ``<`` and ``>`` mark word ends."""
     raw = [b"<" + w.encode("utf-8") + b">" for w in words]
     flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64) + np.uint64(1)
     sizes = np.array([len(r) for r in raw], dtype=np.int64)
-    begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    begin = np.cumsum(sizes) - sizes
     place = np.arange(len(flat)) - np.repeat(begin, sizes)
-    word = _mix(np.add.reduceat(flat * _POWERS[place % 64], begin)) if len(words) else np.zeros(0, np.int32)
+    word = _mix(np.add.reduceat(flat * _POWERS[place % 64], begin))
     room = np.repeat(sizes, sizes) - place
-    owner = np.repeat(np.arange(len(words)), sizes)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
     grams, owners = [], []
     for n in (3, 4, 5, 6, 7, 8):
         # beyond five letters only the word's beginning counts: roots stand there
@@ -77,10 +87,10 @@ def hashed(words: list[str]) -> Vocabulary:
             h += flat[at + k] * _POWERS[k + 7 * n % 32]
         grams.append(_mix(h))
         owners.append(owner[at])
-    all_grams, all_owners = np.concatenate(grams), np.concatenate(owners)
+    all_owners = np.concatenate(owners)
     order = np.argsort(all_owners, kind="stable")
-    counts = np.bincount(all_owners, minlength=len(words))  # at least one each: <x> is a 3-gram
-    return Vocabulary(word, all_grams[order], np.concatenate([[0], np.cumsum(counts)]).astype(np.int64))
+    # at least one each: <x> is a 3-gram
+    return word, np.concatenate(grams)[order], np.bincount(all_owners, minlength=len(words))
 
 
 @dataclass
@@ -108,10 +118,12 @@ def inputs(net: Net, v: Vocabulary) -> np.ndarray:
     """Input vector of each distinct word; a last row of zeros stands for padding."""
     n = len(v.word)
     x = np.zeros((n + 1, WORD_DIM + CHAR_DIM), np.float32)
-    if n:
-        x[:n, :WORD_DIM] = net.p["word"][v.word]
-        sums = np.add.reduceat(net.p["char"][v.grams], v.starts[:-1], axis=0)
-        x[:n, WORD_DIM:] = sums / (v.starts[1:] - v.starts[:-1])[:, None]
+    for at in range(0, n, HASH_BLOCK):  # a word has dozens of n-grams: their embeddings are gathered block by block
+        end = min(n, at + HASH_BLOCK)
+        starts = v.starts[at : end + 1]
+        x[at:end, :WORD_DIM] = net.p["word"][v.word[at:end]]
+        sums = np.add.reduceat(net.p["char"][v.grams[starts[0] : starts[-1]]], starts[:-1] - starts[0], axis=0)
+        x[at:end, WORD_DIM:] = sums / (starts[1:] - starts[:-1])[:, None]
     return x
 
 
@@ -282,8 +294,13 @@ def _odds(v: Vocabulary, ids: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     total = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     log_odds = np.log((seen[1] + 0.1) / (total[1] + 0.2)) - np.log((seen[0] + 0.5) / (total[0] + 1))
     log_odds *= np.minimum(1, seen[1] / 3)  # a bucket seen in one or two toxic documents says little
-    out = np.zeros(n + 1)
-    out[:n] = np.maximum(log_odds[v.word], np.maximum.reduceat(log_odds[v.grams + BUCKETS], v.starts[:-1]) if n else 0)
+    log_odds = log_odds.astype(np.float32)
+    out = np.zeros(n + 1, np.float32)
+    for at in range(0, n, HASH_BLOCK):
+        end = min(n, at + HASH_BLOCK)
+        starts = v.starts[at : end + 1]
+        grams = v.grams[starts[0] : starts[-1]] + BUCKETS
+        out[at:end] = np.maximum(log_odds[v.word[at:end]], np.maximum.reduceat(log_odds[grams], starts[:-1] - starts[0]))
     return out
 
 
@@ -385,7 +402,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Net
     """Train on a bounded sample of the rows that may be learned from."""
     rows = sample(docs, labels, "toxic", per_class, learnable(F.col("doc_id"))).select("doc_id", "text", "label").collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
-    return train_net([r.text for r in rows], np.array([r.label for r in rows], dtype=int))
+    net = train_net([r.text for r in rows], np.array([r.label for r in rows], dtype=int))
+    del rows
+    give_back()
+    return net
 
 
 ADDED = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]

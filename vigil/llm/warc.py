@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import stored, with_python
+from vigil.llm.common import stored, tidy, with_python
 
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
@@ -191,7 +191,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
     with_python(spark)
     lines = spark.read.option("lineSep", MAGIC).text(path)
     raw = lines.select("_metadata.file_path", F.col("_metadata.file_block_start"), F.col("value").cast("binary"))
-    pieces = stored(raw.mapInArrow(lambda it: _pieces(it, payloads), PIECE), "warc-pieces")
+    pieces = stored(raw.mapInArrow(tidy(lambda it: _pieces(it, payloads)), PIECE), "warc-pieces")
 
     # absolute offsets: what lies in earlier splits of the file plus the place in the split, minus the magic in front
     per_split = pieces.groupBy("file", "split").agg(F.sum(F.col("bytes") + len(MAGIC)).alias("total"))
@@ -226,7 +226,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
     inner = pieces.where("NOT whole").join(owned.select("file", "split", "rel", "offset", "owner", "is_start"), ["file", "split", "rel"]).select("file", "owner", "offset", "is_start", "body", *fields)
     posing = owned.where("whole")
     if not posing.isEmpty():
-        again = raw.mapInArrow(lambda it: _pieces(it, False, bodies=True), PIECE)
+        again = raw.mapInArrow(tidy(lambda it: _pieces(it, False, bodies=True)), PIECE)
         inner = inner.unionByName(again.join(posing.select("file", "split", "rel", "offset", "owner", "is_start"), ["file", "split", "rel"]).select("file", "owner", "offset", "is_start", "body", *fields))
     parts = inner.groupBy("file", "owner").agg(F.array_sort(F.collect_list(F.struct("offset", "body", "is_start", *fields))).alias("parts"))
     first = F.col("parts")[0]
