@@ -53,6 +53,20 @@ def test_encoder_equals_library_with_tiny_caches(hf):
         assert len(encoder.chunk) <= chunks and len(encoder.piece) <= keep
 
 
+def test_merging_by_rank_is_proven_to_be_the_library(hf):
+    from tokenizers import Tokenizer
+
+    ranks = pieces.mergeable_ranks(Tokenizer.from_file(HF))
+    assert len(ranks) == 50_256 and sorted(ranks.values()) == list(range(50_256))
+    backend = pieces.HfBackend(HF)
+    assert backend.merge is not None
+    r = random.Random(4)
+    words = [" " * r.randint(0, 1) + "".join(r.choice("abcdeéñßthinger") for _ in range(r.randint(1, 14))) for _ in range(20_000)]
+    assert list(backend.pieces(words)) == [hf(w) for w in words]
+    # a word-level vocabulary with word ends is no such case
+    assert pieces.mergeable_ranks(Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))) is None
+
+
 def test_token_counts(spark, hf):
     rows = texts()
     df = frame(spark, rows).selectExpr("*", "'x' AS n_tokens", "1 AS other")

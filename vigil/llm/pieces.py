@@ -12,6 +12,7 @@ Caches are bounded and keep what comes first, which holds the frequent entries;
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 import sys
@@ -24,6 +25,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import tiktoken
 
 PATTERN = regex.compile(public_tokenizers.PATTERN)
 #: white space on both sides of a blank, or before a blank that ends the text
@@ -32,14 +34,44 @@ _WIDE_SPACE = re.compile("[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: every library agrees on the classes of these code points
 _AGREED = re.compile("[^\x00-\u0557]")
 _LETTER = regex.compile(r"\p{L}|\p{N}")
-CACHE_CHUNKS, CACHE_PIECES = 200_000, 350_000  # about 130 MB per worker
+CACHE_CHUNKS, CACHE_PIECES = 100_000, 500_000  # about 130 MB per worker
 _SIGNS = frozenset(".,;:!?)\"")
 MAX_KEY = 48  # longer chunks and pieces are rare and not kept
 SLICE_CHARS = 8_000_000
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in byte-level vocabularies: printable bytes stand for themselves, the others
+    for the code points from 256 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def mergeable_ranks(tokenizer) -> dict[bytes, int] | None:
+    """Token bytes -> id if merging by lowest id gives this tokenizer's ids for every piece, else None.
+
+    That holds when ids follow the order of the merges and every token, alone, is merged to itself: then whenever two
+    neighbours join to a token's bytes, nothing has crossed its borders, its bytes have been merged as they are alone,
+    and the two are the pair that the merge list has for it."""
+    model = json.loads(tokenizer.to_str())["model"]
+    letters, vocab = byte_letters(), model["vocab"]
+    if model.get("type") != "BPE" or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")):
+        return None
+    special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    tokens = {t: i for t, i in vocab.items() if t not in special}
+    if not all(set(t) <= letters.keys() for t in tokens) or not letters.keys() <= tokens.keys():
+        return None
+    made = [vocab["".join(m.split(" ", 1) if isinstance(m, str) else m)] for m in model["merges"]]
+    if made != sorted(made) or any(len(tokenizer.model.tokenize(t)) != 1 for t in tokens):
+        return None
+    return {bytes([letters[c] for c in t]): i for t, i in tokens.items()}
+
+
 class HfBackend:
-    """Ids of pieces and of whole texts by the tokenizers library."""
+    """Ids of pieces and of whole texts by the tokenizers library.
+
+    Pieces are merged by tiktoken from the tokenizer's own vocabulary where that is proven to give the same ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,8 +79,12 @@ class HfBackend:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        ranks = mergeable_ranks(self.tokenizer)
+        self.merge = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary if ranks else None
 
     def pieces(self, words: list[str]) -> Iterable[list[int]]:
+        if self.merge:
+            return map(self.merge, words)
         return (e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False))
 
     def text(self, text: str) -> list[int] | None:
@@ -118,38 +154,28 @@ class TextEncoder:
         return out
 
     def _chunks(self, distinct: list[str], loose: list[list[str]]) -> tuple[list[bytes], Callable[[str], bytes]]:
-        """Ids of distinct chunks (each stands behind a blank), and a look-up that also knows the loose pieces."""
-        piece, chunk = self.piece, self.chunk
-        values = list(map(chunk.get, distinct))
-        # what the pieces already give is taken at once; the rest waits for its pieces to be encoded
-        waiting: list[tuple[int, list[str] | tuple[str, ...]]] = []
+        """Ids of distinct chunks (each stands behind a blank), and a look-up that also knows the loose pieces.
+
+        A word is one piece, a word and a sign are two; only other chunks are split by the pattern and cached as such."""
+        piece = self.piece
+        get = piece.get
+        values: list[bytes | None] = [None] * len(distinct)
+        alone = [i for i, c in enumerate(distinct) if c.isalpha()]
+        words = [" " + distinct[i] for i in alone]
+        rest = [i for i, c in enumerate(distinct) if not c.isalpha()]
+        signed = [i for i in rest if distinct[i][-1:] in _SIGNS and distinct[i][:-1].isalpha()]
+        stems = [" " + distinct[i][:-1] for i in signed]
+        plain = set(signed)
+        odd = [i for i in rest if i not in plain]
+        odd_values = [self.chunk.get(distinct[i]) for i in odd]
+        split = {i: PATTERN.findall(" " + distinct[i]) for i, v in zip(odd, odd_values) if v is None}
+
         new: set[str] = set()
-        missing = [i for i, v in enumerate(values) if v is None]
-        of_piece = piece.get
-        for i in missing:
-            c = distinct[i]
-            if c.isalpha():  # a word, or a word and one sign: what the pattern finds is plain
-                word = " " + c
-                v = values[i] = of_piece(word)
-                if v is None:
-                    new.add(word)
-                    waiting.append((i, (word,)))
-            elif c[-1:] in _SIGNS and c[:-1].isalpha():
-                word = " " + c[:-1]
-                v, sign = of_piece(word), of_piece(c[-1])
-                if v is None or sign is None:
-                    new.update(p for p in (word, c[-1]) if p not in piece)
-                    waiting.append((i, (word, c[-1])))
-                else:
-                    values[i] = v + sign
-            else:
-                found = PATTERN.findall(" " + c)
-                new.update([p for p in found if p not in piece])
-                waiting.append((i, found))
-        for found in loose:
-            for p in found:
-                if p not in piece:
-                    new.add(p)
+        found_words, found_stems = list(map(get, words)), list(map(get, stems))
+        new.update([w for w, v in zip(words, found_words) if v is None])
+        new.update([w for w, v in zip(stems, found_stems) if v is None])
+        for found in (_SIGNS, *split.values(), *loose):
+            new.update([p for p in found if p not in piece])
         spare: dict[str, bytes] = {}
         fresh = list(new)
         room = self.max_pieces - len(piece)
@@ -161,14 +187,23 @@ class TextEncoder:
                 spare[p] = pack(ids)
 
         def known(p: str) -> bytes:
-            v = piece.get(p)
+            v = get(p)
             return spare[p] if v is None else v
 
-        for i, found in waiting:
-            values[i] = known(found[0]) if len(found) == 1 else b"".join([known(p) for p in found])
-        for i in missing[: max(0, self.max_chunks - len(chunk))]:
-            if len(distinct[i]) <= MAX_KEY:
-                chunk[distinct[i]] = values[i]
+        for i, w, v in zip(alone, words, found_words):
+            values[i] = known(w) if v is None else v
+        sign = {s: known(s) for s in _SIGNS}
+        for i, w, v in zip(signed, stems, found_stems):
+            values[i] = (known(w) if v is None else v) + sign[distinct[i][-1]]
+        room = self.max_chunks - len(self.chunk)
+        for i, v in zip(odd, odd_values):
+            if v is None:
+                c = distinct[i]
+                v = b"".join([known(p) for p in split[i]])
+                if room > 0 and len(c) <= MAX_KEY:
+                    self.chunk[c] = v
+                    room -= 1
+            values[i] = v
         return values, known
 
 

@@ -71,7 +71,7 @@ class Lengths(dict):
         self.most = len(self) + CACHE
 
     def __missing__(self, piece: str) -> int:
-        n = len(self.backend.tokenizer.encode(piece, add_special_tokens=False).ids)
+        n = len(next(iter(self.backend.pieces([piece]))))
         if len(self) < self.most and len(piece) <= MAX_KEY:
             self[piece] = n
         return n
