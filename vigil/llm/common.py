@@ -12,7 +12,9 @@ import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,6 +141,16 @@ def adding(df: DataFrame, fn, added: list[T.StructField], text_col: str = "text"
     return work.mapInArrow(tidy(batches), schema)
 
 
+def word_codes(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words of texts (runs without ASCII white space, A-Z lower-cased) numbered by Arrow: the distinct words, all words
+    as numbers, and the position at which each text's words begin, with the end last."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.string())))
+    coded = lists.values.dictionary_encode()
+    names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    there = np.array([w != "" for w in names], dtype=bool)[code] if names else np.zeros(0, bool)
+    return names, code[there], np.concatenate([[0], np.cumsum(there)])[lists.offsets.to_numpy()]
+
+
 def runs_of(it: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of whole key runs out of key-sorted batches: every key's rows are in exactly one of them."""
     held: list[pa.RecordBatch] = []

@@ -20,7 +20,6 @@ probability is 1; equal rows score alike; further columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from vigil.llm.common import stored, tidy, tidy_group, with_python
+from vigil.llm.common import stored, tidy, tidy_group, with_python, word_codes
 
 SHARE = 4e-6  # of the training tokens, from which an n-gram is kept: at most 250,000 per order
 BLOCK_BYTES = 24_000_000
@@ -67,26 +66,31 @@ def ngram_key(*parts: np.ndarray) -> np.ndarray:
     return key
 
 
-class Numbering:
-    """Words of some texts as numbers, with BEGIN = 0 and END = 1."""
+BEGIN = 0  # numbers of a text's begin and end; words are numbered from 2 on
 
-    def __init__(self) -> None:
-        self.index: dict[bytes, int] = {b"\x00begin ": 0, END: 1}  # a blank never occurs in a word
 
-    def sequence(self, words: list[bytes]) -> np.ndarray:
-        index = self.index
-        return np.array([0, *[index.setdefault(w, len(index)) for w in words], 1], dtype=np.int64)
+def sequences(texts: list[str], used: np.ndarray | None = None) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words of all texts, and the ``used`` ones as one sequence: begin, words, end, begin, ..."""
+    names, code, ends = word_codes(texts)
+    d = len(texts)
+    seq = np.zeros(len(code) + 2 * d, dtype=np.int64)
+    place = np.arange(len(code)) + 2 * np.repeat(np.arange(d), np.diff(ends)) + 1
+    seq[place] = code + 2
+    seq[ends[1:] + 2 * np.arange(d) + 1] = 1
+    if used is not None:
+        seq = seq[np.repeat(used, np.diff(ends) + 2)]
+    return [w.encode("utf-8") for w in names], seq
 
-    def hashes(self) -> np.ndarray:
-        out = word_hash(list(self.index))
-        out[0] = BEGIN_HASH
-        return out
+
+def hashes_of(names: list[bytes]) -> np.ndarray:
+    """Hashes by number: begin, end, words."""
+    return np.concatenate([[BEGIN_HASH], word_hash([END, *names])])
 
 
 def _frequent(seq: np.ndarray, width: int, least: float) -> Iterator[tuple[np.ndarray, ...]]:
     """(first, second[, third], counts) of the bigrams, then trigrams, that occur at least ``least`` times."""
     pair = seq[:-1] * width + seq[1:]
-    pair[seq[1:] == 0] = -1  # a text's begin ends no n-gram
+    pair[seq[1:] == BEGIN] = -1  # a text's begin ends no n-gram
     keys, place, counts = np.unique(pair, return_inverse=True, return_counts=True)
     often = (counts >= least) & (keys >= 0)
     yield keys[often] // width, keys[often] % width, counts[often]
@@ -108,22 +112,17 @@ def count_block(share: float):
     """A function that counts one block: word rows (kind 1) and n-gram candidates (kind 2 and 3)."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        numbers = Numbering()
-        train: list[np.ndarray] = []
-        for text, out in zip(table["text"].to_pylist(), table["held_out"].to_pylist()):
-            seq = numbers.sequence(tokens(text))
-            if not out:
-                train.append(seq)
-        block = key[0].as_py()
-        words = list(numbers.index)
-        seq = np.concatenate(train) if train else np.zeros(0, np.int64)
-        counts = np.bincount(seq, minlength=len(words))
-        n = len(seq) - len(train)  # tokens, without the begins
-        parts = [pa.table({"block": [block] * (len(words) - 1), "kind": [1] * (len(words) - 1), "word": pa.array(words[1:], pa.binary()),
-                           "key": pa.nulls(len(words) - 1, pa.int64()), "n": pa.array(counts[1:]), "of": pa.nulls(len(words) - 1, pa.int64())}, schema=_SCHEMA)]
+        block, used = key[0].as_py(), ~table["held_out"].to_numpy().astype(bool)
+        names, seq = sequences(table["text"].to_pylist(), used)
+        counts = np.bincount(seq, minlength=len(names) + 2)
+        words = [END, *names]
+        at = [i for i, w in enumerate(words) if w or i == 0]  # Arrow also numbers the gap between two blanks
+        n, m = len(seq) - int(used.sum()), len(at)  # tokens, without the begins
+        parts = [pa.table({"block": [block] * m, "kind": [1] * m, "word": pa.array([words[i] for i in at], pa.binary()),
+                           "key": pa.nulls(m, pa.int64()), "n": pa.array(counts[1:][at]), "of": pa.nulls(m, pa.int64())}, schema=_SCHEMA)]
         if len(seq) > 1:
-            hashes = numbers.hashes()
-            for *ids, c in _frequent(seq, len(words), share / 2 * n):
+            hashes = hashes_of(names)
+            for *ids, c in _frequent(seq, len(names) + 2, share / 2 * n):
                 m = len(c)
                 parts.append(pa.table({"block": [block] * m, "kind": [len(ids)] * m, "word": pa.nulls(m, pa.binary()),
                                        "key": pa.array(ngram_key(*[hashes[i] for i in ids]).view(np.int64)), "n": pa.array(c), "of": [n] * m}, schema=_SCHEMA))
@@ -143,13 +142,14 @@ def count_candidates(shared):
         total = {k: np.zeros(len(keys), np.int64) for k, keys in shared.value.items()}
         sample = {k: np.zeros((k, len(keys)), np.uint64) for k, keys in shared.value.items()}
 
-        def flush(numbers: Numbering, train: list[np.ndarray]) -> None:
-            seq, hashes = np.concatenate(train), numbers.hashes()
+        for batch in batches:
+            names, seq = sequences([t or "" for t in batch.column(0).to_pylist()])
+            hashes = hashes_of(names)
             for kind, keys in shared.value.items():
                 if not len(keys) or len(seq) < kind:
                     continue
                 views = [seq[i : len(seq) - kind + 1 + i] for i in range(kind)]
-                inside = np.all([v != 0 for v in views[1:]], axis=0)
+                inside = np.all([v != BEGIN for v in views[1:]], axis=0)
                 parts = [hashes[v[inside]] for v in views]
                 found = ngram_key(*parts)
                 at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
@@ -157,18 +157,6 @@ def count_candidates(shared):
                 total[kind] += np.bincount(at[hit], minlength=len(keys))
                 for i in range(kind):
                     sample[kind][i][at[hit]] = parts[i][hit]
-
-        numbers, train, size = Numbering(), [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seq = numbers.sequence(tokens(text))
-                train.append(seq)
-                size += len(seq)
-                if size > 2_000_000:
-                    flush(numbers, train)
-                    numbers, train, size = Numbering(), [], 0
-        if train:
-            flush(numbers, train)
         for kind, keys in shared.value.items():
             at = np.flatnonzero(total[kind])
             parts = [sample[kind][i][at].view(np.int64) for i in range(kind)] + [np.zeros(len(at), np.int64)] * (3 - kind)
@@ -284,16 +272,20 @@ def score_block(shared, id_type: pa.DataType):
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
         machine = automaton(shared)
         model = machine.model
-        names = words["word"].to_pylist()
-        index = {w: i for i, w in enumerate(names)}
+        known = words["word"].to_pylist()
+        index = {w: i for i, w in enumerate(known)}
         count = words["c"].to_numpy()
         single = model.base(count)
-        number = machine.number(word_hash(names)) if names else np.zeros(0, np.int64)
+        number = machine.number(word_hash(known)) if known else np.zeros(0, np.int64)
         rows: list[tuple] = []
-        for text in docs["text"].to_pylist() if docs.num_rows else []:
-            seq = np.array([*[index[w] for w in tokens(text)], index[END]], dtype=np.int64)
-            alone = single[seq]
-            rows.append((len(seq), int((count[seq] > 0).sum()), math.fsum(alone), machine.traverse(number[seq].tolist(), alone.tolist())))
+        if docs.num_rows:
+            names, seq = sequences(docs["text"].to_pylist())
+            row_of = np.array([-1, index[END], *[index.get(w, -1) for w in names]], dtype=np.int64)
+            begins = np.flatnonzero(seq == BEGIN)
+            seq = row_of[seq]
+            alone, seen, states = single[seq], count[seq] > 0, number[seq]
+            for a, b in zip(begins + 1, [*begins[1:], len(seq)]):
+                rows.append((int(b - a), int(seen[a:b].sum()), float(alone[a:b].sum()), machine.traverse(states[a:b].tolist(), alone[a:b].tolist())))
         n = len(rows)
         return pa.table({
             "doc_id": docs["doc_id"] if n else pa.nulls(0, id_type), "held_out": docs["held_out"] if n else pa.nulls(0, pa.bool_()),

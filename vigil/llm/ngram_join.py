@@ -27,12 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import runs_of, stored, tidy, with_python
+from vigil.llm.common import runs_of, stored, tidy, with_python, word_codes
 from vigil.llm.components import components
 
 SHINGLE = 5
@@ -73,14 +72,8 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
 
 
 def _shingle_slice(texts: list[str]) -> Iterator[np.ndarray]:
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.string())))
-    words = lists.values.dictionary_encode()
-    names = words.dictionary.to_pylist()
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in names], dtype=np.uint64)
-    code = words.indices.to_numpy()
-    there = np.array([w != "" for w in names], dtype=bool)[code] if len(names) else np.zeros(0, bool)
-    h = hashes[code[there]]
-    ends = np.concatenate([[0], np.cumsum(there)])[lists.offsets.to_numpy()]  # word positions at which texts begin and end
+    names, code, ends = word_codes(texts)
+    h = np.array([xxhash.xxh3_64_intdigest(w) for w in names], dtype=np.uint64)[code]
     n = len(h) - SHINGLE + 1
     key = np.full(max(n, 0), SHINGLE, dtype=np.uint64)
     for k in range(SHINGLE if n > 0 else 0):
