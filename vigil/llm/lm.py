@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from vigil.llm.common import stored, tidy, tidy_group, with_python, word_codes
 
 SHARE = 4e-6  # of the training tokens, from which an n-gram is kept: at most 250,000 per order
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 12_000_000
 DISCOUNT = 0.75
 END = b""  # the end of a text as a word
 BEGIN_HASH = np.uint64(0x5851F42D4C957F2D)
