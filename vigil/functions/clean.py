@@ -85,7 +85,8 @@ def text_date(s: Column) -> Column:
             late = F.year(parsed) >= 2000 + FIRST_TWO_DIGIT_YEAR
             parsed = F.when(late, F.add_months(parsed, -1200)).otherwise(parsed)
         out = F.when(s.rlike(shape), parsed).otherwise(out)
-    return out
+    # the usual layout needs no formatter
+    return F.when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), s.try_cast("date")).otherwise(out)
 
 
 # The same characters as a plain set for ``btrim`` (a character loop, far cheaper than a regex).
