@@ -1,6 +1,7 @@
 """Language-model scores against a model counted and evaluated by brute force."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -79,3 +80,25 @@ def test_python_hash_is_sparks(spark):
     words = [b"", b"a", b"some longer word of bytes", "été".encode()]
     got = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w binary").selectExpr("i", "xxhash64(w) AS h").collect()
     assert [r.h for r in sorted(got)] == lm.word_hash(words).view("int64").tolist()
+
+
+def test_a_phrase_keeps_its_arcs_in_a_large_corpus(spark):
+    # seen three times in over a million tokens, in texts of several blocks; the model keeps every n-gram seen twice
+    r = random.Random(5)
+    filler = [f"w{k}" for k in range(40)]
+    learned = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 != 2][:120]
+    rows = [(i, " ".join(r.choices(filler, k=10_000)) + (" rare words meet" if k < 3 else "")) for k, i in enumerate(learned)]
+    held = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    df = spark.createDataFrame([*rows, (held, "rare words meet")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.score(df, block_bytes=1_000_000).collect()}[held]
+    n, v = got.train_tokens, 44
+    assert n == 120 * 10_001 + 9 and got.n_known == 4
+    rare = math.log10(4 / (n + v + 1))
+    assert got.base_score == pytest.approx(3 * rare + math.log10(121 / (n + v + 1)))
+    after = (3 - D) / 3 + D / 3 * 10**rare  # of "words" after "rare"
+    last = (3 - D) / 3 + D / 3 * after  # of "meet" after both; the end follows as often
+    end = (3 - D) / 3 + D / 3 * ((3 - D) / 3 + D / 3 * 121 / (n + v + 1))
+    starts = [t.split()[0] for _, t in rows]
+    kept = [w for w in set(starts) if starts.count(w) > 1]
+    begin = (120 - sum(map(starts.count, kept)) + D * len(kept)) / 120 * 10**rare
+    assert got.score == pytest.approx(sum(map(math.log10, (begin, after, last, end))))

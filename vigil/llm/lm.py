@@ -1,18 +1,18 @@
 """Language-model scoring with a weighted backoff automaton over words.
 
 Model: words (and the end of a text) with add-one smoothing; on top, bigrams and trigrams with absolute discounting,
-interpolated with the shorter history. Kept are the n-grams that make up at least ``SHARE`` of the training tokens;
-each order then has at most 1/SHARE of them by arithmetic, at any corpus size, so the automaton may be
-broadcast. A kept history is a state: its arcs carry log-probabilities, its failure arc the weight of the shorter
-history. One left-to-right traversal of a text carries the state and adds up log10-probabilities.
-
-Counting is exact and covers all training texts:
-1. texts are dealt into blocks of about ``BLOCK_BYTES`` by the hash of their id; a block counts its words, and
-   reports n-grams with at least half of SHARE of its own tokens.
-2. word counts are summed over blocks (shuffle by word) and sent back to the blocks that need them (shuffle by block),
-   so the vocabulary, which grows with the corpus, is never broadcast.
-3. an n-gram that reaches SHARE overall reaches half of it in some block; what cannot reach it any more is dropped,
-   which leaves at most 2/SHARE candidates per order, and these are counted again exactly over all texts.
+interpolated with the shorter history. Kept are all n-grams seen at least ``LEAST`` times in the training texts, at
+every corpus size, so the model grows with the corpus. A kept history is a state: its arcs carry log-probabilities, its
+failure arc the weight of the shorter history. The state before a word is the longest history that is one, so all words of
+a block step together; those without an arc follow failure arcs until they have one or the history is empty.
+
+Nothing of the model is broadcast or collected; each block gets what it contains and builds its automaton from that:
+1. texts are dealt into blocks of about ``BLOCK_BYTES`` by the hash of their id; a block counts its words and its n-grams
+   (64-bit keys, sorted, in one array per bucket of keys).
+2. word counts are summed over blocks (shuffle by word) and sent back to the blocks that need them (shuffle by block).
+3. n-gram counts are summed per bucket; what is kept adds its count to its history, whose bucket is another one.
+4. a bucket answers every block with the totals and history sums of the keys it sent, in the order it sent them.
+Buckets grow in number with the blocks, so that none outgrows a task; an n-gram has one entry per block, however frequent.
 
 Defined cases: null text = empty = the end token alone; a null doc_id is learned from; without training texts every
 probability is 1; equal rows score alike; further columns are ignored.
@@ -20,12 +20,10 @@ probability is 1; equal rows score alike; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,12 +31,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from vigil.llm.common import stored, tidy, tidy_group, with_python, word_codes
 
-SHARE = 4e-6  # of the training tokens, from which an n-gram is kept: at most 250,000 per order
+LEAST = 2  # occurrences in the training texts from which an n-gram is kept
+BUCKETS = 128  # at least, and two per block
 BLOCK_BYTES = 12_000_000
 DISCOUNT = 0.75
 END = b""  # the end of a text as a word
 BEGIN_HASH = np.uint64(0x5851F42D4C957F2D)
-WIDTH = 1 << 32
 HASH_SEED = 42  # the seed of Spark's xxhash64
 
 
@@ -69,16 +67,14 @@ def ngram_key(*parts: np.ndarray) -> np.ndarray:
 BEGIN = 0  # numbers of a text's begin and end; words are numbered from 2 on
 
 
-def sequences(texts: list[str], used: np.ndarray | None = None) -> tuple[list[bytes], np.ndarray]:
-    """The distinct words of all texts, and the ``used`` ones as one sequence: begin, words, end, begin, ..."""
+def sequences(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words of all texts, and all texts as one sequence of numbers: begin, words, end, begin, ..."""
     names, code, ends = word_codes(texts)
     d = len(texts)
     seq = np.zeros(len(code) + 2 * d, dtype=np.int64)
     place = np.arange(len(code)) + 2 * np.repeat(np.arange(d), np.diff(ends)) + 1
     seq[place] = code + 2
     seq[ends[1:] + 2 * np.arange(d) + 1] = 1
-    if used is not None:
-        seq = seq[np.repeat(used, np.diff(ends) + 2)]
     return [w.encode("utf-8") for w in names], seq
 
 
@@ -87,97 +83,158 @@ def hashes_of(names: list[bytes]) -> np.ndarray:
     return np.concatenate([[BEGIN_HASH], word_hash([END, *names])])
 
 
-def _frequent(seq: np.ndarray, width: int, least: float) -> Iterator[tuple[np.ndarray, ...]]:
-    """(first, second[, third], counts) of the bigrams, then trigrams, that occur at least ``least`` times."""
-    pair = seq[:-1] * width + seq[1:]
-    pair[seq[1:] == BEGIN] = -1  # a text's begin ends no n-gram
-    keys, place, counts = np.unique(pair, return_inverse=True, return_counts=True)
-    often = (counts >= least) & (keys >= 0)
-    yield keys[often] // width, keys[often] % width, counts[often]
-    number = np.full(len(keys), -1, dtype=np.int64)
-    number[often] = np.flatnonzero(often)
-    at = number[place]
-    both = (at[:-1] >= 0) & (at[1:] >= 0)  # both bigrams of a frequent trigram are frequent
-    triple = at[:-1][both] * width + seq[2:][both]
-    found, counts = np.unique(triple, return_counts=True)
-    found, counts = found[counts >= least], counts[counts >= least]
-    first_two = keys[found // width]
-    yield first_two // width, first_two % width, found % width, counts
+class Grams:
+    """The distinct words, bigrams and trigrams of a sequence: their places in it, and their keys in sorted order."""
 
+    def __init__(self, seq: np.ndarray, names: list[bytes]):
+        hashes = hashes_of(names)
+        self.width = width = len(hashes)
+        self.words = np.flatnonzero(np.bincount(seq, minlength=width))
+        pair = np.flatnonzero(seq[1:] != BEGIN)  # a text's begin ends no n-gram
+        self.pairs, at = np.unique(seq[pair] * width + seq[pair + 1], return_inverse=True)
+        self.pair_at = np.full(len(seq), -1, dtype=np.int64)  # the bigram that begins at a place
+        self.pair_at[pair] = at
+        self.triple_from = np.flatnonzero((self.pair_at[:-1] >= 0) & (self.pair_at[1:] >= 0))
+        self.triples, self.triple_no = np.unique(self.pair_at[self.triple_from] * width + seq[self.triple_from + 2], return_inverse=True)
+        self.first, self.second = self.pairs // width, self.pairs % width
+        self.left, self.last = self.triples // width, self.triples % width  # the first two words as a bigram, and the third
+        one = ngram_key(hashes)
+        two = ngram_key(hashes[self.first], hashes[self.second])
+        three = ngram_key(hashes[self.first[self.left]], hashes[self.second[self.left]], hashes[self.last])
+        keys = np.concatenate([one[self.words], two, three])
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+        self.histories = np.concatenate([np.zeros(len(self.words), np.uint64), one[self.first], two[self.left]])[self.order]
 
-BLOCK_ROWS = "block long, kind int, word binary, key long, n long, of long"
+    def counts(self, seq: np.ndarray, used: np.ndarray) -> np.ndarray:
+        """Occurrences, aligned with ``keys``, at places that are ``used``."""
+        pair, triple = np.flatnonzero((self.pair_at >= 0) & used), used[self.triple_from]
+        parts = [np.bincount(seq[used], minlength=self.width)[self.words], np.bincount(self.pair_at[pair], minlength=len(self.pairs)), np.bincount(self.triple_no[triple], minlength=len(self.triples))]
+        return np.concatenate(parts)[self.order]
 
+    def split(self, aligned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Values aligned with ``keys`` by word number, by bigram and by trigram."""
+        values = np.empty(len(aligned), aligned.dtype)
+        values[self.order] = aligned
+        w, p = len(self.words), len(self.pairs)
+        of_word = np.zeros(self.width, aligned.dtype)
+        of_word[self.words] = values[:w]
+        return of_word, values[w : w + p], values[w + p :]
 
-def count_block(share: float):
-    """A function that counts one block: word rows (kind 1) and n-gram candidates (kind 2 and 3)."""
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of keys; a larger key is never in a smaller one."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def packed(values: np.ndarray, kind: str) -> bytes:
+    raw = values.astype(kind).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b"", kind)
+
+
+BLOCK_ROWS = "block long, word binary, n long, bucket long, keys binary, histories binary, counts binary"
+_BLOCK = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("n", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()), ("histories", pa.binary()), ("counts", pa.binary())])
+ROWS_OUT = 16  # rows of arrays per Arrow batch
+
+
+def rows_of(schema: pa.Schema, rows: list[dict]) -> pa.Table:
+    """Rows of arrays as a table of small batches."""
+    return pa.Table.from_batches([pa.RecordBatch.from_pylist(rows[i : i + ROWS_OUT], schema=schema) for i in range(0, len(rows), ROWS_OUT)], schema=schema)
+
+
+def count_block(buckets: int):
+    """A function that counts one block: a row per word, and a row of n-grams per bucket. What only held-out texts contain counts 0."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         block, used = key[0].as_py(), ~table["held_out"].to_numpy().astype(bool)
-        names, seq = sequences(table["text"].to_pylist(), used)
-        counts = np.bincount(seq, minlength=len(names) + 2)
+        names, seq = sequences(table["text"].to_pylist())
+        grams = Grams(seq, names)
+        used = used[np.cumsum(seq == BEGIN) - 1]
+        counts = np.bincount(seq[used], minlength=grams.width)
         words = [END, *names]
         at = [i for i, w in enumerate(words) if w or i == 0]  # Arrow also numbers the gap between two blanks
-        n, m = len(seq) - int(used.sum()), len(at)  # tokens, without the begins
-        parts = [pa.table({"block": [block] * m, "kind": [1] * m, "word": pa.array([words[i] for i in at], pa.binary()),
-                           "key": pa.nulls(m, pa.int64()), "n": pa.array(counts[1:][at]), "of": pa.nulls(m, pa.int64())}, schema=_SCHEMA)]
-        if len(seq) > 1:
-            hashes = hashes_of(names)
-            for *ids, c in _frequent(seq, len(names) + 2, share / 2 * n):
-                m = len(c)
-                parts.append(pa.table({"block": [block] * m, "kind": [len(ids)] * m, "word": pa.nulls(m, pa.binary()),
-                                       "key": pa.array(ngram_key(*[hashes[i] for i in ids]).view(np.int64)), "n": pa.array(c), "of": [n] * m}, schema=_SCHEMA))
-        return pa.concat_tables(parts)
+        m = len(at)
+        found = {"block": pa.array([block] * m, pa.int64()), "word": pa.array([words[i] for i in at], pa.binary()), "n": pa.array(counts[1:][at])}
+        parts = [pa.table([found.get(f.name, pa.nulls(m, f.type)) for f in _BLOCK], schema=_BLOCK)]
+        counts = grams.counts(seq, used)
+        edges = np.searchsorted(bucket_of(grams.keys, buckets), np.arange(buckets + 1))
+        rows = [{"block": block, "bucket": k, "keys": grams.keys[a:b].tobytes(), "histories": grams.histories[a:b].tobytes(), "counts": packed(counts[a:b], "<u4")}
+                for k, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a]
+        return pa.concat_tables([*parts, rows_of(_BLOCK, rows)])
 
     return run
 
 
-_SCHEMA = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("word", pa.binary()), ("key", pa.int64()), ("n", pa.int64()), ("of", pa.int64())])
-EXACT_ROWS = "kind int, key long, a long, b long, c long, n long"
-
-
-def count_candidates(shared):
-    """A function that counts the broadcast candidate keys (sorted) exactly in a task's training texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {k: np.zeros(len(keys), np.int64) for k, keys in shared.value.items()}
-        sample = {k: np.zeros((k, len(keys)), np.uint64) for k, keys in shared.value.items()}
-
-        for batch in batches:
-            names, seq = sequences([t or "" for t in batch.column(0).to_pylist()])
-            hashes = hashes_of(names)
-            for kind, keys in shared.value.items():
-                if not len(keys) or len(seq) < kind:
-                    continue
-                views = [seq[i : len(seq) - kind + 1 + i] for i in range(kind)]
-                inside = np.all([v != BEGIN for v in views[1:]], axis=0)
-                parts = [hashes[v[inside]] for v in views]
-                found = ngram_key(*parts)
-                at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-                hit = keys[at] == found
-                total[kind] += np.bincount(at[hit], minlength=len(keys))
-                for i in range(kind):
-                    sample[kind][i][at[hit]] = parts[i][hit]
-        for kind, keys in shared.value.items():
-            at = np.flatnonzero(total[kind])
-            parts = [sample[kind][i][at].view(np.int64) for i in range(kind)] + [np.zeros(len(at), np.int64)] * (3 - kind)
-            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(at), pa.int32()), pa.array(keys[at].view(np.int64)), *[pa.array(p) for p in parts], pa.array(total[kind][at])], names=["kind", "key", "a", "b", "c", "n"])
+#: SENT: the numbers of the kept keys that a block sent (-1: not kept); OWN: the kept keys and their totals; HISTORY: sums and
+#: numbers of kept n-grams by the history they continue, for the bucket of that history
+KEPT_ROWS = "bucket long, kind int, block long, numbers binary, keys binary, totals binary, types binary"
+_KEPT = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("block", pa.int64()), ("numbers", pa.binary()), ("keys", pa.binary()), ("totals", pa.binary()), ("types", pa.binary())])
+SENT, OWN, HISTORY = 0, 1, 2
+
+
+def merge_bucket(buckets: int, floor: float):
+    """A function that sums one bucket's n-grams over all blocks and keeps those of at least ``floor``."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        bucket = key[0].as_py()
+        sent = [np.frombuffer(x, "<u8") for x in table["keys"].to_pylist()]
+        every = np.concatenate(sent)
+        found, first, at = np.unique(every, return_index=True, return_inverse=True)
+        counts = np.concatenate([unpacked(x, "<u4") for x in table["counts"].to_pylist()])
+        total = np.bincount(at, weights=counts, minlength=len(found)).astype(np.int64)
+        kept = total >= floor
+        history = np.concatenate([np.frombuffer(x, "<u8") for x in table["histories"].to_pylist()])[first[kept]]
+        number = np.where(kept, np.cumsum(kept) - 1, -1)[at]
+        rows = [{"bucket": bucket, "kind": OWN, "keys": found[kept].tobytes(), "totals": packed(total[kept], "<i8")}]
+        ends = np.cumsum([len(s) for s in sent]).tolist()
+        for block, a, b in zip(table["block"].to_pylist(), [0, *ends], ends):
+            rows.append({"bucket": bucket, "kind": SENT, "block": block, "numbers": packed(number[a:b], "<i4")})
+        longer = history != 0
+        of, at = np.unique(history[longer], return_inverse=True)
+        sums, types = np.bincount(at, weights=total[kept][longer], minlength=len(of)), np.bincount(at, minlength=len(of))
+        edges = np.searchsorted(bucket_of(of, buckets), np.arange(buckets + 1)).tolist()
+        for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+            if b > a:
+                rows.append({"bucket": k, "kind": HISTORY, "keys": of[a:b].tobytes(), "totals": packed(sums[a:b], "<i8"), "types": packed(types[a:b], "<i8")})
+        return rows_of(_KEPT, rows)
 
     return run
 
 
+ANSWER_ROWS = "block long, bucket long, totals binary, sums binary, types binary"
+_ANSWER = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("totals", pa.binary()), ("sums", pa.binary()), ("types", pa.binary())])
+
+
+def answer_blocks(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Per block what it sent to this bucket: total, and sum and number of the kept n-grams that continue it. 0: not kept."""
+    rows = table.to_pylist()
+    own = next(r for r in rows if r["kind"] == OWN)
+    keys, total = np.frombuffer(own["keys"], "<u8"), np.append(unpacked(own["totals"], "<i8"), 0)
+    sums, types = np.zeros(len(keys) + 1, np.int64), np.zeros(len(keys) + 1, np.int64)
+    for r in rows:
+        if r["kind"] == HISTORY:  # a history of a kept n-gram is as frequent, so it is kept
+            at = np.searchsorted(keys, np.frombuffer(r["keys"], "<u8"))
+            sums[at] += unpacked(r["totals"], "<i8")
+            types[at] += unpacked(r["types"], "<i8")
+    out = []
+    for r in rows:
+        if r["kind"] == SENT:
+            at = unpacked(r["numbers"], "<i4")
+            out.append({"block": r["block"], "bucket": key[0].as_py(), "totals": packed(total[at], "<i8"), "sums": packed(sums[at], "<i8"), "types": packed(types[at], "<i8")})
+    return rows_of(_ANSWER, out)
+
+
 @dataclass
 class Model:
-    """What the automaton is built from; every array is bounded by 1/SHARE, whatever the corpus."""
+    """What all blocks share."""
 
     n: int  # training tokens
     v: int  # distinct training tokens
-    texts: int
-    words: np.ndarray  # sorted hashes of words that reach SHARE
-    counts: np.ndarray
-    pairs: np.ndarray  # rows of word hashes a, b
-    pair_counts: np.ndarray
-    triples: np.ndarray
-    triple_counts: np.ndarray
 
     def base(self, c: np.ndarray) -> np.ndarray:
         """Log10 of the add-one probability of words seen ``c`` times; unseen words share one event."""
@@ -185,156 +242,104 @@ class Model:
 
 
 class Automaton:
-    """States, arcs and failure arcs. State 0 is the empty history; words are numbered by ``Model.words``."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        m = len(model.words)
-        self.begin = m  # the begin of a text is a history only
-        self.width = m + 1
-
-        def number(hashes: np.ndarray) -> np.ndarray:
-            at = np.minimum(np.searchsorted(model.words, hashes), max(m - 1, 0))
-            known = model.words[at] == hashes if m else np.zeros(len(hashes), bool)
-            return np.where(hashes == BEGIN_HASH, m, np.where(known, at, -1))
-
-        self.number = number
-        p1 = 10 ** model.base(model.counts) if m else np.zeros(0)
-        count = np.append(model.counts, model.texts).astype(float)
-        a, b = number(model.pairs[:, 0]), number(model.pairs[:, 1])
-        c2 = model.pair_counts.astype(float)
-        kept, types = np.bincount(a, weights=c2, minlength=m + 1), np.bincount(a, minlength=m + 1)
-        rest2 = (count - kept + DISCOUNT * types) / np.maximum(count, 1)  # weight of the shorter history
-        p2 = (c2 - DISCOUNT) / count[a] + rest2[a] * p1[b]
-        self.of_word = np.zeros(m + 1, dtype=np.int64)  # state of a one-word history, 0 if it has no arcs
-        histories = np.flatnonzero(types)
-        self.of_word[histories] = np.arange(1, len(histories) + 1)
-        self.fail, self.weight = [0] * (len(histories) + 1), [0.0, *np.log10(rest2[histories]).tolist()]
-
-        pair_at = {x: i for i, x in enumerate((a * self.width + b).tolist())}
-        ta, tb, tc = (number(model.triples[:, i]) for i in range(3))
-        c3 = model.triple_counts.astype(float)
-        left = np.array([pair_at[x] for x in (ta * self.width + tb).tolist()], dtype=np.int64)
-        right = np.array([pair_at[x] for x in (tb * self.width + tc).tolist()], dtype=np.int64)
-        kept3, types3 = np.bincount(left, weights=c3, minlength=len(c2)), np.bincount(left, minlength=len(c2))
-        rest3 = (c2 - kept3 + DISCOUNT * types3) / np.maximum(c2, 1)
-        p3 = (c3 - DISCOUNT) / c2[left] + rest3[left] * p2[right]
-        of_pair = np.zeros(len(c2), dtype=np.int64)
-        long = np.flatnonzero(types3)
-        of_pair[long] = len(self.fail) + np.arange(len(long))
-        self.fail += self.of_word[b[long]].tolist()
-        self.weight += np.log10(rest3[long]).tolist()
-
-        # arcs: (state, word) -> log10 probability and next state, the longest suffix that is a state
-        after = np.where(of_pair > 0, of_pair, self.of_word[b]) if len(b) else of_pair
-        keys = np.concatenate([self.of_word[a] * WIDTH + b, of_pair[left] * WIDTH + tc]).tolist()
-        self.log_p = np.log10(np.concatenate([p2, p3])).tolist()
-        self.next = np.concatenate([after, after[right]]).tolist()
-        self.arc = dict(zip(keys, range(len(keys))))
-        self.start = int(self.of_word[m])
-        self.enter = self.of_word.tolist()
-
-    def traverse(self, words: list[int], single: list[float]) -> float:
-        """Log10 probability of a text: word numbers (-1: no state knows it) and their log10 without a history."""
-        arc, fail, weight, log_p, then, enter = self.arc.get, self.fail, self.weight, self.log_p, self.next, self.enter
-        state, total = self.start, 0.0
-        for w, alone in zip(words, single):
-            hit = arc(state * WIDTH + w) if w >= 0 else None
-            while hit is None and state:
-                total += weight[state]
-                state = fail[state]
-                if w >= 0:
-                    hit = arc(state * WIDTH + w) if state else None
-            if hit is None:
-                total += alone
-                state = enter[w] if w >= 0 else 0
-            else:
-                total += log_p[hit]
-                state = then[hit]
-        return total
-
-
-_AUTOMATA: dict[int, Automaton] = {}
-
-
-def automaton(shared) -> Automaton:
-    """The worker's automaton of one broadcast model; a later one replaces it."""
-    model = shared.value
-    if id(model) not in _AUTOMATA:
-        _AUTOMATA.clear()
-        _AUTOMATA[id(model)] = Automaton(model)
-    return _AUTOMATA[id(model)]
-
-
-def score_block(shared, id_type: pa.DataType):
-    """A function that scores one block's texts with the counts of its words."""
-
-    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        machine = automaton(shared)
-        model = machine.model
-        known = words["word"].to_pylist()
-        index = {w: i for i, w in enumerate(known)}
-        count = words["c"].to_numpy()
-        single = model.base(count)
-        number = machine.number(word_hash(known)) if known else np.zeros(0, np.int64)
-        rows: list[tuple] = []
-        if docs.num_rows:
+    """States, arcs and failure arcs of the n-grams of one block. State 0 is the empty history."""
+
+    def __init__(self, grams: Grams, single: np.ndarray, total: np.ndarray, sums: np.ndarray, types: np.ndarray):
+        self.grams = grams
+        (c1, c2, c3), (s1, s2, _), (t1, t2, _) = grams.split(total), grams.split(sums), grams.split(types)
+        rest1, rest2 = ((c - s + DISCOUNT * t) / np.maximum(c, 1) for c, s, t in ((c1, s1, t1), (c2, s2, t2)))  # weight of the shorter history
+        a, b, left, c = grams.first, grams.second, grams.left, grams.last
+        right = np.searchsorted(grams.pairs, b[left] * grams.width + c)
+        pair, triple = np.flatnonzero(c2), np.flatnonzero(c3)
+        p2 = np.zeros(len(c2))
+        p2[pair] = (c2[pair] - DISCOUNT) / c1[a[pair]] + rest1[a[pair]] * 10 ** single[b[pair]]
+        two = left[triple]
+        p3 = (c3[triple] - DISCOUNT) / c2[two] + rest2[two] * p2[right[triple]]
+
+        short, long = np.flatnonzero(t1), np.flatnonzero(t2)
+        self.of_word, self.of_pair = np.zeros(len(c1), np.int64), np.zeros(len(c2), np.int64)  # 0 without arcs
+        self.of_word[short] = np.arange(1, len(short) + 1)
+        self.of_pair[long] = np.arange(1, len(long) + 1) + len(short)
+        self.fail = np.concatenate([np.zeros(len(short) + 1, np.int64), self.of_word[b[long]]])
+        self.weight = np.concatenate([[0.0], np.log10(rest1[short]), np.log10(rest2[long])])
+        arcs = np.concatenate([self.of_word[a[pair]] * grams.width + b[pair], self.of_pair[two] * grams.width + c[triple]])
+        order = np.argsort(arcs)
+        self.arcs, self.log_p = arcs[order], np.log10(np.concatenate([p2[pair], p3]))[order]
+
+    def traverse(self, seq: np.ndarray, single: np.ndarray) -> np.ndarray:
+        """Log10 probability at each place of a sequence (0 at begins); ``single`` are log10 without a history, by word."""
+        out = np.zeros(len(seq))
+        place = np.flatnonzero(seq != BEGIN)
+        state = self.of_word[seq[place - 1]]
+        before = np.where(place > 1, self.grams.pair_at[place - 2], -1)
+        longer = np.where(before >= 0, self.of_pair[before], 0)
+        state = np.where(longer > 0, longer, state)
+        while len(place):
+            key = state * self.grams.width + seq[place]
+            at = np.minimum(np.searchsorted(self.arcs, key), max(len(self.arcs) - 1, 0))
+            hit = self.arcs[at] == key if len(self.arcs) else np.zeros(len(place), bool)
+            out[place[hit]] += self.log_p[at[hit]]
+            alone = ~hit & (state == 0)
+            out[place[alone]] += single[seq[place[alone]]]
+            on = ~hit & (state > 0)
+            place, state = place[on], state[on]
+            out[place] += self.weight[state]
+            state = self.fail[state]
+        return out
+
+
+def score_block(model: Model, id_type: pa.DataType):
+    """A function that scores one block's texts with the counts of its words and n-grams."""
+
+    def run(docs: pa.Table, sent: pa.Table) -> pa.Table:
+        n = docs.num_rows
+        if n:
+            words = sent.filter(sent["bucket"].is_null())
+            index = dict(zip(words["word"].to_pylist(), words["c"].to_pylist()))
             names, seq = sequences(docs["text"].to_pylist())
-            row_of = np.array([-1, index[END], *[index.get(w, -1) for w in names]], dtype=np.int64)
+            grams = Grams(seq, names)
+            answers = sent.filter(sent["bucket"].is_valid()).select(["bucket", "totals", "sums", "types"]).sort_by("bucket")
+            total, sums, types = (np.concatenate([unpacked(x, "<i8") for x in answers[c].to_pylist()]) for c in ("totals", "sums", "types"))
+            assert len(total) == len(grams.keys), "a block's texts have changed since they were counted"
+            count = np.array([0, index[END], *[index.get(w, 0) for w in names]], dtype=np.int64)
+            single = model.base(count)
             begins = np.flatnonzero(seq == BEGIN)
-            seq = row_of[seq]
-            alone, seen, states = single[seq], count[seq] > 0, number[seq]
-            for a, b in zip(begins + 1, [*begins[1:], len(seq)]):
-                rows.append((int(b - a), int(seen[a:b].sum()), float(alone[a:b].sum()), machine.traverse(states[a:b].tolist(), alone[a:b].tolist())))
-        n = len(rows)
+            inside = seq != BEGIN
+            scores = Automaton(grams, single, total, sums, types).traverse(seq, single)
+            tokens_, known, base, full = (np.add.reduceat(x, begins) for x in (inside.astype(np.int64), (inside & (count[seq] > 0)).astype(np.int64), np.where(inside, single[seq], 0.0), scores))
+        else:
+            tokens_, known, base, full = (np.zeros(0, t) for t in (np.int64, np.int64, float, float))
         return pa.table({
             "doc_id": docs["doc_id"] if n else pa.nulls(0, id_type), "held_out": docs["held_out"] if n else pa.nulls(0, pa.bool_()),
-            "n_tokens": pa.array([r[0] for r in rows], pa.int64()), "n_known": pa.array([r[1] for r in rows], pa.int64()),
-            "train_tokens": pa.array([model.n] * n, pa.int64()), "base_score": pa.array([r[2] for r in rows], pa.float64()), "score": pa.array([r[3] for r in rows], pa.float64())})
+            "n_tokens": pa.array(tokens_), "n_known": pa.array(known), "train_tokens": pa.array([model.n] * n, pa.int64()),
+            "base_score": pa.array(base), "score": pa.array(full)})
 
     return run
 
 
-def _unsigned(column: pa.ChunkedArray) -> np.ndarray:
-    return column.to_numpy().astype(np.int64).view(np.uint64)
+def score(docs: DataFrame, share: float = 0.0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
-
-def score(docs: DataFrame, share: float = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
+    A ``share`` keeps only n-grams that also make up that share of the training tokens, for a smaller model."""
     spark = docs.sparkSession
     with_python(spark)
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), held_out(F.col("doc_id")).alias("held_out"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
+    buckets = max(BUCKETS, 2 * blocks)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)))
 
-    counted = stored(dealt.select("block", "text", "held_out").groupBy("block").applyInArrow(tidy_group(count_block(share)), BLOCK_ROWS), "lm-blocks")
+    counted = stored(dealt.select("block", "text", "held_out").groupBy("block").applyInArrow(tidy_group(count_block(buckets)), BLOCK_ROWS), "lm-blocks")
     # the counts of a block's words over all blocks; a word has one row per block, however frequent it is
     same = Window.partitionBy("word")
-    words = counted.where("kind = 1").select("block", "word", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("block")) == 1).alias("once"))
+    words = counted.where("bucket IS NULL").select("block", "word", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("block")) == 1).alias("once"))
     words = stored(words, "lm-words")
     n, v = words.where("once AND c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    floor = max(2.0, share * n)
-    texts = words.where("once AND word = X''").agg(F.sum("c")).first()[0] or 0
-
-    upper = F.sum("n") + share / 2 * (n - F.sum("of"))
-    candidates = counted.where("kind > 1").groupBy("kind", "key").agg(upper.alias("upper")).where(F.col("upper") >= share * n).select("kind", "key").toArrow()
-    keys = {k: np.sort(_unsigned(candidates.filter(pa.compute.equal(candidates["kind"], k))["key"])) for k in (2, 3)}
-    shared_keys = spark.sparkContext.broadcast(keys)  # at most 2/share keys per order
-    exact = rows.where(~F.col("held_out")).select("text").mapInArrow(tidy(count_candidates(shared_keys)), EXACT_ROWS)
-    kept = exact.groupBy("kind", "key").agg(F.max("a").alias("a"), F.max("b").alias("b"), F.max("c").alias("c"), F.sum("n").alias("n")).where(F.col("n") >= floor).toArrow()
-    frequent = words.where(F.col("once") & (F.col("c") >= max(1.0, share * n))).select(F.xxhash64("word").alias("h"), "c").toArrow()
-
-    order = np.argsort(_unsigned(frequent["h"]))
-    by_kind = {k: kept.filter(pa.compute.equal(kept["kind"], k)).sort_by("key") for k in (2, 3)}
-    model = Model(
-        n, v, texts, _unsigned(frequent["h"])[order], frequent["c"].to_numpy()[order],
-        np.stack([_unsigned(by_kind[2][x]) for x in "ab"], axis=1), by_kind[2]["n"].to_numpy(),
-        np.stack([_unsigned(by_kind[3][x]) for x in "abc"], axis=1), by_kind[3]["n"].to_numpy(),
-    )
-    shared = spark.sparkContext.broadcast(model)
+
+    sent = counted.where("bucket IS NOT NULL").select("bucket", "block", "keys", "histories", "counts")
+    kept = stored(sent.groupBy("bucket").applyInArrow(tidy_group(merge_bucket(buckets, max(float(LEAST), share * n))), KEPT_ROWS), "lm-ngrams")
+    answers = kept.groupBy("bucket").applyInArrow(tidy_group(answer_blocks), ANSWER_ROWS)
     id_type = docs.schema["doc_id"].dataType
     out = f"doc_id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    left = dealt.groupBy("block")
-    right = words.select(F.col("block").alias("block"), "word", "c").groupBy("block")
-    return left.cogroup(right).applyInArrow(tidy_group(score_block(shared, to_arrow_type(id_type))), out)
+    right = words.select("block", "word", "c").unionByName(answers, allowMissingColumns=True)
+    return dealt.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(tidy_group(score_block(Model(n, v), to_arrow_type(id_type))), out)
