@@ -1,5 +1,6 @@
 """The chosen-path join and connected components against brute force."""
 
+import math
 import random
 
 import pytest
@@ -101,6 +102,26 @@ def test_recall_at_the_threshold(spark):
     assert pairs == 300 and sum(g.n_links for g in got) >= 0.99 * pairs
 
 
+def test_one_stated_miss_for_the_cut_off_and_every_depth():
+    cut = sum(math.comb(nj.SKETCH, i) * 0.8**i * 0.2 ** (nj.SKETCH - i) for i in range(nj.AGREE))
+    assert cut < 3.1e-10
+    assert all((1 - nj.meeting(k)) ** nj.RUNS_AT[k] <= nj.MISS for k in range(1, nj.LEVELS + 1))
+
+
+def test_pairs_at_the_threshold_whose_sketches_agree_little(spark, monkeypatch):
+    # similarity 40 / 50; found by search: 82 of 128 sketch bytes agree. Small buckets and a passage shared by others split paths
+    monkeypatch.setattr(nj, "BUCKET", 8)
+    rows = []
+    for k in (36372, 43388):
+        words = [f"p{k}x{i}" for i in range(49)]
+        rows += [" ".join(words), " ".join(words[:24] + [f"q{k}"] + words[25:])]
+    passage = " ".join(f"h{i}" for i in range(40))
+    for k in range(30):  # 30 pairs of similarity 80 / 100 that share the passage with all others
+        words = [f"a{k}x{i}" for i in range(54)]
+        rows += [f"{passage} " + " ".join(words), f"{passage} " + " ".join(words[:10] + [f"b{k}"] + words[11:30] + [f"c{k}"] + words[31:])]
+    check(spark, list(enumerate(rows)))
+
+
 def test_empty_table_and_repeated_rows(spark):
     df = spark.createDataFrame([(1, "a b c d e f")] * 3 + [(None, None)], "doc_id long, text string")
     assert nj.join(df.where("doc_id < 0")).count() == 0

@@ -8,12 +8,15 @@ probability equal to their similarity. In each of ``RUNS`` independent runs a se
 picked by a hash of the path so far and the token, 1 / THRESHOLD of them per step on average, so similar sets keep
 meeting while others part. A path ends in a bucket of at most ``BUCKET`` sets, in one whose sets are all alike, or
 after ``LEVELS`` steps. A pair at the threshold walks together for k steps with probability q(k), q(1) = 0.63,
-q(k + 1) = 1 - exp(-q(k)); all runs miss it with probability (1 - q(k)) ** RUNS, which is 2e-9 for one step and
-6e-4 for four, and less for more similar pairs. Almost all paths end after one step.
+q(k + 1) = 1 - exp(-q(k)). Almost all paths end after one step; a set whose path went k steps is given more runs from the
+root, ``RUNS_AT`` [k] in all, so that every depth misses a pair with probability (1 - q(k)) ** RUNS_AT[k] <= ``MISS``. Two
+sets that parted in a split bucket have both been split there, so both have these runs.
 
 Brute force: a bucket is cut into cells of at most two blocks of ``BUCKET`` sets, so no task holds a large bucket, and
-no pairs are written: a cell compares sketches (a byte per token), keeps pairs that may reach the threshold, and then
-intersects the full sets. A pair belongs to the first of its common buckets, so links are counted once. Cells give
+no pairs are written: a cell compares sizes (exactly) and sketches (a byte per token), keeps pairs that may reach the
+threshold, and then intersects the full sets. A pair at the threshold agrees in fewer than ``AGREE`` tokens with
+probability 3.0e-10; with the runs, a pair is missed with probability 2.4e-9 at most, and less the
+more similar it is. A pair belongs to the first of its common buckets, so links are counted once. Cells give
 each set's number of links and a spanning forest; components make the classes.
 
 Defined cases: null text = empty; all texts without words are one class; equal doc_ids are documents of their
@@ -23,7 +26,9 @@ results; further columns are ignored. Sets are told apart by a 64-bit hash.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +48,17 @@ BUCKET = 1024
 LEVELS = 6
 ALIKE = 0.7  # mean share of common tokens from which a bucket's sets are alike
 PROBES = 48  # sets of a large bucket, on average, from which that share is estimated; it steers the walk only
-#: tokens that must agree: 0.8 of the sketch less four standard deviations
-AGREE = int(SKETCH * 0.8 - 4 * (SKETCH * 0.8 * 0.2) ** 0.5)
+AGREE = 72  # tokens that must agree; at the threshold 102 do on average, with a standard deviation of 4.5
+MISS = 2.1e-9  # probability of missing a pair at the threshold, at every depth
+
+
+def meeting(steps: int) -> float:
+    """q: the probability that a pair at the threshold walks ``steps`` steps together in one run."""
+    return 1 - math.exp(-meeting(steps - 1)) if steps else 1.0
+
+
+#: runs by the depth of a path; index 0 is not used
+RUNS_AT = [0, *(max(RUNS, math.ceil(math.log(MISS) / math.log(1 - meeting(k)))) for k in range(1, LEVELS + 1))]
 _RNG = np.random.default_rng(20240501)
 _MUL = _RNG.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _ADD = _RNG.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32)
@@ -141,20 +155,24 @@ def _pick(per_set: float, salts: np.ndarray):
     return run
 
 
-_ROOT_SALTS = mix(np.arange(1, RUNS + 1, dtype=np.uint64))
 _PER_RUN = THRESHOLD[1] / THRESHOLD[0]
 
 
-def _root_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pick = _pick(_PER_RUN, _ROOT_SALTS)
-    for batch in batches:
-        if batch.num_rows:
-            values = _matrix(batch.column("sketch"))
-            sets, children = pick(_tokens(values), np.zeros(len(values), np.uint64))
-            yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(sets)), pa.array(children)], names=["sid", "bucket"])
+def _root_buckets(first: int, end: int):
+    """A function that takes the first step of the runs from ``first`` to before ``end``."""
+    pick = _pick(_PER_RUN, mix(np.arange(first + 1, end + 1, dtype=np.uint64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                values = _matrix(batch.column("sketch"))
+                sets, children = pick(_tokens(values), np.zeros(len(values), np.uint64))
+                yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(sets)), pa.array(children)], names=["sid", "bucket"])
+
+    return run
 
 
-_STEP_SALT = mix(np.array([RUNS + 1], dtype=np.uint64))
+_STEP_SALT = mix(np.array([RUNS_AT[-1] + 1], dtype=np.uint64))
 
 
 def _split_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,25 +200,42 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "bucket").select("sid", "bucket", "m")
 
 
-def leaf_buckets(reps: DataFrame) -> DataFrame:
-    """(sid, bucket, m): the buckets in which sets are compared."""
-    sketches = reps.select("sid", "sketch")
-    level = stored(_sized(sketches.mapInArrow(tidy(_root_buckets), "sid long, bucket long").distinct()), "buckets")
+def _walk(sketches: DataFrame, first: int, end: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(sid, bucket, m) of the buckets in which runs ``first`` to ``end`` end, and the sets that took two steps, three, ..."""
+    level = stored(_sized(sketches.mapInArrow(tidy(_root_buckets(first, end)), "sid long, bucket long").distinct()), "buckets")
     leaves = level.where(F.col("m") <= BUCKET)
+    deeper: list[DataFrame] = []
     for _ in range(LEVELS - 1):
         large = level.where(F.col("m") > BUCKET)
         if large.isEmpty():
-            return leaves
+            return leaves, deeper
         chosen = F.pmod(F.xxhash64("bucket", "sid", F.lit(1)), F.lit(1 << 20)) < F.lit(PROBES << 20) / F.col("m")
         probes = large.where(chosen).join(sketches, "sid").select("bucket", "sketch")
         alike = probes.groupBy("bucket").applyInArrow(_likeness, "bucket long, share double").where(F.col("share") >= ALIKE)
         alike = stored(alike.select("bucket"), "alike")
         leaves = leaves.unionByName(large.join(alike, "bucket", "left_semi").select("sid", "bucket", "m"))
         apart = large.join(alike, "bucket", "left_anti").select("sid", "bucket")
+        deeper.append(apart.select("sid"))
         paths = apart.join(sketches, "sid").select("sid", "bucket", "sketch").mapInArrow(tidy(_split_buckets), "sid long, bucket long")
         level = stored(_sized(paths.distinct()), "buckets")
         leaves = leaves.unionByName(level.where(F.col("m") <= BUCKET))
-    return leaves.unionByName(level.where(F.col("m") > BUCKET))
+    return leaves.unionByName(level.where(F.col("m") > BUCKET)), deeper
+
+
+def leaf_buckets(reps: DataFrame) -> DataFrame:
+    """(sid, bucket, m): the buckets in which sets are compared."""
+    sketches = reps.select("sid", "sketch")
+    leaves, deeper = _walk(sketches, 0, RUNS_AT[1])
+    for depth in range(2, LEVELS + 1):
+        if len(deeper) < depth - 1:
+            break
+        split = stored(deeper[depth - 2].distinct(), "split")
+        if split.isEmpty():
+            break
+        more, also = _walk(sketches.join(split, "sid", "left_semi"), RUNS_AT[depth - 1], RUNS_AT[depth])
+        leaves = leaves.unionByName(more)
+        deeper = [x.unionByName(y) if x is not None and y is not None else (y if x is None else x) for x, y in zip_longest(deeper, also)]
+    return leaves
 
 
 def cells(leaves: DataFrame) -> DataFrame:
@@ -222,7 +257,7 @@ def _similar_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     for rows in runs_of(batches, "cell"):
         values = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8).reshape(-1, SKETCH)
         cell, sid, part, cross = (rows[c].to_numpy() for c in ("cell", "sid", "part", "cross"))
-        bucket = rows["bucket"].to_numpy()
+        bucket, size = rows["bucket"].to_numpy(), rows["size"].to_numpy().astype(np.int64)
         paths = rows["paths"].to_pylist()
         out: list[tuple[int, int, list[int]]] = []
         edges = _edges_of(cell)
@@ -232,6 +267,7 @@ def _similar_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             partners: dict[int, list[int]] = {}
             for i in range(a, b - 1):
                 near = (values[i + 1 : b] == values[i]).sum(axis=1) >= AGREE
+                near &= np.minimum(size[i + 1 : b], size[i]) * THRESHOLD[1] >= np.maximum(size[i + 1 : b], size[i]) * THRESHOLD[0]
                 if cross[i]:
                     near &= part[i + 1 : b] != part[i]
                 if not near.any():
@@ -308,10 +344,10 @@ def join(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sets = stored(rows.mapInArrow(tidy(_sets), f"doc_id {id_type}, row long, mark long, sid long, size int, sketch binary, bytes binary"), "sets")
     # sets of one shingle or none are similar to equal sets only, and those are one class already
-    reps = stored(sets.where("size > 1").select("sid", "sketch", "bytes").dropDuplicates(["sid"]), "reps")
+    reps = stored(sets.where("size > 1").select("sid", "size", "sketch", "bytes").dropDuplicates(["sid"]), "reps")
     leaves = stored(leaf_buckets(reps), "leaves")
-    paths = leaves.groupBy("sid").agg(F.collect_list("bucket").alias("paths"))  # a few dozen at most
-    info = paths.join(reps.select("sid", "bytes"), "sid")
+    paths = leaves.groupBy("sid").agg(F.collect_list("bucket").alias("paths"))  # about a hundred at most
+    info = paths.join(reps.select("sid", "size", "bytes"), "sid")
     near = stored(_by_cell(cells(leaves).join(info, "sid")).mapInArrow(tidy(_similar_sketches), "cell long, sid long, partners array<long>"), "near")
 
     # the full sets of what is left, from one document of each set
