@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, chat, exact_dedup, lm, ngram_join, packing, quality, token_counts, toxicity, warc
+from vigil.llm import bpe, chat, exact_dedup, lm, mixing, ngram_join, packing, periodic, quality, repair, token_counts, toxicity, warc
 from vigil.llm.common import table
 from vigil.session import ensure_checkpoint_dir
 
@@ -66,6 +66,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.read_records(spark, path, payloads=False))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic.digest(periodic.detect(docs, order=periodic.planted, key=F.col("doc_id")))
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digest(repair.repair(repair.damaged(table(spark, sf_dir, "conversations"))))
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -77,9 +90,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_warc": op10_warc,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_source_mixing": op13_source_mixing,
 }
 ORACLES: dict[str, str] = {
     "op4_chat_formatting": chat.ORACLE_SQL,
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
+    "op11_periodic_runs": periodic.ORACLE_SQL,
+    "op12_structure_repair": repair.ORACLE_SQL,
+    "op13_source_mixing": mixing.ORACLE_SQL,
 }
