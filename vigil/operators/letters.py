@@ -1,6 +1,6 @@
 """2.D warning letters as a Spark job over landed listing payloads and landed pages (no HTTP here).
 
-HTML is handled with regular expressions on the JVM side: a fragment's text is its text nodes, each
+HTML is handled by expressions on the JVM side (``functions/html.py``): a fragment's text is its text nodes, each
 stripped of surrounding whitespace, empty ones dropped, joined by a space (listing cells, titles) or a
 newline (page content). Script, style and comment contents are not text nodes.
 """
@@ -13,38 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.clean import py_strip
+from vigil.functions.html import element, text_nodes, unescape, without_non_text
 from vigil.functions.ordered import running_sums
 
 PAGE_SIZE = 10
 
-# Named HTML entities decoded in text (others are left as written).
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
-            ("&copy;", "©"), ("&amp;", "&"))
-
-TAG = r"<[^>]*>"
-NON_TEXT = r"(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-
-
-def unescape(c: Column) -> Column:
-    return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), ENTITIES, c)
-
-
-def text_nodes(fragment: Column) -> Column:
-    """array<string> of stripped, non-empty text nodes of an HTML fragment."""
-    cleaned = F.regexp_replace(fragment, NON_TEXT, "")
-    parts = F.split(cleaned, TAG)
-    return F.filter(F.transform(parts, lambda p: py_strip(unescape(p))), lambda p: p != "")
-
 
 def fragment_text(fragment: Column, sep: str = " ") -> Column:
-    """B14."""
-    return F.array_join(text_nodes(fragment), sep)
+    """The text nodes of an HTML fragment, stripped, empty ones dropped, joined by ``sep``."""
+    return F.array_join(text_nodes(without_non_text(fragment)), sep)
 
 
 def first_href(fragment: Column) -> Column:
-    """The href of the first ``<a href=...>`` in a fragment, NULL when none."""
+    """The href of the first ``<a href=...>`` in a fragment, references decoded, NULL when none."""
     h = F.regexp_extract(fragment, r"""<a\b[^>]*\bhref\s*=\s*["']([^"']*)["']""", 1)
-    return F.when(h != "", h)
+    return F.when(h != "", unescape(h, closed=True))
 
 
 def absolute_url(href: Column, base: str) -> Column:
@@ -73,8 +56,10 @@ def us_date(text: Column) -> Column:
 # - id % 10 = 3 in every third batch is listed twice in its batch, the second time with another office
 # - id % 25 = 24 is listed again in the next batch
 # - every fourth batch has two extra rows: one of four cells, one without a link
-# - in every ninth batch all rows have four cells; every seventeenth batch has not landed at all
-# - known letters: every fourth page, and two successive batches of every nine as a whole
+# - known letters: every fourth page, and every ninth batch as a whole
+# - near the end of the listing, so that a run covers nearly all of it: two successive batches are known, then in one all rows
+#   have four cells, then one has not landed
+# - id % 6 = 1: the page's article holds further articles, and references by name and by number; id % 8 = 2: its heading does
 FIXTURE_HOST = "www.fda.gov"
 
 
@@ -87,8 +72,21 @@ def landed_url() -> Column:
     return F.when(F.col("page_id") % 13 == 5, own).otherwise(F.col("url"))
 
 
+# What the fixture adds to pages.
+NESTED = ("<section title='a>b'>It&#8217;s R&amp;D &mdash; &frac12; &#x1F600;&#150; &bogus; a&lt;b 1 < 2</section>"
+          '<article class="x">inner<Article/>deep</ARTICLE >tail &eacute;t&eacute</article>')
+HEADING = " &ndash; Q&amp;A&hellip;</h1>"
+
+
 def landed_pages(pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", landed_url().alias("url"), "html")
+    html = F.when(F.col("page_id") % 6 == 1, F.replace("html", F.lit("</article>"), F.lit(NESTED))).otherwise(F.col("html"))
+    html = F.when(F.col("page_id") % 8 == 2, F.replace(html, F.lit("</h1>"), F.lit(HEADING))).otherwise(html)
+    return pages.select("page_id", landed_url().alias("url"), html.alias("html"))
+
+
+def _from_end(pages: DataFrame, batch: Column) -> Column:
+    """How many batches come after this one, by the largest page id (a scalar subquery)."""
+    return pages.agg(F.floor(F.max("page_id") / 10).cast("long")).scalar() - batch
 
 
 def listing_fixture(pages: DataFrame) -> DataFrame:
@@ -110,7 +108,7 @@ def listing_fixture(pages: DataFrame) -> DataFrame:
         return batch.alias("batch"), (pid * 10 + place).alias("pos"), F.array(*[c for c in cells.values() if c is not None]).alias("cells")
 
     four = F.array(*[cell[c] for c in ("posted", "issued", "company", "office")])
-    base = pages.select(*row(batch, 0)[:2], F.when(batch % 9 == 8, four).otherwise(F.array(*cell.values())).alias("cells"))
+    base = pages.select(*row(batch, 0)[:2], F.when(_from_end(pages, batch) == 4, four).otherwise(F.array(*cell.values())).alias("cells"))
     parts = [
         base,
         pages.where((pid % 10 == 3) & (batch % 3 == 1)).select(*row(batch, 1, office=F.lit("Office again"))),
@@ -118,7 +116,7 @@ def listing_fixture(pages: DataFrame) -> DataFrame:
         pages.where((pid % 10 == 0) & (batch % 4 == 2)).select(*row(batch, 3, subject=None)),
         pages.where((pid % 10 == 1) & (batch % 4 == 2)).select(*row(batch, 4, company=host)),
     ]
-    rows = reduce(DataFrame.unionByName, parts).where(F.col("batch") % 17 != 16)
+    rows = reduce(DataFrame.unionByName, parts).where(_from_end(pages, F.col("batch")) != 3)
     # a batch is a page of the listing: a dozen rows
     cells_in_order = F.transform(F.sort_array(F.collect_list(F.struct("pos", "cells"))), lambda s: s["cells"])
     return rows.groupBy("batch").agg(F.to_json(F.struct(cells_in_order.alias("data"))).alias("payload"))
@@ -126,7 +124,7 @@ def listing_fixture(pages: DataFrame) -> DataFrame:
 
 def stored_fixture(pages: DataFrame) -> DataFrame:
     """Letters already in the store before the run."""
-    known = (F.col("page_id") % 4 == 0) | (_batch() % 9).isin(5, 6)
+    known = (F.col("page_id") % 4 == 0) | (_batch() % 9 == 5) | _from_end(pages, _batch()).isin(6, 7)
     return pages.where(known).select("page_id", landed_url().alias("url"))
 
 
@@ -137,29 +135,28 @@ def listing_rows(payloads: DataFrame, base_url: str) -> DataFrame:
     """Payload -> one row per listing row with >= 5 cells and a link (others dropped)."""
     parsed = payloads.select("batch", F.from_json("payload", "data array<array<string>>").alias("p"))
     rows = parsed.select("batch", F.posexplode("p.data").alias("row_index", "cells"))
-    rows = rows.where(F.size("cells") >= 5).withColumn("href", first_href(F.col("cells")[2]))
+    rows = rows.where(F.size("cells") >= 5).select("batch", "row_index", first_href(F.col("cells")[2]).alias("href"), F.slice("cells", 1, 5).alias("cells"))
     rows = rows.where(F.col("href").isNotNull())
+    rows = rows.select("batch", "row_index", "href", F.transform("cells", lambda c: fragment_text(c)).alias("texts"))
+    text = F.col("texts")
     return rows.select(
         "batch",
         "row_index",
-        us_date(fragment_text(F.col("cells")[0])).alias("posted_date"),
-        us_date(fragment_text(F.col("cells")[1])).alias("issue_date"),
-        fragment_text(F.col("cells")[2]).alias("company_name"),
+        us_date(text[0]).alias("posted_date"),
+        us_date(text[1]).alias("issue_date"),
+        text[2].alias("company_name"),
         absolute_url(F.col("href"), base_url).alias("url"),
-        fragment_text(F.col("cells")[3]).alias("issuing_office"),
-        fragment_text(F.col("cells")[4]).alias("subject"),
+        text[3].alias("issuing_office"),
+        text[4].alias("subject"),
     )
 
 
 def parse_detail(pages: DataFrame, root: str = "main", keep: tuple[str, ...] = ()) -> DataFrame:
-    """title = text of the root's ``h1``; content = text nodes of the root joined by newlines."""
-    body = F.regexp_extract("html", rf"(?is)<{root}\b[^>]*>(.*?)</{root}>", 1)
-    found = F.col("html").rlike(rf"(?i)<{root}\b")
-    h1 = F.regexp_extract(body, r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)
-    has_h1 = body.rlike(r"(?i)<h1\b")
-    title = F.when(found & has_h1, fragment_text(h1))
-    content = F.when(found, fragment_text(body, "\n"))
-    return pages.select(*keep, "url", title.alias("title"), content.alias("content"))
+    """title = text of the first ``h1`` in the first root element; content = its text nodes joined by newlines."""
+    cleaned = pages.select(*keep, "url", without_non_text(F.col("html")).alias("cleaned"))
+    inside = cleaned.select(*keep, "url", element(F.col("cleaned"), root).alias("body"))
+    parts = inside.select(*keep, "url", "body", element(F.col("body"), "h1").alias("heading"))
+    return parts.select(*keep, "url", F.array_join(text_nodes(F.col("heading")), " ").alias("title"), F.array_join(text_nodes(F.col("body")), "\n").alias("content"))
 
 
 def letter_hash(posted: Column, company: Column, url: Column, content: Column) -> Column:
