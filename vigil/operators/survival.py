@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.operators.quantiles import exact_quantiles
 from vigil.plans.features import site_key
 
 # Horizons (days) reported by the survival summary.
@@ -64,13 +65,15 @@ def survival_intervals(inspections: DataFrame, cutoff: str, per_product: bool =
 
 
 def survival_summary(intervals: DataFrame, group: str = "product_type") -> DataFrame:
-    """Per group: facilities, events, censored, median duration (exact, interpolated)."""
-    return intervals.where(F.col(group).isNotNull()).groupBy(group).agg(
+    """Per group: facilities, events, censored, median duration (exact, interpolated, by rank selection)."""
+    known = intervals.where(F.col(group).isNotNull())
+    counts = known.groupBy(group).agg(
         F.count(F.lit(1)).alias("facilities"),
         F.sum("event_observed").alias("next_inspections"),
         F.count_if(F.col("event_observed") == 0).alias("censored"),
-        F.median(F.col("duration_days").cast("double")).alias("median_observed_days"),
     )
+    medians = exact_quantiles(known, "duration_days", [0.5], [group]).select(group, F.col("quantiles")[0].alias("median_observed_days"))
+    return counts.join(medians, group, "left")
 
 
 def _grouped(intervals: DataFrame, group: str | None) -> DataFrame:

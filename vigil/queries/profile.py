@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators import profile as P
 from vigil.operators.loaders import load
+from vigil.operators.quantiles import exact_quantiles
 from vigil.oracle import oracle
 from vigil.oracle_clean import loader_sql
 from vigil.registry import register
@@ -227,7 +228,8 @@ def citations_per_inspection(spark, sf_dir):
 def citations_hist(spark, sf_dir):
     """Citation counts clipped at max(1, int(p99)); the cap is a scalar subquery (one value)."""
     p = _cit_per(spark, sf_dir)
-    cap = p.agg(F.greatest(F.lit(1).cast("long"), F.floor(F.percentile("citation_count", 0.99)).cast("long"))).scalar()
+    p99 = exact_quantiles(p, "citation_count", [0.99]).select(F.col("quantiles")[0])
+    cap = F.greatest(F.lit(1).cast("long"), F.floor(p99.scalar()).cast("long"))
     return p.groupBy(F.least("citation_count", cap).alias("clipped_count")).agg(F.count(F.lit(1)).alias("inspections"))
 
 
