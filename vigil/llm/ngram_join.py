@@ -4,13 +4,18 @@ Sets: words are runs without ASCII white space, A-Z lower-cased; a text of fewer
 of them, a text without words has none. Equal sets are one class from the start and are joined once.
 
 Chosen paths: every set is sketched by ``SKETCH`` min-hash tokens (position, value); two sets share a token with
-probability equal to their similarity. In each of ``RUNS`` independent runs a set walks from the root along tokens
-picked by a hash of the path so far and the token, 1 / THRESHOLD of them per step on average, so similar sets keep
-meeting while others part. A path ends in a bucket of at most ``BUCKET`` sets, in one whose sets are all alike, or
-after ``LEVELS`` steps. A pair at the threshold walks together for k steps with probability q(k), q(1) = 0.63,
-q(k + 1) = 1 - exp(-q(k)). Almost all paths end after one step; a set whose path went k steps is given more runs from the
-root, ``RUNS_AT`` [k] in all, so that every depth misses a pair with probability (1 - q(k)) ** RUNS_AT[k] <= ``MISS``. Two
-sets that parted in a split bucket have both been split there, so both have these runs.
+probability equal to their similarity. In each of ``RUNS`` independent runs a set steps from the root to the buckets of
+tokens picked by a hash of the run and the token, 1 / THRESHOLD of them per run on average, so similar sets meet while others part. A path
+ends in a bucket of at most ``BUCKET`` sets or in one whose sets are all alike. A pair at the threshold shares no such bucket
+in ``RUNS`` runs with probability exp(-RUNS) = 2.1e-9.
+
+A larger bucket of unlike sets is hot: its token is a passage that many share. It is no place to meet, so a set with hot picks
+takes further runs (``STAGES``) until it has ``COLD`` picks in other buckets; it needs them only for the share of its tokens that is hot. While at
+most 60 % of the tokens are hot, a cold token of one set is the other's with probability 1/2 or more, so a pair is missed with
+probability 2 ** -COLD = 9.3e-10 at most. Sets that have taken all runs and still have fewer than ``DOMINATED`` cold picks
+consist of hot tokens mostly: in the hot buckets they, and only they, walk on, along further tokens, for up to ``LEVELS`` steps
+in all. A pair walks together for k steps with probability q(k), q(1) = 0.63, q(k + 1) = 1 - exp(-q(k)), in one run; ``RUNS_AT`` [k]
+runs are enough for every depth k, and these sets have taken more.
 
 Brute force: a bucket is cut into cells of at most two blocks of ``BUCKET`` sets, so no task holds a large bucket, and
 no pairs are written: a cell compares sizes (exactly) and sketches (a byte per token), keeps pairs that may reach the
@@ -28,7 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import zip_longest
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +62,13 @@ def meeting(steps: int) -> float:
     return 1 - math.exp(-meeting(steps - 1)) if steps else 1.0
 
 
-#: runs by the depth of a path; index 0 is not used
+#: runs that make a depth's miss small enough; index 0 is not used
 RUNS_AT = [0, *(max(RUNS, math.ceil(math.log(MISS) / math.log(1 - meeting(k)))) for k in range(1, LEVELS + 1))]
+#: where the stages of runs end: all sets take the first, the others are for sets with too few cold picks
+STAGES = (RUNS, 44, 102)
+COLD = 30
+DOMINATED = 60
+assert STAGES[-1] >= max(RUNS_AT)
 _RNG = np.random.default_rng(20240501)
 _MUL = _RNG.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _ADD = _RNG.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32)
@@ -159,7 +169,7 @@ _PER_RUN = THRESHOLD[1] / THRESHOLD[0]
 
 
 def _root_buckets(first: int, end: int):
-    """A function that takes the first step of the runs from ``first`` to before ``end``."""
+    """A function that takes the first step of the runs from ``first`` to before ``end``; ``picks``: the set's picks in all of them."""
     pick = _pick(_PER_RUN, mix(np.arange(first + 1, end + 1, dtype=np.uint64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,12 +177,13 @@ def _root_buckets(first: int, end: int):
             if batch.num_rows:
                 values = _matrix(batch.column("sketch"))
                 sets, children = pick(_tokens(values), np.zeros(len(values), np.uint64))
-                yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(sets)), pa.array(children)], names=["sid", "bucket"])
+                picks = np.bincount(sets, minlength=len(values)).astype(np.int32)[sets]
+                yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(sets)), pa.array(children), pa.array(picks)], names=["sid", "bucket", "picks"])
 
     return run
 
 
-_STEP_SALT = mix(np.array([RUNS_AT[-1] + 1], dtype=np.uint64))
+_STEP_SALT = mix(np.array([STAGES[-1] + 1], dtype=np.uint64))
 
 
 def _split_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,45 +208,64 @@ def _likeness(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
 def _sized(rows: DataFrame) -> DataFrame:
     """Rows of buckets with at least two sets, with the bucket's size m."""
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    return rows.join(sizes, "bucket").select("sid", "bucket", "m")
-
-
-def _walk(sketches: DataFrame, first: int, end: int) -> tuple[DataFrame, list[DataFrame]]:
-    """(sid, bucket, m) of the buckets in which runs ``first`` to ``end`` end, and the sets that took two steps, three, ..."""
-    level = stored(_sized(sketches.mapInArrow(tidy(_root_buckets(first, end)), "sid long, bucket long").distinct()), "buckets")
-    leaves = level.where(F.col("m") <= BUCKET)
-    deeper: list[DataFrame] = []
+    return rows.join(sizes, "bucket").select(*rows.columns, "m")
+
+
+def _ended(level: DataFrame, sketches: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+    """The rows of ``level`` whose buckets are leaves (small, or of alike sets), and those of hot buckets, if there are any."""
+    small, large = level.where(F.col("m") <= BUCKET).select("sid", "bucket", "m"), level.where(F.col("m") > BUCKET)
+    if large.isEmpty():
+        return [small], None
+    chosen = F.pmod(F.xxhash64("bucket", "sid", F.lit(1)), F.lit(1 << 20)) < F.lit(PROBES << 20) / F.col("m")
+    probes = large.where(chosen).join(sketches, "sid").select("bucket", "sketch")
+    alike = probes.groupBy("bucket").applyInArrow(_likeness, "bucket long, share double").where(F.col("share") >= ALIKE)
+    alike = stored(alike.select("bucket"), "alike")
+    apart = large.join(alike, "bucket", "left_anti")
+    return [small, large.join(alike, "bucket", "left_semi").select("sid", "bucket", "m")], None if apart.isEmpty() else apart
+
+
+def _walk_on(rows: DataFrame, sketches: DataFrame) -> list[DataFrame]:
+    """The leaves of the paths of ``rows`` (sid, bucket) from their hot buckets on."""
+    leaves: list[DataFrame] = []
+    level = stored(_sized(rows), "buckets")
     for _ in range(LEVELS - 1):
-        large = level.where(F.col("m") > BUCKET)
-        if large.isEmpty():
-            return leaves, deeper
-        chosen = F.pmod(F.xxhash64("bucket", "sid", F.lit(1)), F.lit(1 << 20)) < F.lit(PROBES << 20) / F.col("m")
-        probes = large.where(chosen).join(sketches, "sid").select("bucket", "sketch")
-        alike = probes.groupBy("bucket").applyInArrow(_likeness, "bucket long, share double").where(F.col("share") >= ALIKE)
-        alike = stored(alike.select("bucket"), "alike")
-        leaves = leaves.unionByName(large.join(alike, "bucket", "left_semi").select("sid", "bucket", "m"))
-        apart = large.join(alike, "bucket", "left_anti").select("sid", "bucket")
-        deeper.append(apart.select("sid"))
-        paths = apart.join(sketches, "sid").select("sid", "bucket", "sketch").mapInArrow(tidy(_split_buckets), "sid long, bucket long")
+        ended, apart = _ended(level, sketches)
+        leaves += ended
+        if apart is None:
+            return leaves
+        paths = apart.select("sid", "bucket").join(sketches, "sid").select("sid", "bucket", "sketch").mapInArrow(tidy(_split_buckets), "sid long, bucket long")
         level = stored(_sized(paths.distinct()), "buckets")
-        leaves = leaves.unionByName(level.where(F.col("m") <= BUCKET))
-    return leaves.unionByName(level.where(F.col("m") > BUCKET)), deeper
+    return [*leaves, level.select("sid", "bucket", "m")]
 
 
 def leaf_buckets(reps: DataFrame) -> DataFrame:
     """(sid, bucket, m): the buckets in which sets are compared."""
     sketches = reps.select("sid", "sketch")
-    leaves, deeper = _walk(sketches, 0, RUNS_AT[1])
-    for depth in range(2, LEVELS + 1):
-        if len(deeper) < depth - 1:
+    leaves: list[DataFrame] = []
+    hot: list[DataFrame] = []
+    todo, short = sketches, None
+    for first, end in zip((0, *STAGES), STAGES):
+        picked = todo.mapInArrow(tidy(_root_buckets(first, end)), "sid long, bucket long, picks int").distinct()
+        level = stored(_sized(picked), "buckets")
+        ended, apart = _ended(level, sketches)
+        leaves += ended
+        if apart is None:
+            short = None
             break
-        split = stored(deeper[depth - 2].distinct(), "split")
-        if split.isEmpty():
+        apart = stored(apart.select("sid", "bucket", "picks"), "hot")
+        hot.append(apart.select("sid", "bucket"))
+        own = apart.groupBy("sid").agg((F.max("picks") - F.count(F.lit(1))).alias("cold"))
+        if short is not None:
+            own = own.join(short.withColumnRenamed("cold", "earlier"), "sid").select("sid", (F.col("cold") + F.col("earlier")).alias("cold"))
+        short = stored(own.where(F.col("cold") < (DOMINATED if end == STAGES[-1] else COLD)), "short")
+        todo = sketches.join(short.select("sid"), "sid", "left_semi")
+        if short.isEmpty():
+            short = None
             break
-        more, also = _walk(sketches.join(split, "sid", "left_semi"), RUNS_AT[depth - 1], RUNS_AT[depth])
-        leaves = leaves.unionByName(more)
-        deeper = [x.unionByName(y) if x is not None and y is not None else (y if x is None else x) for x, y in zip_longest(deeper, also)]
-    return leaves
+    if short is not None:
+        rows = reduce(DataFrame.unionByName, hot).join(short.select("sid"), "sid", "left_semi")
+        leaves += _walk_on(rows, sketches)
+    return reduce(DataFrame.unionByName, leaves)
 
 
 def cells(leaves: DataFrame) -> DataFrame:
