@@ -10,9 +10,10 @@ ends in a bucket of at most ``BUCKET`` sets or in one whose sets are all alike.
 in ``RUNS`` runs with probability exp(-RUNS) = 2.1e-9.
 
 A larger bucket of unlike sets is hot: its token is a passage that many share. It is no place to meet, so a set with hot picks
-takes further runs (``STAGES``) until it has ``COLD`` picks in other buckets; it needs them only for the share of its tokens that is hot. While at
-most 60 % of the tokens are hot, a cold token of one set is the other's with probability 1/2 or more, so a pair is missed with
-probability 2 ** -COLD = 9.3e-10 at most. Sets that have taken all runs and still have fewer than ``DOMINATED`` cold picks
+takes further runs (``STAGES``) until it has enough picks in other buckets. Where the share h of a set's tokens is hot, a cold
+token of it is also that of a set at the threshold with probability r = (0.8 - h) / (1 - h) or more, and c cold picks miss a pair
+with probability (1 - r) ** c: 17 are enough (``FEW_HOT``) up to h = 0.33, shown by a quarter of the picks, and 30 (``COLD``)
+up to h = 0.6; both give 1.3e-9 at most. Sets that have taken all runs and still have fewer than ``DOMINATED`` cold picks
 consist of hot tokens mostly: in the hot buckets they, and only they, walk on, along further tokens, for up to ``LEVELS`` steps
 in all. A pair walks together for k steps with probability q(k), q(1) = 0.63, q(k + 1) = 1 - exp(-q(k)), in one run; ``RUNS_AT`` [k]
 runs are enough for every depth k, and these sets have taken more.
@@ -67,6 +68,7 @@ RUNS_AT = [0, *(max(RUNS, math.ceil(math.log(MISS) / math.log(1 - meeting(k))))
 #: where the stages of runs end: all sets take the first, the others are for sets with too few cold picks
 STAGES = (RUNS, 44, 102)
 COLD = 30
+FEW_HOT = (17, 4)  # cold picks that are enough where at most one pick in four is hot
 DOMINATED = 60
 assert STAGES[-1] >= max(RUNS_AT)
 _RNG = np.random.default_rng(20240501)
@@ -254,10 +256,13 @@ def leaf_buckets(reps: DataFrame) -> DataFrame:
             break
         apart = stored(apart.select("sid", "bucket", "picks"), "hot")
         hot.append(apart.select("sid", "bucket"))
-        own = apart.groupBy("sid").agg((F.max("picks") - F.count(F.lit(1))).alias("cold"))
+        own = apart.groupBy("sid").agg(F.max("picks").cast("long").alias("picks"), F.count(F.lit(1)).alias("hot"))
         if short is not None:
-            own = own.join(short.withColumnRenamed("cold", "earlier"), "sid").select("sid", (F.col("cold") + F.col("earlier")).alias("cold"))
-        short = stored(own.where(F.col("cold") < (DOMINATED if end == STAGES[-1] else COLD)), "short")
+            before = short.select("sid", F.col("picks").alias("p"), F.col("hot").alias("h"))
+            own = own.join(before, "sid").select("sid", (F.col("picks") + F.col("p")).alias("picks"), (F.col("hot") + F.col("h")).alias("hot"))
+        cold = F.col("picks") - F.col("hot")
+        enough = (cold >= COLD) | ((cold >= FEW_HOT[0]) & (F.col("hot") * FEW_HOT[1] <= F.col("picks")))
+        short = stored(own.where(cold < DOMINATED if end == STAGES[-1] else ~enough), "short")
         todo = sketches.join(short.select("sid"), "sid", "left_semi")
         if short.isEmpty():
             short = None
@@ -282,6 +287,30 @@ def _edges_of(keys: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
 
 
+class _Earlier:
+    """Which sets of a cell are together in a bucket that comes before the cell's own."""
+
+    def __init__(self, paths: list[list[int]], bucket: int):
+        flat = np.concatenate([np.asarray(p, np.int64) for p in paths])
+        row = np.repeat(np.arange(len(paths)), [len(p) for p in paths])
+        before = flat < bucket
+        _, self.code = np.unique(flat[before], return_inverse=True)
+        self.ends = np.searchsorted(row[before], np.arange(len(paths) + 1))
+        self.marked = np.zeros(int(self.code.max(initial=-1)) + 1, bool)
+
+    def with_later(self, i: int) -> np.ndarray:
+        """For the sets after ``i``: whether they meet set i before."""
+        own = self.code[self.ends[i] : self.ends[i + 1]]
+        self.marked[own] = True
+        met = np.concatenate([[0], np.cumsum(self.marked[self.code[self.ends[i + 1] :]])])
+        self.marked[own] = False
+        ends = self.ends[i + 1 :] - self.ends[i + 1]
+        return met[ends[1:]] > met[ends[:-1]]
+
+
+MANY = 8  # partners of one set in one cell from which their buckets are compared all at once
+
+
 def _similar_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per cell the sets that have a partner whose sketch agrees enough, with their partners (each pair once)."""
     for rows in runs_of(batches, "cell"):
@@ -295,17 +324,25 @@ def _similar_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             if b - a < 2:
                 continue
             partners: dict[int, list[int]] = {}
+            earlier: _Earlier | None = None
             for i in range(a, b - 1):
                 near = (values[i + 1 : b] == values[i]).sum(axis=1) >= AGREE
                 near &= np.minimum(size[i + 1 : b], size[i]) * THRESHOLD[1] >= np.maximum(size[i + 1 : b], size[i]) * THRESHOLD[0]
                 if cross[i]:
                     near &= part[i + 1 : b] != part[i]
-                if not near.any():
+                found = np.flatnonzero(near)
+                if not len(found):
                     continue
-                own = set(paths[i])
-                for j in np.flatnonzero(near) + i + 1:
-                    if min(own.intersection(paths[j])) == bucket[i]:  # the first bucket that both are in
-                        partners.setdefault(i, []).append(int(sid[j]))
+                # a pair belongs to the first bucket that both are in
+                if len(found) >= MANY:
+                    earlier = earlier or _Earlier(paths[a:b], int(bucket[a]))
+                    found = found[~earlier.with_later(i - a)[found]] + i + 1
+                else:
+                    own = set(paths[i])
+                    found = [j for j in found + i + 1 if min(own.intersection(paths[j])) == bucket[i]]
+                if len(found):
+                    partners.setdefault(i, []).extend(sid[found].tolist())
+                    for j in found:
                         partners.setdefault(int(j), [])
             out += [(int(cell[i]), int(sid[i]), p) for i, p in partners.items()]
         yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.list_(pa.int64()))], names=["cell", "sid", "partners"])
