@@ -3,9 +3,11 @@
 import datetime as dt
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.functions import clean as C
 
@@ -78,6 +80,34 @@ def test_row_hash_matches_python(spark):
     assert h == expect
 
 
+def test_canonical_json_equals_python(spark):
+    rng = random.Random(7)
+    alphabet = ['"', "\\", "\n", "\t", "\b", "\f", "\r", "\x00", "\x0b", "\x0e", "\x1f", "\x7f", "u", "0", "a", "é", "\u2028", "\U0001f600", "/", "<", " "]
+    texts = ["", None, "\\u000B", "plain", "ñandú", *("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(300)), "x\ny" * 20000]
+    rows = [(t, rng.choice(texts[:4]), rng.choice([None, 0, -7, 2**62]), rng.choice([None, True, False]), rng.choice([None, dt.date(1, 1, 1), dt.date(2024, 12, 31)])) for t in texts]
+    df = spark.createDataFrame(rows, "`b\"q` string, a string, i long, f boolean, d date")
+    got = df.select(C.canonical_json({c: F.col(f"`{c}`") for c in df.columns}, {c: df.schema[c].dataType for c in df.columns}).alias("j")).collect()
+    for row, g in zip(rows, got):
+        values = dict(zip(df.columns, row))
+        if values["d"] is not None:
+            values["d"] = values["d"].isoformat()
+        assert g.j == json.dumps(values, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def test_canonical_json_refuses_what_it_cannot_write_alike(spark):
+    with pytest.raises(TypeError):
+        C.canonical_json({"x": F.lit(1.5)}, {"x": T.DoubleType()})
+    assert spark.range(1).select(C.canonical_json({}, {})).first()[0] == "{}"
+
+
+def test_loader_hash_has_no_generic_json(spark):
+    from vigil.operators.loaders import load
+    from vigil.sources.catalog import Catalog, raw_extract
+
+    plan = load(raw_extract(Catalog(spark, "/root/testdata/sf0.001"), "inspections"), "inspections")._jdf.queryExecution().executedPlan().toString()
+    assert "sha2" in plan and "to_json" not in plan and "structstojson" not in plan.lower()
+
+
 @pytest.mark.parametrize("ch", [" ", "\t", " ", " ", "　", "\x1f"])
 def test_strip_matches_python(spark, ch):
     s = f"{ch}{ch}x y{ch}"

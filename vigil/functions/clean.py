@@ -7,6 +7,7 @@ quarantine) is applied afterwards, so one bad cell never needs a driver-side loo
 
 from __future__ import annotations
 
+import json
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -219,8 +220,59 @@ def classification_code(classification: str | Column, explicit: str | Column | N
     return Cleaned(value, error)
 
 
-def row_hash(values: dict[str, Column]) -> Column:
-    """SHA-256 of compact JSON with sorted keys, NULLs kept, non-ASCII raw, dates ISO."""
+# What JSON writes with an escape: the quote, the backslash, control characters.
+JSON_SPECIAL = r'["\\\x00-\x1f]'
+# The short escapes of JSON; other control characters are written by their code.
+JSON_ESCAPES = (('"', '\\"'), ("\\", "\\\\"), ("\b", "\\b"), ("\t", "\\t"), ("\n", "\\n"), ("\f", "\\f"), ("\r", "\\r"))
+
+
+def _escaped(text: Column) -> Column:
+    """The text with JSON's escapes: cut at the special characters, which are then written one by one."""
+    def written(part: Column) -> Column:
+        code = F.concat(F.lit("\\u00"), F.lpad(F.lower(F.hex(F.ascii(part))), 2, "0"))
+        out = F.when(part < " ", code).otherwise(part)
+        for char, escape in JSON_ESCAPES:
+            out = F.when(part == char, escape).otherwise(out)
+        return out
+
+    plain = JSON_SPECIAL.replace("[", "[^") + "+"
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(f"{plain}|{JSON_SPECIAL}"), F.lit(0)), written), "")
+
+
+def canonical_json(values: dict[str, Column], types: dict[str, T.DataType]) -> Column:
+    """Compact JSON of strings, whole numbers, booleans and dates: keys sorted, NULLs kept, non-ASCII raw, dates ISO, as
+    Python's ``json.dumps(..., sort_keys=True, separators=(",", ":"), ensure_ascii=False)`` writes it.
+
+    One pattern over all strings of a row tells whether anything has to be escaped; other rows are pieces put together."""
+    names = sorted(values)
+    strings = [n for n in names if isinstance(types[n], T.StringType)]
+
+    def payload(escape: bool) -> Column:
+        pieces = []
+        for i, name in enumerate(names):
+            v, kind = values[name], types[name]
+            if isinstance(kind, T.StringType):
+                cell = F.concat(F.lit('"'), _escaped(v) if escape else v, F.lit('"'))
+            elif isinstance(kind, T.DateType):
+                cell = F.concat(F.lit('"'), v.cast("string"), F.lit('"'))
+            elif isinstance(kind, (T.IntegralType, T.BooleanType)):
+                cell = v.cast("string")
+            else:
+                raise TypeError(f"{name}: no canonical form for {kind.simpleString()}")
+            pieces += [F.lit(f"{',' if i else '{'}{json.dumps(name, ensure_ascii=False)}:"), F.coalesce(cell, F.lit("null"))]
+        return F.concat(*pieces, F.lit("}")) if names else F.lit("{}")
+
+    if not strings:
+        return payload(False)
+    return F.when(F.concat_ws("", *[values[n] for n in strings]).rlike(JSON_SPECIAL), payload(True)).otherwise(payload(False))
+
+
+def row_hash(values: dict[str, Column], types: dict[str, T.DataType] | None = None) -> Column:
+    """SHA-256 of compact JSON with sorted keys, NULLs kept, non-ASCII raw, dates ISO.
+
+    With ``types`` the JSON is put together by ``canonical_json``; without, ``to_json`` writes it (any type, slower)."""
+    if types is not None:
+        return F.sha2(canonical_json(values, types), 256)
     fields = [values[k].alias(k) for k in sorted(values)]
     payload = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return F.sha2(payload, 256)

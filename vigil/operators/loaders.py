@@ -205,7 +205,8 @@ def load(raw: DataFrame, dataset: str, filename: str | None = None, hashed: bool
     refs = {n: F.col(f"__v{i}") for i, n in enumerate(names)}
     cols = [refs[n].alias(n) for n in names]
     if hashed:
-        cols.append(C.row_hash(refs).alias("hash"))
+        typed = staged.schema
+        cols.append(C.row_hash(refs, {n: typed[f"__v{i}"].dataType for i, n in enumerate(names)}).alias("hash"))
     cols.append(C.errors_array(*[F.col(f"__e{i}") for i in range(len(errors))]).alias("errors"))
     if mark_skipped:
         cols.append(F.col("__skipped").alias("skipped"))
