@@ -71,27 +71,36 @@ FEATURE_CHECKS: list[tuple[str, str]] = [
 
 
 def duplicate_identities(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """F1/H4: identity groups holding more than one row (``groupBy`` treats NULL keys as equal)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicate_count")).where("duplicate_count > 1")
+    """F1/H4: identity groups holding more than one row (NULL keys are equal).
 
+    Two steps, because identities are long texts and nearly all occur once: rows are counted per 64-bit hash of their key (eight
+    bytes are shuffled, summed map-side), then only rows of repeated hashes are grouped by the key itself, so two keys of one hash
+    stay apart. ``df`` is read twice, its key columns only."""
+    # a struct's hash skips NULL fields; the flags keep (NULL, x) and (x, NULL) apart
+    keyed = df.select(*keys, F.xxhash64(*keys, *[F.col(k).isNull() for k in keys]).alias("__key"))
+    again = keyed.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key")
+    suspects = keyed.join(again, "__key", "left_semi")
+    return suspects.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicate_count")).where("duplicate_count > 1")
 
-def rules_for(table: str) -> list[tuple[str, str, Column]]:
-    """(kind, rule, violated) for one stored table; a NULL CHECK result is not a violation (SQL)."""
+
+def rules_for(table: str, computed: tuple[str, ...] = ()) -> list[tuple[str, str, Column]]:
+    """(kind, rule, violated) for one stored table; a NULL CHECK result is not a violation (SQL). Columns that are ``computed``
+    hold what their rules ask for by construction: those rules cannot be broken and read nothing."""
     out = []
     for rule, sql in CHECKS.get(table, []):
         out.append(("check", rule, ~F.coalesce(F.expr(sql), F.lit(True))))
     for col in NOT_NULL.get(table, ()):
-        out.append(("not_null", col, F.col(col).isNull()))
+        out.append(("not_null", col, F.lit(False) if col in computed else F.col(col).isNull()))
     for col, n in MAX_LENGTH.get(table, {}).items():
-        out.append(("max_length", f"{col}<={n}", F.coalesce(F.length(col) > n, F.lit(False))))
+        out.append(("max_length", f"{col}<={n}", F.lit(False) if col in computed else F.coalesce(F.length(col) > n, F.lit(False))))
     return out
 
 
-def violation_table(tables: dict[str, DataFrame], kinds: tuple[str, ...] = ("check", "not_null", "max_length")) -> DataFrame:
+def violation_table(tables: dict[str, DataFrame], kinds: tuple[str, ...] = ("check", "not_null", "max_length"), computed: tuple[str, ...] = ()) -> DataFrame:
     """One row per (table, kind, rule) with its violation count; one aggregate scan per table."""
     parts = []
     for name, df in tables.items():
-        rules = [r for r in rules_for(name) if r[0] in kinds]
+        rules = [r for r in rules_for(name, computed) if r[0] in kinds]
         if not rules:
             continue
         counts = df.agg(*[F.count_if(v).alias(f"r{i}") for i, (_, _, v) in enumerate(rules)])
