@@ -46,3 +46,42 @@ def test_pick_column_by_presence(spark):
     assert df.select(pick_column(df, "Zip Code", "Zip")).first()[0] is None  # present wins even when NULL
     assert df.select(pick_column(df, "Nope", "Zip")).first()[0] == "b"
     assert df.select(pick_column(df, "Nope")).first()[0] is None
+
+
+def _write(scratch, name, text):
+    path = os.path.join(scratch, name)
+    with open(path, "w") as fh:
+        fh.write(text)
+    return path
+
+
+def test_a_large_csv_is_read_in_splits(spark, scratch):
+    rows = 60_000
+    path = _write(scratch, "big.csv", "id, name ,note\n" + "".join(f'{i},"n, ""{i}""",{"x" * 40}\n' for i in range(rows)))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        df = read_extract(spark, path)
+        assert df.rdd.getNumPartitions() >= 5 and df.count() == rows and df.select("name").distinct().count() == rows
+        assert read_extract(spark, path, multi_line=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert df.where("id = 7").first()["name"] == 'n, "7"'
+
+
+@pytest.mark.parametrize("cell", ['1,"two\nlines",x\n', '1,a,"two\nlines"\n', '"two\nlines",a,b\n'])
+def test_a_line_break_within_quotes_is_an_error_or_a_cell(spark, scratch, cell):
+    path = _write(scratch, "broken.csv", "id,name,note\n0,a,b\n" + cell + "2,c,d\n")
+    with pytest.raises(Exception, match="multi_line=True"):
+        read_extract(spark, path).collect()
+    with pytest.raises(Exception, match="multi_line=True"):
+        read_extract(spark, path).select("id").collect()
+    rows = read_extract(spark, path, multi_line=True).collect()
+    assert len(rows) == 3 and any("two\nlines" in tuple(r) for r in rows)
+
+
+def test_short_rows_end_in_nulls(spark, scratch):
+    path = _write(scratch, "short.csv", "id,name,note\n0,a\n1,b,c\n")
+    assert [tuple(r) for r in read_extract(spark, path).collect()] == [("0", "a", None), ("1", "b", "c")]
+    named = read_extract(spark, path, header_names=["k", "n", "o"])
+    assert named.columns == ["k", "n", "o"] and named.count() == 2
