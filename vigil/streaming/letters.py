@@ -5,18 +5,29 @@ micro-batch is parsed, deduplicated against the URLs already stored, joined with
 details and merged into the letter store (only the buckets of its URLs). ``trigger(availableNow=True)`` drains what has
 landed and stops. The store's pointer records the last applied batch id together with the tables, so a replayed
 micro-batch is skipped and each takes effect once.
+
+``run_stateful`` is the form for a store that has grown large: the URLs seen so far are the stream's own keyed state (one entry
+per URL, partitioned by it, in RocksDB next to the checkpoint), so a micro-batch costs what it holds and reads nothing of
+the store to tell new letters from known ones. Letters stored before the stream existed are landed once as ``seeds``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators import letters as L
-from vigil.session import ensure_checkpoint_dir
+from vigil.session import cut_lineage, ensure_checkpoint_dir
 from vigil.sources.sinks import current_state, keyed_merge, last_per_key, merge_table, read_table, switch
 
 PAYLOAD_SCHEMA = "batch long, payload string"
+SEEDED_SCHEMA = f"{PAYLOAD_SCHEMA}, url string"
+SEED = -1  # the batch and row number of a URL that is known without having been listed
+LISTED_SCHEMA = ("batch long, row_index int, posted_date date, issue_date date, company_name string, url string, issuing_office string, subject string")
+STATE_PROVIDER = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 LETTER_COLUMNS = ("posted_date", "issue_date", "company_name", "issuing_office", "subject", "title", "content", "hash")
 TABLE = "warning_letters"
 
@@ -50,6 +61,12 @@ def process_batch(spark: SparkSession, payloads: DataFrame, pages: DataFrame, st
     rows = one_per_url(L.dedup_seen(rows))
     entry = state["tables"].get(TABLE)
     todo = rows if entry is None else L.missing(rows, read_table(spark, store, TABLE, entry))
+    return _publish(spark, state, todo, pages, store, batch_id, root, stream)
+
+
+def _publish(spark: SparkSession, state: dict, todo: DataFrame, pages: DataFrame, store: str, batch_id: int, root: str, stream: str) -> dict:
+    """Merge the letters ``todo`` (one row per URL) with their pages' details and publish them with the batch id."""
+    entry = state["tables"].get(TABLE)
     wanted = pages.select("url", "html").join(todo.select("url"), "url", "left_semi")
     details = last_per_key(L.parse_detail(wanted, root), ("url",), ("title", "content"))
     incoming = todo.join(details, "url", "left").select(
@@ -77,3 +94,61 @@ def run_available(spark: SparkSession, landing: str, pages: DataFrame, store: st
 
     q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+# ------------------------------------------------------------------------------------- with keyed state
+
+
+def _first_sight(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """The last listing row of a URL that was never seen before; a seed makes it known without a row."""
+    last, seeded = None, False
+    for frame in frames:  # the rows of one URL in one micro-batch
+        seeded = seeded or bool((frame["row_index"] == SEED).any())
+        frame = frame.sort_values(["batch", "row_index"]).tail(1)
+        if last is None or tuple(frame[["batch", "row_index"]].iloc[0]) > tuple(last[["batch", "row_index"]].iloc[0]):
+            last = frame
+    known = state.exists or seeded
+    if not state.exists:
+        state.update((True,))
+    if not known:
+        yield last
+
+
+def unseen(rows: DataFrame) -> DataFrame:
+    """Of a stream of listing rows, one row per URL that no earlier micro-batch had."""
+    return rows.groupBy("url").applyInPandasWithState(_first_sight, LISTED_SCHEMA, "seen boolean", "append", "NoTimeout").select(*rows.columns)
+
+
+def listed(payloads: DataFrame, base_url: str, host: str | None = None) -> DataFrame:
+    """The listing rows of landed payloads, and the seeds among them (see ``write_seeds``)."""
+    rows = L.listing_rows(payloads.where("payload IS NOT NULL"), base_url)
+    if host is not None:
+        rows = L.allowed_rows(rows, host)
+    seeds = payloads.where("url IS NOT NULL AND payload IS NULL").select("url", F.lit(SEED).cast("long").alias("batch"), F.lit(SEED).alias("row_index"))
+    return rows.unionByName(seeds, allowMissingColumns=True).select("batch", "row_index", "posted_date", "issue_date", "company_name", "url", "issuing_office", "subject")
+
+
+def write_seeds(letters: DataFrame, landing: str) -> None:
+    """Land the URLs of letters that were stored before the stream existed, so that it knows them. Once, before its first run."""
+    letters.select("url").distinct().write.mode("append").json(landing)
+
+
+def run_stateful(spark: SparkSession, landing: str, pages: DataFrame, store: str, base_url: str, root: str = "main",
+                 checkpoint: str | None = None, host: str | None = None, stream: str = "letters-stateful") -> None:
+    """Drain every landed file once, telling new letters by the stream's keyed state.
+
+    State and store advance together: a micro-batch that was cut off is run again from the state before it, with the same rows
+    and batch id, and the store skips an id that it has applied."""
+    spark.conf.set(*STATE_PROVIDER)
+    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/letters-stateful"
+    rows = unseen(listed(spark.readStream.schema(SEEDED_SCHEMA).json(landing), base_url, host))
+
+    def each(new: DataFrame, batch_id: int) -> None:
+        # the state advances once per micro-batch: what it gave is stored before it is read several times
+        new = cut_lineage(new)
+        state = current_state(spark, store)
+        if state["applied"].get(stream, -1) < batch_id:
+            _publish(spark, state, new, pages, store, batch_id, root, stream)
+
+    q = rows.writeStream.foreachBatch(each).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
