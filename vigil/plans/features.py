@@ -43,6 +43,9 @@ PRODUCT_CATEGORIES = {
 DAY = "prediction_date"
 KEY = "fei_number"
 
+#: intervals of one site and year that go to one join key in ``cfr_history``
+CFR_PART_ROWS = 50_000
+
 SOURCES = ("inspections", "products", "citations", "cfr", "published483", "warning_letters", "recalls")
 
 
@@ -230,6 +233,15 @@ def cfr_day_counts(cfrs: DataFrame) -> DataFrame:
     return per_day.withColumn("cum", F.sum("n").over(w))
 
 
+def cfr_intervals(cfrs: DataFrame) -> DataFrame:
+    """(site, CFR, since, until, cited): one row per change of a pair's count; it holds for days after ``since`` up to and
+    including ``until`` (NULL: no further change)."""
+    later = Window.partitionBy(KEY, "normalized_cfr").orderBy(DAY)
+    return cfr_day_counts(cfrs).withColumn("until", F.lead(DAY).over(later)).select(
+        KEY, "normalized_cfr", F.col(DAY).alias("since"), "until", F.col("cum").cast("int").alias("cited")
+    )
+
+
 def cfr_days(cfrs: DataFrame) -> DataFrame:
     """Per (site, CFR, day): +1 new CFR on its first cited day, +1 repeated CFR on the day its second
     distinct inspection cites it."""
@@ -401,36 +413,29 @@ class FeaturePlan:
             "inspection_id", F.col("p_repeat_cfr").alias("repeated_cfr_count")
         )
 
-    def cfr_history(self) -> DataFrame:
+    def cfr_history(self, part_rows: int = CFR_PART_ROWS) -> DataFrame:
         """Per target and CFR, distinct earlier inspections citing that CFR at the site.
 
-        The output is one row per (target, CFR seen before it) by definition. It is built at day
-        granularity: distinct (site, target day) x (site, CFR first day) pairs with first day earlier,
-        unioned with the CFR day counts, one running sum per (site, CFR) partition (at most two rows
-        per calendar day), then joined back to the targets of that day.
+        The output is one row per (target, CFR seen before it) by definition; nothing is expanded to that size before. A pair's
+        count is stored where it changes, as an interval of days, written once per calendar year that it reaches into; a
+        target meets the intervals of its site and year, of which exactly one per CFR holds its day. A (site, year) with
+        more than ``part_rows`` intervals is split by CFR, and its targets are given to every part.
         """
-        cfrs = cited_cfrs(self.t.citations, self.labeled)
-        counts = cfr_day_counts(cfrs)
-        first = counts.where(F.col("cum") == F.col("n")).select(KEY, "normalized_cfr", F.col(DAY).alias("first_day"))
-        target_days = self.labeled.select(KEY, DAY).distinct()
-        asks = target_days.join(first, KEY).where(F.col("first_day") < F.col(DAY)).select(
-            KEY, "normalized_cfr", DAY, F.lit(0).cast("long").alias("n"), F.lit(True).alias("ask")
-        )
-        facts = counts.select(KEY, "normalized_cfr", DAY, "n", F.lit(False).alias("ask"))
-        w = (
-            Window.partitionBy(KEY, "normalized_cfr")
-            .orderBy(F.unix_date(F.col(DAY)))
-            .rangeBetween(Window.unboundedPreceding, -1)
-        )
-        answered = (
-            asks.unionByName(facts)
-            .withColumn("cited_inspection_count", F.sum("n").over(w).cast("int"))
-            .where("ask")
-            .select(KEY, DAY, "normalized_cfr", "cited_inspection_count")
-        )
-        return self.labeled.select("inspection_id", KEY, DAY).join(answered, [KEY, DAY]).select(
-            "inspection_id", "normalized_cfr", "cited_inspection_count"
+        changes = cfr_intervals(cited_cfrs(self.t.citations, self.labeled))
+        last = self.labeled.groupBy(KEY).agg(F.max(DAY).alias("last_day"))
+        until = F.least(F.coalesce("until", "last_day"), F.col("last_day"))
+        intervals = changes.join(last, KEY).where(F.col("since") < F.col("last_day")).select(
+            KEY, "normalized_cfr", "since", until.alias("until"), "cited",
+            F.explode(F.sequence(F.year(F.date_add("since", 1)), F.year(until))).alias("year"),
         )
+        heavy = intervals.groupBy(KEY, "year").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > part_rows)
+        heavy = heavy.select(KEY, "year", F.ceil(F.col("n") / part_rows).cast("int").alias("parts"))
+        parts = F.coalesce("parts", F.lit(1))
+        split = intervals.join(heavy, [KEY, "year"], "left").withColumn("part", F.pmod(F.xxhash64("normalized_cfr"), parts).cast("int"))
+        targets = self.labeled.select("inspection_id", KEY, DAY, F.year(DAY).alias("year")).join(heavy, [KEY, "year"], "left")
+        targets = targets.select("inspection_id", KEY, DAY, "year", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+        held = targets.join(split.drop("parts"), [KEY, "year", "part"]).where((F.col("since") < F.col(DAY)) & (F.col(DAY) <= F.col("until")))
+        return held.select("inspection_id", "normalized_cfr", F.col("cited").alias("cited_inspection_count"))
 
     def published_483_history(self) -> DataFrame:
         h = self.history(("inspections", "published483"))
