@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,9 @@ from vigil.operators.integrity import FEATURE_CHECKS, feature_snapshot_checks
 from vigil.oracle import FEATURE_ORACLES as O
 from vigil.oracle import FEATURE_SELECT, feature_oracle
 from vigil.plans.features import FeaturePlan, compliance_action_events, inspection_product_types
+from vigil.plans.incremental import refresh_features, site_prints
 from vigil.registry import register
+from vigil.session import cut_lineage
 from vigil.sources.catalog import Catalog
 
 
@@ -100,6 +104,28 @@ def features(spark, sf_dir) -> DataFrame:
     return plan(spark, sf_dir).features("v1")
 
 
+# A8 as a refresh: the earlier build lacks the latest rows of every seventh site (by the first byte of the site's SHA-256)
+# and all recalls of two more; the refresh over the whole tables must give the whole feature table.
+
+
+def earlier_tables(tables) -> SimpleNamespace:
+    byte = F.conv(F.substring(F.sha2(F.trim(F.col("fei_number").cast("string")), 256), 1, 2), 16, 10).cast("int")
+    late = F.coalesce(byte % 7 == 0, F.lit(False))
+    return SimpleNamespace(
+        inspections=tables.inspections.where(~late | (F.col("inspection_id") % 3 > 0)), citations=tables.citations.where("inspection_id % 35 <> 0"),
+        published483=tables.published483.where(~late | (F.col("record_id") % 2 == 0)), compliance_actions=tables.compliance_actions,
+        recalls=tables.recalls.where(~F.coalesce(byte.isin(3, 4), F.lit(False))),
+    )
+
+
+@register("features_refreshed", O["features"])
+def features_refreshed(spark, sf_dir) -> DataFrame:
+    tables = Catalog(spark, sf_dir)
+    earlier = earlier_tables(tables)
+    stored, prints = cut_lineage(FeaturePlan(earlier).features("v1")), cut_lineage(site_prints(earlier))
+    return refresh_features(tables, stored, prints, "v1").features
+
+
 @register("features_exploratory", O["features_exploratory"])
 def features_exploratory(spark, sf_dir) -> DataFrame:
     return plan(spark, sf_dir).features(variant="exploratory")
