@@ -88,6 +88,23 @@ def test_large_alike_and_large_unlike_buckets(spark, monkeypatch):
     check(spark, list(enumerate(rows)))
 
 
+@pytest.mark.parametrize("dense", [1, 16])
+def test_sets_that_consist_of_a_common_passage_mostly(spark, monkeypatch, dense):
+    # two thirds of every text is one passage; pairs at and over the threshold among 120 of them, met in dense buckets or by walking
+    monkeypatch.setattr(nj, "BUCKET", 8)
+    monkeypatch.setattr(nj, "DENSE", dense)
+    r = random.Random(6)
+    passage = " ".join(f"h{i}" for i in range(80))
+    rows = []
+    for k in range(60):
+        words = [f"a{k}x{i}" for i in range(40)]
+        other = list(words)
+        for at in r.sample(range(2, 38), r.choice([1, 2])):
+            other[at] = f"b{k}x{at}"
+        rows += [f"{passage} " + " ".join(words), f"{passage} " + " ".join(other)]
+    check(spark, list(enumerate(rows)))
+
+
 def test_recall_at_the_threshold(spark):
     # pairs of similarity just over 0.8: the shares of common shingles are what they are by construction
     r = random.Random(2)

@@ -14,9 +14,11 @@ takes further runs (``STAGES``) until it has enough picks in other buckets. Wher
 token of it is also that of a set at the threshold with probability r = (0.8 - h) / (1 - h) or more, and c cold picks miss a pair
 with probability (1 - r) ** c: 17 are enough (``FEW_HOT``) up to h = 0.33, shown by a quarter of the picks, and 30 (``COLD``)
 up to h = 0.6; both give 1.3e-9 at most. Sets that have taken all runs and still have fewer than ``DOMINATED`` cold picks
-consist of hot tokens mostly: in the hot buckets they, and only they, walk on, along further tokens, for up to ``LEVELS`` steps
-in all. A pair walks together for k steps with probability q(k), q(1) = 0.63, q(k + 1) = 1 - exp(-q(k)), in one run; ``RUNS_AT`` [k]
-runs are enough for every depth k, and these sets have taken more.
+consist of hot tokens mostly: they, and only they, are compared in their hot buckets of the first ``RUNS`` runs, which is
+what every other set does in its buckets. Only where more than ``DENSE`` * ``BUCKET`` such sets meet do they walk on from the hot buckets of
+all runs, along further tokens, for up to ``LEVELS`` steps in all. A pair walks together for k steps with probability q(k),
+q(1) = 0.63, q(k + 1) = 1 - exp(-q(k)), in one run; ``RUNS_AT`` [k] runs are enough for every depth k, and these sets have
+taken more.
 
 Brute force: a bucket is cut into cells of at most two blocks of ``BUCKET`` sets, so no task holds a large bucket, and
 no pairs are written: a cell compares sizes (exactly) and sketches (a byte per token), keeps pairs that may reach the
@@ -66,10 +68,11 @@ def meeting(steps: int) -> float:
 #: runs that make a depth's miss small enough; index 0 is not used
 RUNS_AT = [0, *(max(RUNS, math.ceil(math.log(MISS) / math.log(1 - meeting(k)))) for k in range(1, LEVELS + 1))]
 #: where the stages of runs end: all sets take the first, the others are for sets with too few cold picks
-STAGES = (RUNS, 44, 102)
+STAGES = (RUNS, 76)
 COLD = 30
 FEW_HOT = (17, 4)  # cold picks that are enough where at most one pick in four is hot
-DOMINATED = 60
+DOMINATED = 47  # of 95 picks
+DENSE = 16
 assert STAGES[-1] >= max(RUNS_AT)
 _RNG = np.random.default_rng(20240501)
 _MUL = _RNG.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -226,10 +229,9 @@ def _ended(level: DataFrame, sketches: DataFrame) -> tuple[list[DataFrame], Data
     return [small, large.join(alike, "bucket", "left_semi").select("sid", "bucket", "m")], None if apart.isEmpty() else apart
 
 
-def _walk_on(rows: DataFrame, sketches: DataFrame) -> list[DataFrame]:
-    """The leaves of the paths of ``rows`` (sid, bucket) from their hot buckets on."""
+def _walk_on(level: DataFrame, sketches: DataFrame) -> list[DataFrame]:
+    """The leaves of the paths of ``level`` (sid, bucket, m) from their hot buckets on."""
     leaves: list[DataFrame] = []
-    level = stored(_sized(rows), "buckets")
     for _ in range(LEVELS - 1):
         ended, apart = _ended(level, sketches)
         leaves += ended
@@ -268,8 +270,12 @@ def leaf_buckets(reps: DataFrame) -> DataFrame:
             short = None
             break
     if short is not None:
-        rows = reduce(DataFrame.unionByName, hot).join(short.select("sid"), "sid", "left_semi")
-        leaves += _walk_on(rows, sketches)
+        own = short.select("sid")
+        first = stored(_sized(hot[0].join(own, "sid", "left_semi")), "dense")
+        leaves.append(first.where(F.col("m") <= DENSE * BUCKET).select("sid", "bucket", "m"))
+        if not first.where(F.col("m") > DENSE * BUCKET).isEmpty():
+            every = stored(_sized(reduce(DataFrame.unionByName, hot).join(own, "sid", "left_semi")), "dense")
+            leaves += _walk_on(every.where(F.col("m") > DENSE * BUCKET), sketches)
     return reduce(DataFrame.unionByName, leaves)
 
 
