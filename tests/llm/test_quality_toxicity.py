@@ -153,3 +153,9 @@ def test_a_toxic_passage_is_found_anywhere(spark):
     insult = " you pathetic worthless idiot moron scum "
     scores = tox.text_scores(net, [calm, insult + calm, calm + insult, calm[:3000] + insult + calm[3000:]])
     assert scores[0] < 0.5 < scores[1:].min()
+
+
+def test_held_out_is_never_null(spark):
+    ids = spark.createDataFrame([(i,) for i in [*range(30), None]], "doc_id long")
+    got = {r.doc_id: r.h for r in ids.select("doc_id", tox.held_out(ids.doc_id).alias("h")).collect()}
+    assert got == {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in range(30)} | {None: False}

@@ -17,7 +17,7 @@ from vigil.session import ensure_checkpoint_dir
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", (~toxicity.learnable(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

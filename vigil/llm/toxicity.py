@@ -45,6 +45,11 @@ def learnable(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1
 
 
+def held_out(doc_id: Column) -> Column:
+    """Whether a row's id is of the remainder that is never learned from; a null id has no remainder (and no label)."""
+    return F.coalesce(~learnable(doc_id), F.lit(False))
+
+
 @dataclass
 class Vocabulary:
     """Hashed inputs of distinct words: one word bucket each, and character n-gram buckets in CSR form."""
