@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators import model as M
@@ -31,13 +31,18 @@ class FeatureBuildError(ValueError):
 def ingest_all(spark: SparkSession, raw: dict[str, DataFrame], store: str, version: str, mode: str = "fail") -> dict:
     """load all five extracts, validate all (bad rows, duplicate identities), then merge and publish at once.
 
-    Each extract is cleaned once, into a staging folder of the run; checks, merge and counts read that.
-    Returns per dataset the loaded rows, the quarantined rows and the rows then stored."""
+    Each extract is cleaned once, into a staging folder of the run; checks and merge read that. Good and bad rows are counted
+    while they are written (an observation of that job), so no scan is made for counts; what is then stored comes from the
+    footers of its files. Returns per dataset the loaded rows, the quarantined rows and the rows then stored."""
     stage = f"{store.rstrip('/')}/_staging/{version}-{uuid.uuid4().hex[:12]}"
     good: dict[str, DataFrame] = {}
     bad: dict[str, DataFrame] = {}
+    seen: dict[str, Observation] = {}
     for d, ds in DATASETS.items():
-        load(raw[d], d).write.mode("errorifexists").parquet(f"{stage}/{d}")
+        seen[d] = Observation(f"load {d}")
+        faulty = F.size("errors") > 0
+        counted = load(raw[d], d).observe(seen[d], F.count_if(~faulty).alias("good"), F.count_if(faulty).alias("bad"))
+        counted.write.mode("errorifexists").parquet(f"{stage}/{d}")
         out = apply_policy(spark.read.parquet(f"{stage}/{d}"), mode, key=ds.key)
         good[d], bad[d] = out if isinstance(out, tuple) else (out.drop("errors"), None)
     for d, ds in DATASETS.items():
@@ -52,7 +57,7 @@ def ingest_all(spark: SparkSession, raw: dict[str, DataFrame], store: str, versi
         update = tuple(f.name for f in ds.fields if f.name not in ds.key) + ("hash",)
         tables[d] = merge_table(spark, store, d, tables.get(d), good[d], ds.key, update, version)
         counts[d] = {
-            "loaded": good[d].count(), "quarantined": bad[d].count() if bad[d] is not None else 0,
+            "loaded": seen[d].get["good"], "quarantined": seen[d].get["bad"] if bad[d] is not None else 0,
             "stored": read_table(spark, store, d, tables[d]).count(),
         }
     switch(spark, store, state | {"tables": tables})
