@@ -20,12 +20,13 @@ all runs, along further tokens, for up to ``LEVELS`` steps in all. A pair walks
 q(1) = 0.63, q(k + 1) = 1 - exp(-q(k)), in one run; ``RUNS_AT`` [k] runs are enough for every depth k, and these sets have
 taken more.
 
-Brute force: a bucket is cut into cells of at most two blocks of ``BUCKET`` sets, so no task holds a large bucket, and
-no pairs are written: a cell compares sizes (exactly) and sketches (a byte per token), keeps pairs that may reach the
-threshold, and then intersects the full sets. A pair at the threshold agrees in fewer than ``AGREE`` tokens with
-probability 3.0e-10; with the runs, a pair is missed with probability 2.4e-9 at most, and less the
-more similar it is. A pair belongs to the first of its common buckets, so links are counted once. Cells give
-each set's number of links and a spanning forest; components make the classes.
+Brute force: a bucket is cut into cells of at most two blocks of ``BUCKET`` sets, so no task holds a large bucket. A cell
+compares sizes (exactly) and sketches (a byte per token) and stores, per set, those partners that may reach the threshold; then
+the full sets are intersected. A pair at the threshold agrees in fewer than ``AGREE`` tokens with probability 3.0e-10; with the
+runs, a pair is missed with probability 2.4e-9 at most, and less the more similar it is. A pair belongs to the first of its
+common buckets, so it is stored and counted once. Cells give each set's number of links and a spanning forest; components make
+the classes. Equal sets are one set here, but links between different sets are counted exactly: a group of m different near
+copies costs, and stores for a while, m * (m - 1) / 2 partners.
 
 Defined cases: null text = empty; all texts without words are one class; equal doc_ids are documents of their
 own; ties: a class is named after and kept by its smallest doc_id (null last, then by row); empty tables give empty
