@@ -13,6 +13,15 @@ from vigil.operators.quantiles import SPLITS, brackets_of, exact_quantiles
 PROBABILITIES = [0.0, 0.01, 0.25, 0.5, 0.755, 0.99, 1.0]
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Small tables: most of a test's time would go to empty shuffle partitions."""
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", held)
+
+
 def quantiles(df, **options):
     return exact_quantiles(df, "x", PROBABILITIES, **options).first()["quantiles"]
 
@@ -22,7 +31,7 @@ def quantiles(df, **options):
     [float("inf"), 1.0, float("-inf"), 2.0, 1.7e308], [2.0**k for k in range(-1000, 1000)] + [-(2.0**k) for k in range(-1000, 1000)],
     [1e9 + k * 2**-20 for k in range(3000)], [0.1] * 500 + [math.nextafter(0.1, 1)] * 500 + [7.0],
 ])
-@pytest.mark.parametrize("rows_at_once", [1, 10, 1 << 16])
+@pytest.mark.parametrize("rows_at_once", [1, 1 << 16])
 def test_equals_sorting(spark, values, rows_at_once):
     df = spark.createDataFrame([(float(v),) for v in random.Random(1).sample(values, len(values))] + [(None,)] * 3, "x double")
     got, ordered = quantiles(df, rows_at_once=rows_at_once), sorted(values)

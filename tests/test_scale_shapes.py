@@ -15,6 +15,15 @@ from vigil.plans.features import FeaturePlan
 INSP = "inspection_id long, fei_number string, state string, country string, inspection_end_date date, classification_code string, project_area string, product_type string, additional_details string"
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Small tables: most of a test's time would go to empty shuffle partitions."""
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", held)
+
+
 def _tables(spark, visits, citations):
     inspections = [(i, site, "CA", "United States", day, "VAI", "Area", "Drugs", "x") for i, site, day in visits]
     return SimpleNamespace(inspections=spark.createDataFrame(inspections, INSP), citations=spark.createDataFrame(citations, "inspection_id long, act_cfr_number string"))

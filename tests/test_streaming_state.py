@@ -12,6 +12,15 @@ from vigil.streaming import letters as SL
 BASE = "https://www.fda.gov/"
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Small tables: most of a test's time would go to empty shuffle partitions."""
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", held)
+
+
 def cell(url, office="o", day="1/2/2024"):
     return [day, "1/1/2024", f'<a href="{url}">n</a>', office, "s"]
 
