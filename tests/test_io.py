@@ -104,17 +104,6 @@ def test_ingest_twice_is_idempotent_and_merges_by_key(spark, scratch):
     assert both == _stored(spark, whole)
 
 
-def test_ingest_counts_bad_rows_while_it_writes(spark, scratch):
-    from vigil.plans import pipelines as P
-
-    raw = _clean_raw(spark, 0)
-    n = raw["recalls"].count()
-    raw["recalls"] = raw["recalls"].unionByName(raw["recalls"].limit(3).withColumn("Recalling Firm Name", F.lit(" ")))
-    counts = P.ingest_all(spark, raw, os.path.join(scratch, "store"), "v1", mode="quarantine")
-    assert counts["recalls"] == {"loaded": n, "quarantined": 3, "stored": n}
-    assert all(c["quarantined"] == 0 for d, c in counts.items() if d != "recalls")
-
-
 def _keyed(spark, rows):
     return spark.createDataFrame(rows, "k long, v string")
 
