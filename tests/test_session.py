@@ -36,3 +36,29 @@ def test_bare_local_paths_are_refused_on_a_cluster():
     for configured, default in (("hdfs://n/x", "file:///"), ("file:///mnt/shared", "file:///"), ("/x", "hdfs://n/")):
         s = _Session(configured, default)
         assert session.ensure_checkpoint_dir(s) == configured == s.sparkContext.kept
+
+
+def _as_cluster(spark, monkeypatch, folder):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077")
+    conf = spark.sparkContext.getConf().set(session.CHECKPOINT_CONF, folder)
+    monkeypatch.setattr(spark.sparkContext, "getConf", lambda: conf)
+
+
+def test_a_bare_path_that_all_executors_see_is_taken(spark, tmp_path, monkeypatch):
+    folder, before = str(tmp_path / "shared"), spark.sparkContext.getCheckpointDir()
+    _as_cluster(spark, monkeypatch, folder)
+    try:
+        assert session.ensure_checkpoint_dir(spark) == folder
+        assert sorted(r[0] for r in session.cut_lineage(spark.range(3)).collect()) == [0, 1, 2]
+    finally:
+        if before:
+            spark.sparkContext.setCheckpointDir(before)
+
+
+def test_a_bare_path_that_loses_rows_is_refused(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "own")
+    _as_cluster(spark, monkeypatch, folder)
+    whole = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths: whole(self, *paths).where("id > 0"))  # as if a host's files were missing
+    with pytest.raises(RuntimeError, match="rows came back"):
+        session.ensure_checkpoint_dir(spark)
