@@ -62,3 +62,17 @@ def test_a_bare_path_that_loses_rows_is_refused(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths: whole(self, *paths).where("id > 0"))  # as if a host's files were missing
     with pytest.raises(RuntimeError, match="rows came back"):
         session.ensure_checkpoint_dir(spark)
+
+
+def test_queries_bound_what_one_task_holds_and_the_size_of_methods(spark):
+    """Beyond 8,000 bytes of code the JVM does not compile a method; 64 MB of shuffled rows are a gigabyte in a joining task."""
+    from vigil.sources.catalog import Catalog
+
+    advisory, methods = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.codegen.hugeMethodLimit"
+    try:
+        for before, after in (("64MB", str(16 << 20)), ("1g", str(16 << 20)), ("8m", "8m")):  # a smaller one is kept
+            spark.conf.set(advisory, before)
+            Catalog(spark, "/nowhere")
+            assert spark.conf.get(advisory) == after and int(spark.conf.get(methods)) <= 8000
+    finally:
+        spark.conf.unset(advisory)
