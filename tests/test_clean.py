@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,3 +114,32 @@ def test_strip_matches_python(spark, ch):
     s = f"{ch}{ch}x y{ch}"
     got = _one(spark, [s], C.py_strip)
     assert got == [s.strip()]
+
+
+def test_short_cuts_of_the_rules_change_no_cell(spark):
+    """Texts that the cheap checks let pass or send on: visible ends, odd spaces, other scripts, tokens, whole decimals."""
+    edges = ["", " ", "a", " a", "a ", "a b", "　a", "a ", "\x7fa", "a\x7f", "~", "!", "\x1ca\x1f", "é", "né", "éa", "İ", "日本", "0", "00", ".0", "0.0", "7.00", "7.0 ", "a.0", "1_0", "1.50", None]
+    raw = [("-",), ("NONE",), (" n/a ",), ("NULLS",), ("nai",), ("Nai ",), ("ΝΑΙ",)] + [(e,) for e in edges]
+    df = spark.createDataFrame(raw, "x string")
+    got = df.select(
+        "x", C.py_strip("x").alias("s"), C.optional_text("x", ("-", "none")).alias("t"), C.optional_identifier("x").value.alias("i"),
+        C.optional_integer("x", "N").value.alias("n"), C.optional_date("x", "D").error.alias("d"), C.classification_code("x", "x").value.alias("c"),
+    ).collect()
+    for r in got:
+        s = None if r.x is None else r.x.strip()
+        text = s or None
+        whole = text[: text.index(".")] if text and re.fullmatch(r"[0-9]+\.0+", text) else text
+        assert r.s == s
+        assert r.t == (None if text is None or text.lower() in ("-", "none") else text)
+        assert r.i == whole
+        assert r.n == (int(whole) if whole and re.fullmatch(r"[+-]?[0-9]+(_[0-9]+)*", whole) else None)
+        assert (r.d is None) == (s is None or s == "" or s.lower() in C.DATE_NULL_TOKENS)
+        assert r.c == (text.upper() if text and text.upper() in C.CODES else None)
+
+
+def test_a_condition_on_the_errors_is_no_interpreted_filter(spark):
+    """Rows without a message are told by their messages; only the others go through the interpreted ``filter``."""
+    df = spark.createDataFrame([("a", None), (None, None), ("b", "c")], "p string, q string").select(C.errors_array(F.col("p"), F.col("q")).alias("errors"))
+    assert [r.errors for r in df.collect()] == [["a"], [], ["b", "c"]]
+    plan = df.where(F.size("errors") > 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnull(coalesce(" in plan
