@@ -143,3 +143,15 @@ def test_a_condition_on_the_errors_is_no_interpreted_filter(spark):
     assert [r.errors for r in df.collect()] == [["a"], [], ["b", "c"]]
     plan = df.where(F.size("errors") > 0)._jdf.queryExecution().optimizedPlan().toString()
     assert "isnull(coalesce(" in plan
+
+
+def test_a_condition_on_the_errors_runs_no_rule_again(spark):
+    """The rules of the bad rows' filter are read from the staged messages."""
+    from vigil.operators.loaders import DATASETS, apply_policy, load
+
+    headers = [f.headers[0] for f in DATASETS["published483"].fields]
+    raw = spark.createDataFrame([("1", "Firm", "2020-01-02", "483", "2020-02-01", "f", "7"), ("2", "Firm", "no day", "483", "2020-02-01", "f", "8")], headers)
+    good, bad = apply_policy(load(raw, "published483"), "quarantine")
+    assert [r.record_id for r in good.collect()] == ["7"] and [r.record_id for r in bad.collect()] == ["8"]
+    conditions = [x for x in bad._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+    assert not any("gettimestamp" in x for x in conditions)
