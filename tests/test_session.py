@@ -76,3 +76,23 @@ def test_queries_bound_what_one_task_holds_and_the_size_of_methods(spark):
             assert spark.conf.get(advisory) == after and int(spark.conf.get(methods)) <= 8000
     finally:
         spark.conf.unset(advisory)
+
+
+def test_queries_bound_what_one_task_scans(spark, tmp_path):
+    """The scan's own aggregate holds all groups of its split, so a split must not grow with the file."""
+    from vigil.sources.catalog import Catalog
+
+    scan = "spark.sql.files.maxPartitionBytes"
+    try:
+        for before, after in (("128MB", str(16 << 20)), ("1g", str(16 << 20)), ("8m", "8m")):  # a smaller one is kept
+            spark.conf.set(scan, before)
+            Catalog(spark, "/nowhere")
+            assert spark.conf.get(scan) == after
+        spark.conf.set(scan, "1g")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        rows = spark.range(0, 6_000_000, 1, 1).selectExpr("id", "xxhash64(id) AS h")  # 48 MB of hashes that do not compress
+        rows.write.option("parquet.block.size", 4 << 20).parquet(str(tmp_path / "orders.parquet"))
+        assert Catalog(spark, str(tmp_path)).driver("orders").rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.unset(scan)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
