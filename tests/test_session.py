@@ -96,3 +96,45 @@ def test_queries_bound_what_one_task_scans(spark, tmp_path):
     finally:
         spark.conf.unset(scan)
         spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def _unnamed(spark, monkeypatch):
+    """A context that was given no checkpoint folder, as where no spark-defaults.conf names one. Returns what it is then set to."""
+    monkeypatch.setattr(spark.sparkContext, "getConf", lambda: type("C", (), {"get": lambda s, key, default=None: default})())
+    plain = type(spark.conf).get
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *a: None if key == session.CHECKPOINT_CONF else plain(self, key, *a))
+
+    def refuse(self, key, value):
+        raise AssertionError(f"Spark 4.1 lets no session set {key}")
+
+    monkeypatch.setattr(type(spark.conf), "set", refuse)
+    chosen = []
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: chosen[-1] if chosen else None)
+    monkeypatch.setattr(spark.sparkContext, "setCheckpointDir", chosen.append)
+    return chosen
+
+
+def test_without_a_named_folder_a_local_session_keeps_one_scratch_folder(spark, monkeypatch):
+    chosen = _unnamed(spark, monkeypatch)
+    first = session.ensure_checkpoint_dir(spark)
+    assert session.ensure_checkpoint_dir(spark) == first and chosen == [first]
+
+
+@pytest.mark.parametrize("master", ["local-cluster[3,2,3000]", "spark://somewhere:7077"])
+def test_without_a_named_folder_a_cluster_uses_its_warehouse(spark, tmp_path, monkeypatch, master):
+    """The driver's scratch folder would be another one for each executor."""
+    chosen, plain = _unnamed(spark, monkeypatch), type(spark.conf).get
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *a: str(tmp_path / "wh") if key == session.WAREHOUSE_CONF else plain(self, key, *a))
+    monkeypatch.setattr(spark.sparkContext, "master", master)
+    folder = session.ensure_checkpoint_dir(spark)
+    assert folder == str(tmp_path / "wh" / "vigil-checkpoints") and chosen == [folder]
+    assert session.ensure_checkpoint_dir(spark) == folder and chosen == [folder]
+
+
+def test_a_local_cluster_tries_out_a_bare_path(spark, tmp_path, monkeypatch):
+    _as_cluster(spark, monkeypatch, str(tmp_path / "own"))
+    monkeypatch.setattr(spark.sparkContext, "master", "local-cluster[3,2,3000]")
+    whole = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths: whole(self, *paths).where("id > 0"))
+    with pytest.raises(RuntimeError, match="rows came back"):
+        session.ensure_checkpoint_dir(spark)
