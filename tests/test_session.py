@@ -138,3 +138,28 @@ def test_a_local_cluster_tries_out_a_bare_path(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths: whole(self, *paths).where("id > 0"))
     with pytest.raises(RuntimeError, match="rows came back"):
         session.ensure_checkpoint_dir(spark)
+
+
+def test_shuffles_begin_with_partitions_for_the_tables_read(spark, tmp_path, monkeypatch):
+    """AQE divides only skewed partitions: with a fixed number a task of fei_coverage, fei_overlap or features grows with the tables."""
+    from vigil.sources import catalog
+
+    first, few = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(0, 2000, 1, 1).selectExpr("id", "xxhash64(id) AS h")
+    for name in ("orders", "lineitem"):
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    try:
+        spark.conf.unset(first)
+        catalog.Catalog(spark, str(tmp_path)).driver("orders")
+        assert spark.conf.get(first, None) is None  # small tables: as the session has it
+        monkeypatch.setattr(session, "TASK_BYTES", 8 << 10)
+        c = catalog.Catalog(spark, str(tmp_path))
+        c.driver("orders")
+        one = int(spark.conf.get(first))
+        c.driver("lineitem")
+        both = int(spark.conf.get(first))
+        assert few < one and both in range(2 * one - 1, 2 * one + 2)
+        catalog.Catalog(spark, str(tmp_path)).driver("orders")
+        assert int(spark.conf.get(first)) == both  # a higher one is kept
+    finally:
+        spark.conf.unset(first)
