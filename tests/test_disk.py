@@ -9,6 +9,7 @@ from tests import test_features as TF
 from tests.test_incremental import BASE, MOST, tables
 from vigil.plans.features import FeaturePlan
 from vigil.plans.incremental import refresh_features, site_prints
+from vigil.queries.ingest import unique_valid, upsert_fixture
 from vigil.session import CLEANUP_CONF, set_aside
 
 
@@ -56,3 +57,9 @@ def test_a_stepwise_plan_gives_the_same_rows(spark, variant):
 def test_a_refresh_leaves_no_shuffles(spark):
     stored = set_aside(FeaturePlan(tables(spark, BASE)).features("v1"))
     assert not left_by(spark, lambda: refresh_features(tables(spark, MOST), stored, set_aside(site_prints(tables(spark, BASE))), "v1"))
+
+
+def test_an_upsert_leaves_no_shuffles_of_the_load_and_the_key_check(spark):
+    assert not left_by(spark, lambda: upsert_fixture(spark, "/root/testdata/sf0.001", "inspections"))
+    rows = spark.createDataFrame([(1, []), (1, []), (2, []), (None, []), (3, ["bad"])], "k long, errors array<string>")
+    assert sorted(map(repr, unique_valid(rows, ("k",)).collect())) == ["Row(k=2)", "Row(k=None)"]
