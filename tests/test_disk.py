@@ -4,9 +4,11 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests import test_features as TF
 from tests.test_incremental import BASE, MOST, tables
+from vigil.operators import model as M
 from vigil.plans.features import FeaturePlan
 from vigil.plans.incremental import refresh_features, site_prints
 from vigil.queries.ingest import unique_valid, upsert_fixture
@@ -63,3 +65,20 @@ def test_an_upsert_leaves_no_shuffles_of_the_load_and_the_key_check(spark):
     assert not left_by(spark, lambda: upsert_fixture(spark, "/root/testdata/sf0.001", "inspections"))
     rows = spark.createDataFrame([(1, []), (1, []), (2, []), (None, []), (3, ["bad"])], "k long, errors array<string>")
     assert sorted(map(repr, unique_valid(rows, ("k",)).collect())) == ["Row(k=2)", "Row(k=None)"]
+
+
+def test_a_fit_builds_its_input_once(spark):
+    n, seen = 400, spark.sparkContext.accumulator(0)
+
+    def count(i):
+        seen.add(1)
+        return i
+
+    rows = spark.range(n).withColumn("inspection_id", F.udf(count, T.LongType()).asNondeterministic()("id"))
+    names = {c: (F.col("id") % (3 + i)).cast("double") for i, c in enumerate(M.CONTINUOUS_FEATURES + M.BINARY_FEATURES)}
+    data = rows.withColumns(names).withColumns({
+        "fei_number": F.lit("A"), "state": F.when(F.col("id") % 2 == 0, "CA").otherwise("NY"),
+        "prediction_date": F.date_add(F.lit("2020-01-01"), (F.col("id") % 20).cast("int")), "target_adverse": F.col("id") % 3 == 0})
+    model, split, levels, n_train = M.fit(data.where("inspection_id IS NOT NULL"))
+    assert split.count() == n and n_train == 320 and levels == ["CA", "NY"]
+    assert seen.value == n

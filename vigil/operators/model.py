@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.ordered import running_sums
-from vigil.session import cut_lineage
+from vigil.session import set_aside
 
 # Model inputs (order matters for the coefficient vector).
 IDENTIFIER_COLUMNS = ("inspection_id", "fei_number", "prediction_date")
@@ -194,10 +194,12 @@ class TrainResult:
 
 def fit(data: DataFrame, validate: bool = True) -> tuple[PipelineModel, DataFrame, list[str], int]:
     """Temporal split + fit on the training rows. Returns (model, split frame, state levels, n_train)."""
+    # the rows feed the checks and, three times, the split: built once, and their shuffle files are gone before the next job
+    data = set_aside(data, "training")
     if validate:
         validate_training_data(data)
     # the split frame feeds several actions and every optimiser iteration: cut its lineage once
-    split = cut_lineage(impute(temporal_split(data)).withColumn("label", F.col(TARGET_COLUMN).cast("double")))
+    split = set_aside(impute(temporal_split(data)).withColumn("label", F.col(TARGET_COLUMN).cast("double")))
     if validate:
         check_split(split)
     train = split.where(F.col("split") == "train")

@@ -13,8 +13,8 @@ from vigil.registry import register
 from vigil.sources.catalog import Catalog
 
 
-def _features(spark, sf_dir):
-    return FeaturePlan(Catalog(spark, sf_dir)).features("v1")
+def _features(spark, sf_dir, stepwise: bool = False):
+    return FeaturePlan(Catalog(spark, sf_dir), stepwise=stepwise).features("v1")
 
 
 def _labels(spark, sf_dir):
@@ -258,19 +258,19 @@ def continuous_odds(spark, sf_dir):
 @register("model_scores")
 def model_scores(spark, sf_dir):
     """P(adverse) for every test-split inspection from the model fitted on the training split."""
-    model, split, _levels, _n = M.fit(_features(spark, sf_dir))
+    model, split, _levels, _n = M.fit(_features(spark, sf_dir, stepwise=True))
     return M.score(model, split.where(F.col("split") == "test"))
 
 
 @register("model_coefficients")
 def model_coefficients(spark, sf_dir):
     """Coefficients, odds ratios, % change in odds and direction, largest effects first."""
-    model, _split, levels, _n = M.fit(_features(spark, sf_dir))
+    model, _split, levels, _n = M.fit(_features(spark, sf_dir, stepwise=True))
     return M.coefficient_table(model, levels).orderBy(F.desc("absolute_coefficient"))
 
 
 @register("model_gradient", oracle("SELECT CAST(0.0 AS DOUBLE) AS largest_gradient", tables=()))
 def model_gradient(spark, sf_dir):
     """The largest gradient component of the fitted objective, rounded to four places: 0 at the optimum."""
-    model, split, _levels, n = M.fit(_features(spark, sf_dir))
+    model, split, _levels, n = M.fit(_features(spark, sf_dir, stepwise=True))
     return M.loss_gradient(model, split.where("split = 'train'"), n).select(F.round("largest_gradient", 4).alias("largest_gradient"))
