@@ -3,11 +3,14 @@
 import math
 import random
 import zlib
+import time
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from vigil.llm import lm
+from vigil.session import ensure_checkpoint_dir, stored_bytes
 
 D = lm.DISCOUNT
 
@@ -102,3 +105,39 @@ def test_a_phrase_keeps_its_arcs_in_a_large_corpus(spark):
     kept = [w for w in set(starts) if starts.count(w) > 1]
     begin = (120 - sum(map(starts.count, kept)) + D * len(kept)) / 120 * 10**rare
     assert got.score == pytest.approx(sum(map(math.log10, (begin, after, last, end))))
+
+
+def on_disk(spark) -> int:
+    """Bytes of the scratch tables and of the shuffle files."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(i) for i in range(files.size())]
+    return stored_bytes(spark, ensure_checkpoint_dir(spark)) + sum(f.length() for f in files if f.getName().startswith("shuffle_"))
+
+
+def test_ended_steps_leave_less_than_the_keys_of_the_ngrams(spark):
+    # some 360,000 n-grams, nearly all of them once
+    r = random.Random(7)
+    words = [f"word{k}" for k in range(20_000)]
+    df = spark.createDataFrame([(i, " ".join(r.choices(words, k=3000))) for i in range(60)], "doc_id long, text string")
+    before = on_disk(spark)
+    scored = lm.score(df, block_bytes=300_000)
+    for _ in range(40):
+        if (left := on_disk(spark) - before) < 8 * 360_000:
+            break
+        time.sleep(0.25)
+    assert left < 8 * 360_000 and scored.count() == 60
+
+
+def test_keys_come_back():
+    keys = np.unique(np.random.default_rng(3).integers(0, 2**64, 5000, dtype=np.uint64, endpoint=False))
+    for some in (keys, keys[:1], keys[:0], np.array([0, 2**64 - 1], dtype=np.uint64)):
+        assert lm.unpacked_keys(lm.packed_keys(some)).tolist() == some.tolist()
+
+
+def test_words_and_places_are_numbered_alike_in_all_steps():
+    texts = lm.pa.array(["a b a  b\tc", "", " c a b ", "É é"], lm.pa.string())
+    hashes, seq = lm.sequences(texts)
+    assert [hashes[seq[i]] for i in range(len(seq))] == [x for t in texts.to_pylist() for x in [lm.BEGIN_HASH, *lm.word_hash(lm.tokens(t)), *lm.word_hash([lm.END])]]
+    assert lm.Places(seq, hashes).keys.tolist() == lm.Grams(seq, hashes).keys.tolist()
+    hashes, seq = lm.sequences(texts[1:2])
+    assert seq.tolist() == [0, 1] and lm.Places(seq, hashes).keys.tolist() == lm.Grams(seq, hashes).keys.tolist()
