@@ -56,7 +56,7 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").lower().split()
 
 
-def word_hash(words: list[bytes | memoryview]) -> np.ndarray:
+def word_hash(words: list[bytes]) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
     return np.array([digest(w, HASH_SEED) for w in words], dtype=np.uint64)
 
@@ -79,7 +79,7 @@ def sequences(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     coded = lists.values.dictionary_encode()
     names, code = coded.dictionary.cast(pa.binary()), coded.indices.to_numpy()
-    hashes = np.concatenate([[BEGIN_HASH], word_hash([END]), word_hash(slices_of(names))])
+    hashes = np.concatenate([[BEGIN_HASH], word_hash([END]), word_hash(bytes_of(names))])
     there = (pc.binary_length(names).to_numpy(zero_copy_only=False) > 0)[code] if len(names) else np.zeros(0, bool)  # Arrow also numbers the gap between two blanks
     ends = np.concatenate([[0], np.cumsum(there)])[lists.offsets.to_numpy()]
     code, d = code[there], len(texts)
@@ -90,14 +90,14 @@ def sequences(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes, seq
 
 
-def slices_of(values: pa.Array) -> list[memoryview]:
-    """Binary values as views of their buffer."""
+def bytes_of(values: pa.Array) -> list[bytes]:
+    """Binary values, cut out of their buffer."""
     if not len(values):
         return []
     _, offsets, data = values.buffers()
     at = np.frombuffer(offsets, np.int32)[values.offset : values.offset + len(values) + 1].tolist()
-    view = memoryview(data or b"")
-    return [view[i:j] for i, j in zip(at[:-1], at[1:])]
+    data = data.to_pybytes() if data else b""
+    return [data[i:j] for i, j in zip(at[:-1], at[1:])]
 
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,12 +151,21 @@ class Grams:
         self.short = np.zeros(len(self.keys), bool)  # of the keys: words and bigrams, which are histories
         self.short[self.at[: len(self.words) + self.n_pairs]] = True
 
+    def by_word(self, aligned: np.ndarray) -> np.ndarray:
+        """Values aligned with ``keys`` by word number."""
+        of_word = np.zeros(self.width, aligned.dtype)
+        of_word[self.words] = aligned[self.at[: len(self.words)]]
+        return of_word
+
     def split(self, aligned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Values aligned with ``keys`` by word number, by bigram and by trigram."""
         w, p = len(self.words), len(self.words) + self.n_pairs
-        of_word = np.zeros(self.width, aligned.dtype)
-        of_word[self.words] = aligned[self.at[:w]]
-        return of_word, aligned[self.at[w:p]], aligned[self.at[p:]]
+        return self.by_word(aligned), aligned[self.at[w:p]], aligned[self.at[p:]]
+
+    def histories(self, aligned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same by word number and by bigram alone."""
+        w = len(self.words)
+        return self.by_word(aligned), aligned[self.at[w : w + self.n_pairs]]
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -165,23 +174,29 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def packed(values: np.ndarray, kind: str) -> bytes:
-    raw = values.astype(kind).tobytes()
+    """Numbers compressed, their first bytes together, then their second ones: most high ones are zero."""
+    values = np.ascontiguousarray(values.astype(kind))
+    raw = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unpacked(data: bytes, kind: str) -> np.ndarray:
     size = int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b"", kind)
+    columns = np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b"", np.uint8)
+    return np.ascontiguousarray(columns.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences, their first bytes together, then their second ones: the high ones are zero."""
+    """Sorted keys by their differences. The low bytes of these are as good as random and stay as they are."""
     steps = np.diff(keys, prepend=np.uint64(0))
-    return packed(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T), "u1")
+    low = int(np.log2(max(1.0, float(keys[-1] - keys[0]) / len(keys))) // 8) if len(keys) else 0
+    columns = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
+    return bytes([low]) + len(keys).to_bytes(8, "little") + columns[:low].tobytes() + packed(columns[low:].reshape(-1), "u1")
 
 
 def unpacked_keys(data: bytes) -> np.ndarray:
-    columns = unpacked(data, "u1").reshape(8, -1)
+    low, n = data[0], int.from_bytes(data[1:9], "little")
+    columns = np.concatenate([np.frombuffer(data, np.uint8, low * n, 9), unpacked(data[9 + low * n :], "u1")]).reshape(8, -1)
     return np.cumsum(np.ascontiguousarray(columns.T).view("<u8").reshape(-1), dtype=np.uint64)
 
 
@@ -331,7 +346,7 @@ class Automaton:
 
     def __init__(self, grams: Grams, single: np.ndarray, total: np.ndarray, sums: np.ndarray, types: np.ndarray):
         self.grams = grams
-        (c1, c2, c3), (s1, s2, _), (t1, t2, _) = grams.split(total), grams.split(sums), grams.split(types)
+        (c1, c2, c3), (s1, s2), (t1, t2) = grams.split(total), grams.histories(sums), grams.histories(types)
         rest1, rest2 = ((c - s + DISCOUNT * t) / np.maximum(c, 1) for c, s, t in ((c1, s1, t1), (c2, s2, t2)))  # weight of the shorter history
         a, b = grams.first, grams.second
         pair, triple = np.flatnonzero(c2), np.flatnonzero(c3)
@@ -386,7 +401,7 @@ def score_block(model: Model, floor: float, id_type: pa.DataType):
             sums, types = np.zeros(len(history), np.int64), np.zeros(len(history), np.int64)
             for values, name in ((sums, "sums"), (types, "types")):
                 values[history] = np.concatenate([unpacked(x, "<i8") for x in reports[name].to_pylist()])
-            count = grams.split(a.totals)[0]
+            count = grams.by_word(a.totals)
             count[BEGIN] = 0
             single = model.base(count)
             begins = np.flatnonzero(seq == BEGIN)
